@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarcube.operators.dims import dim_cuahang, dim_diadiem, dim_khachhang, dim_mathang, dim_thoigian
 from bazaarcube.operators.facts import fact_dondathang, fact_tonkho
+from bazaarcube.operators.joins import join_dim
+from bazaarcube.schemas import LOAD_ORDER
 from bazaarcube.session import new_folder
-from bazaarcube.sinks.warehouse import Star, open_star, open_table, stored_rows, write_table
+from bazaarcube.sinks.warehouse import Star, open_table, stored_rows, write_table
 from bazaarcube.sources.operational import Tables
 from bazaarcube.sources.testdata import sources_from_testdata
 
@@ -18,23 +23,31 @@ def build_star(spark: SparkSession, raw: Tables, path: str) -> Star:
 
     Each dimension is stored before the tables that look up its keys, so its
     keys are fixed, its size is known, and lookups read two narrow columns.
+    Tables that do not depend on each other are sent to Spark together.
     """
 
-    def store(name: str, df: DataFrame) -> tuple[DataFrame, int]:
+    def store(name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, int]:
+        df = build()
         write_table(df, name, path)
-        stored = open_table(spark, path, name)
+        stored = open_table(spark, path, name, df.schema)
         return stored, stored_rows(stored)
 
-    store("Dim_ThoiGian", dim_thoigian(raw))
-    locations, location_rows = store("Dim_DiaDiem", dim_diadiem(raw))
-    products, product_rows = store("Dim_MatHang", dim_mathang(raw))
-    customers, customer_rows = store("Dim_KhachHang", dim_khachhang(raw, locations, location_rows))
-    stores, store_rows = store("Dim_CuaHang", dim_cuahang(raw, locations, location_rows))
-    write_table(
-        fact_dondathang(raw, customers, customer_rows, products, product_rows), "Fact_DonDatHang", path
-    )
-    write_table(fact_tonkho(raw, products, product_rows, stores, store_rows), "Fact_TonKho", path)
-    return open_star(spark, path)
+    with ThreadPoolExecutor(3) as pool:
+        calendar = pool.submit(store, "Dim_ThoiGian", lambda: dim_thoigian(raw))
+        places = pool.submit(store, "Dim_DiaDiem", lambda: dim_diadiem(raw))
+        items = pool.submit(store, "Dim_MatHang", lambda: dim_mathang(raw))
+        buyers = pool.submit(store, "Dim_KhachHang", lambda: dim_khachhang(raw, *places.result()))
+        shops = pool.submit(store, "Dim_CuaHang", lambda: dim_cuahang(raw, *places.result()))
+        orders = pool.submit(
+            store, "Fact_DonDatHang", lambda: fact_dondathang(raw, *buyers.result(), *items.result())
+        )
+        stock = pool.submit(
+            store, "Fact_TonKho", lambda: fact_tonkho(raw, *items.result(), *shops.result())
+        )
+        results = dict(
+            zip(LOAD_ORDER, [f.result() for f in (calendar, places, items, buyers, shops, orders, stock)])
+        )
+    return Star({name: df for name, (df, _) in results.items()}, {name: n for name, (_, n) in results.items()})
 
 
 _opened: dict[tuple[str, str], Star] = {}
@@ -60,8 +73,6 @@ def customer_view(star: Star) -> DataFrame:
 
 
 def _with_office(dim: DataFrame, star: Star) -> DataFrame:
-    from bazaarcube.operators.joins import join_dim
-
     offices = star["Dim_DiaDiem"].select("sk_diaDiem", "maTP", "tenThanhPho", "mien", "diaChiVP")
     return join_dim(dim, offices, "sk_diaDiem", "left", star.rows["Dim_DiaDiem"])
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bazaarcube.functions.columns import key_month, key_year, nan_to_null
 from bazaarcube.schemas import LOAD_ORDER, WAREHOUSE
@@ -56,8 +57,9 @@ def write_table(df: DataFrame, name: str, path: str) -> None:
         )
 
 
-def open_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{name}").select(*WAREHOUSE[name].columns)
+def open_table(spark: SparkSession, path: str, name: str, schema: StructType | None = None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/{name}").select(*WAREHOUSE[name].columns)
 
 
 def stored_rows(df: DataFrame) -> int:
