@@ -7,7 +7,7 @@ needs the customer key, since an order is located at the customer's office.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from itertools import product
 
@@ -27,6 +27,9 @@ class Measure:
     exact: str
     reported: str
 
+    def sum_of(self, merged: bool) -> Column:
+        return self.merged_sum() if merged else self.first_sum()
+
     def first_sum(self) -> Column:
         counted = F.count(F.lit(1)) if self.source is None else F.sum(self.source)
         return counted.cast(self.exact).alias(self.name)
@@ -83,6 +86,17 @@ SUBJECTS: dict[str, Subject] = {
 }
 
 
+def keys_of(subject: str, group: Sequence[str]) -> tuple[str, ...]:
+    """The dimension keys whose labels the grouping columns come from."""
+    what = SUBJECTS[subject]
+    placed = any(c in PLACE_COLUMNS for c in group)
+    return tuple(
+        key
+        for key, (_, labels) in what.labels.items()
+        if any(c in labels for c in group) or (placed and key == what.place_key)
+    )
+
+
 @dataclass(frozen=True)
 class CubeSpec:
     name: str
@@ -99,21 +113,10 @@ class CubeSpec:
     def time(self) -> tuple[str, ...]:
         return tuple(c for c in self.group if c in TIME_COLUMNS)
 
-    @property
-    def keys(self) -> tuple[str, ...]:
-        """The dimension keys whose labels the grouping columns come from."""
-        subject = SUBJECTS[self.subject]
-        placed = any(c in PLACE_COLUMNS for c in self.group)
-        return tuple(
-            key
-            for key, (_, labels) in subject.labels.items()
-            if any(c in labels for c in self.group) or (placed and key == subject.place_key)
-        )
-
     @property
     def axes(self) -> frozenset[str]:
         """Needed key axes; ``T`` stands for the calendar."""
-        return frozenset(self.keys) | ({"T"} if self.time else frozenset())
+        return frozenset(keys_of(self.subject, self.group)) | ({"T"} if self.time else frozenset())
 
     @property
     def columns(self) -> list[str]:
@@ -214,39 +217,45 @@ def label_table(star: Star, subject: str, key: str, columns: Iterable[str]) -> D
     return dim.select(key, *wanted)
 
 
-def group_cell(star: Star, cell: DataFrame, spec: CubeSpec, merged: bool) -> DataFrame:
-    """Group ``cell`` by the labels of ``spec``; the sums stay exact.
+def labelled(
+    star: Star, cell: DataFrame, subject: str, group: Sequence[str], merged: bool
+) -> tuple[DataFrame, bool]:
+    """``cell`` with the label columns of ``group``, and whether it holds sums.
 
-    ``cell`` has the time columns and dimension keys the cube needs, and either
-    the fact's measures or (``merged``) sums made before.
+    ``cell`` has the time columns and dimension keys that ``group`` needs, and
+    either the fact's measures or (``merged``) sums made before.
 
-    Small dimensions are broadcast, and the grouping is one shuffle with
-    map-side sums. A dimension over the broadcast limit would mean shuffling the
-    rows by its key, hot keys included. So the rows are first summed per key,
-    which combines map-side and leaves one row per key value, and only those
-    sums meet the dimension.
+    Small dimensions are broadcast. A dimension over the broadcast limit would
+    mean shuffling the rows by its key, hot keys included. So fact rows are first
+    summed per key, which combines map-side and leaves one row per key value,
+    and only those sums meet the dimension.
     """
-    subject = SUBJECTS[spec.subject]
-    sums = [m.merged_sum() if merged else m.first_sum() for m in spec.measures]
-    again = [m.merged_sum() for m in spec.measures]
+    what = SUBJECTS[subject]
     large = []
-    for key in spec.keys:
-        table, labels = subject.labels[key]
-        wanted = [c for c in spec.group if c in labels]
-        if key == subject.place_key:
-            wanted += [c for c in spec.group if c in PLACE_COLUMNS]
-        lookup = label_table(star, spec.subject, key, wanted)
+    for key in keys_of(subject, group):
+        table, labels = what.labels[key]
+        wanted = [c for c in group if c in labels]
+        if key == what.place_key:
+            wanted += [c for c in group if c in PLACE_COLUMNS]
+        lookup = label_table(star, subject, key, wanted)
         if fits_broadcast(lookup, star.rows[table]):
             cell = cell.join(F.broadcast(lookup), key, "inner")
         else:
             large.append((key, lookup))
     if large:
-        known = [c for c in spec.group if c in cell.columns]
-        cell = cell.groupBy(*known, *[key for key, _ in large]).agg(*sums)
+        if not merged:
+            known = [c for c in group if c in cell.columns]
+            sums = [m.first_sum() for m in (*what.measures, LINES)]
+            cell, merged = cell.groupBy(*known, *[key for key, _ in large]).agg(*sums), True
         for key, lookup in large:
             cell = cell.join(lookup, key, "inner")
-        sums = again
-    return cell.groupBy(*spec.group).agg(*sums)
+    return cell, merged
+
+
+def group_cell(star: Star, cell: DataFrame, spec: CubeSpec, merged: bool) -> DataFrame:
+    """Group ``cell`` by the labels of ``spec``; the sums stay exact."""
+    rows, merged = labelled(star, cell, spec.subject, spec.group, merged)
+    return rows.groupBy(*spec.group).agg(*[m.sum_of(merged) for m in spec.measures])
 
 
 def report_types(df: DataFrame, spec: CubeSpec) -> DataFrame:

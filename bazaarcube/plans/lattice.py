@@ -23,7 +23,7 @@ from bazaarcube.plans.cubes import (
     SUBJECTS,
     CubeSpec,
     group_cell,
-    label_table,
+    labelled,
     report_types,
     specs_for,
     with_calendar,
@@ -68,8 +68,7 @@ def narrower(subject: str, cell: DataFrame, axes: Axes, merged: bool) -> DataFra
     """Sum a cell down to ``axes``."""
     what = SUBJECTS[subject]
     columns = [*(_MONTH if "T" in axes else ()), *[k for k in what.keys if k in axes]]
-    sums = [m.merged_sum() if merged else m.first_sum() for m in what.measures]
-    return cell.groupBy(*columns).agg(*sums)
+    return cell.groupBy(*columns).agg(*[m.sum_of(merged) for m in what.measures])
 
 
 class KeyCells:
@@ -89,14 +88,16 @@ class KeyCells:
             cells[widest] = (stage(widest_cell(star, subject), f"cell-{subject}"), True)
         else:
             cells[widest] = (fact_cell(star, subject), False)
-        for size in (2, 1, 0):
-            for chosen in combinations(all_axes, size):
-                axes = frozenset(chosen)
-                # Parents come in order of width; the first pair that covers a
-                # narrow cell is far smaller than the widest cell.
-                parent = min((a for a in cells if axes < a), key=len)
-                df, merged = cells[parent]
-                cells[axes] = (stage(narrower(subject, df, axes, merged), f"cell-{subject}"), True)
+
+        def store(axes: Axes) -> tuple[Axes, DataFrame]:
+            df, merged = cells[min((a for a in cells if axes < a), key=len)]
+            return axes, stage(narrower(subject, df, axes, merged), f"cell-{subject}")
+
+        # Level by level: a cell is summed from one with a single axis more.
+        with ThreadPoolExecutor(3) as pool:
+            for size in (2, 1, 0):
+                level = list(pool.map(store, map(frozenset, combinations(all_axes, size))))
+                cells.update({axes: (df, True) for axes, df in level})
         return cls(star, subject, cells)
 
     @classmethod
@@ -161,13 +162,11 @@ def _family(cells: KeyCells, family: Sequence[CubeSpec], columns: Sequence[str])
             *[F.lit(None).cast(_type_of(cells.star, cells.subject, c)).alias(c) for c in columns],
             *[m.name for m in what.measures],
         )
-    # The finest grouping of the family first: labels are attached once, and the
-    # grouping sets expand its rows.
-    finest = CubeSpec("finest", cells.subject, tuple(used), len(used))
-    base = cells.exact_cube(finest)
+    cell, merged = cells.cell(family[0].axes)
+    base, merged = labelled(cells.star, cell, cells.subject, used, merged)
     sets = [[F.col(c) for c in s.group] for s in family]
     grouped = base.groupingSets(sets, *[F.col(c) for c in used]).agg(
-        *[m.merged_sum() for m in what.measures], *[F.grouping(c).alias(f"_no_{c}") for c in used]
+        *[m.sum_of(merged) for m in what.measures], *[F.grouping(c).alias(f"_no_{c}") for c in used]
     )
     gid: Column = F.lit(0)
     for i, c in enumerate(columns):

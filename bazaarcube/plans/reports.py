@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarcube.functions.columns import BOTH, POSTAL, TRAVEL
@@ -17,7 +17,9 @@ from bazaarcube.plans.cubes import with_calendar
 from bazaarcube.plans.star import customer_view, store_view
 from bazaarcube.sinks.warehouse import Star
 
-_MONEY_SUM = F.sum("thanhTien").cast("decimal(38,2)")
+
+def _revenue() -> Column:
+    return F.sum("thanhTien").cast("decimal(38,2)")
 
 
 def _join(star: Star, left: DataFrame, dim: DataFrame, table: str, how: str = "inner") -> DataFrame:
@@ -37,7 +39,7 @@ def revenue_by_month(star: Star) -> DataFrame:
     fact = with_calendar(star, star["Fact_DonDatHang"], ("thang", "nam"))
     return (
         fact.groupBy("thang", "nam")
-        .agg(_MONEY_SUM.cast("double").alias("tongDoanhThu"))
+        .agg(_revenue().cast("double").alias("tongDoanhThu"))
         .orderBy("nam", "thang")
     )
 
@@ -47,7 +49,7 @@ def top_products(star: Star, n: int = 10) -> DataFrame:
     sums = (
         star["Fact_DonDatHang"]
         .groupBy("sk_matHang")
-        .agg(_MONEY_SUM.alias("tongTien"), F.sum("soLuongDat").alias("tongSoLuong"))
+        .agg(_revenue().alias("tongTien"), F.sum("soLuongDat").alias("tongSoLuong"))
     )
     named = _join(star, sums, star["Dim_MatHang"].select("sk_matHang", "maMH", "tenMH"), "Dim_MatHang")
     return (
@@ -60,7 +62,7 @@ def top_products(star: Star, n: int = 10) -> DataFrame:
 def customer_types(star: Star) -> DataFrame:
     """Ordering customers and revenue per type. Once summed per customer, each
     customer is one row: counting them needs no distinct."""
-    sums = star["Fact_DonDatHang"].groupBy("sk_khachHang").agg(_MONEY_SUM.alias("tien"))
+    sums = star["Fact_DonDatHang"].groupBy("sk_khachHang").agg(_revenue().alias("tien"))
     typed = _join(
         star, sums, star["Dim_KhachHang"].select("sk_khachHang", "loaiKhachHang"), "Dim_KhachHang"
     )
@@ -81,7 +83,7 @@ def customer_types_approx(star: Star, error: float = 0.02) -> DataFrame:
     )
     return typed.groupBy("loaiKhachHang").agg(
         F.approx_count_distinct("sk_khachHang", error).alias("soKhachHang"),
-        _MONEY_SUM.cast("double").alias("tongDoanhThu"),
+        _revenue().cast("double").alias("tongDoanhThu"),
     )
 
 

@@ -10,28 +10,47 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+MONEY = T.DecimalType(18, 2)
+
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "decimal(18,2)": MONEY,
+}
+
+
+def struct_of(columns: str) -> T.StructType:
+    """``"a int, b date"`` as a schema, without needing a session."""
+    pairs = [part.split(maxsplit=1) for part in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # --- operational tables (lower-case, as they arrive from the source) ---------
 
 SOURCE_SCHEMAS: dict[str, T.StructType] = {
-    "vanphongdaidien": T.StructType.fromDDL(
+    "vanphongdaidien": struct_of(
         "matp string, tenthanhpho string, diachivp string, mien string, ngaythanhlapvp date"
     ),
-    "cuahang": T.StructType.fromDDL(
+    "cuahang": struct_of(
         "mach string, sodienthoai string, ngaythanhlapch date, vanphongdaidienmatp string"
     ),
-    "mathang": T.StructType.fromDDL(
+    "mathang": struct_of(
         "mamh string, tenmh string, mota string, kichco string, trongluong double, gia double, ngaycapnhat date"
     ),
-    "mathang_duoctru": T.StructType.fromDDL(
+    "mathang_duoctru": struct_of(
         "soluongtrongkho int, thoigiannhap date, mathangmamh string, cuahangmach string"
     ),
-    "khachhang": T.StructType.fromDDL(
+    "khachhang": struct_of(
         "makh string, tenkh string, ngaydatdautien date, vanphongdaidienmatp string"
     ),
-    "khachhang_dulich": T.StructType.fromDDL("khachhangmakh string, hdvdulich string, ngaydangky date"),
-    "khachhang_buudien": T.StructType.fromDDL("khachhangmakh string, diachibuudien string, ngaydangky date"),
-    "dondathang": T.StructType.fromDDL("madon string, ngaydathang date, khachhangmakh string"),
-    "mathang_duocdat": T.StructType.fromDDL(
+    "khachhang_dulich": struct_of("khachhangmakh string, hdvdulich string, ngaydangky date"),
+    "khachhang_buudien": struct_of("khachhangmakh string, diachibuudien string, ngaydangky date"),
+    "dondathang": struct_of("madon string, ngaydathang date, khachhangmakh string"),
+    "mathang_duocdat": struct_of(
         "soluongdat int, giadat decimal(18,2), mathangmamh string, dondathangmadon string"
     ),
 }
@@ -78,44 +97,44 @@ class TableLayout:
 
 WAREHOUSE: dict[str, TableLayout] = {
     "Dim_ThoiGian": TableLayout(
-        T.StructType.fromDDL("sk_thoiGian int, ngay date, thang int, quy int, nam int"),
+        struct_of("sk_thoiGian int, ngay date, thang int, quy int, nam int"),
         ("sk_thoiGian",),
     ),
     "Dim_MatHang": TableLayout(
-        T.StructType.fromDDL(
+        struct_of(
             "sk_matHang int, tenMH string, maMH string, moTa string, kichCo string, "
             "trongLuong double, gia double, ngayMoBan date"
         ),
         ("sk_matHang",),
     ),
     "Dim_DiaDiem": TableLayout(
-        T.StructType.fromDDL(
+        struct_of(
             "sk_diaDiem int, maTP string, mien string, diaChiVP string, ngayThanhLapVP date, tenThanhPho string"
         ),
         ("sk_diaDiem",),
     ),
     "Dim_CuaHang": TableLayout(
-        T.StructType.fromDDL(
+        struct_of(
             "sk_cuaHang int, maCH string, soDienThoai string, ngayThanhLapCH date, sk_diaDiem int"
         ),
         ("sk_cuaHang",),
     ),
     "Dim_KhachHang": TableLayout(
-        T.StructType.fromDDL(
+        struct_of(
             "sk_khachHang int, sk_diaDiem int, maKH string, tenKH string, ngayDatHangDauTien date, "
             "huongDanVien string, diaChiBuuDien string, loaiKhachHang string"
         ),
         ("sk_khachHang",),
     ),
     "Fact_DonDatHang": TableLayout(
-        T.StructType.fromDDL(
+        struct_of(
             "sk_khachHang int, sk_matHang int, sk_thoiGian int, maDon string, "
             "soLuongDat int, giaDat decimal(18,2), thanhTien decimal(18,2)"
         ),
         ("sk_thoiGian", "sk_khachHang", "maDon"),
     ),
     "Fact_TonKho": TableLayout(
-        T.StructType.fromDDL("sk_thoiGian int, sk_matHang int, sk_cuaHang int, soLuongTonKho int"),
+        struct_of("sk_thoiGian int, sk_matHang int, sk_cuaHang int, soLuongTonKho int"),
         ("sk_thoiGian", "sk_cuaHang", "sk_matHang"),
     ),
 }
@@ -145,9 +164,7 @@ FACT_KEYS: dict[str, dict[str, str]] = {
     },
 }
 
-MONEY = T.DecimalType(18, 2)
-
-RUN_LOG_SCHEMA = T.StructType.fromDDL(
+RUN_LOG_SCHEMA = struct_of(
     "run_id string, job_name string, start_time timestamp, end_time timestamp, status string, "
     "records_extracted bigint, records_loaded bigint, error_message string"
 )

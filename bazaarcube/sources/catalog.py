@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COLUMNS = "table_schema string, table_name string, position int, column_name string, data_type string, column_comment string"
@@ -32,15 +32,16 @@ def catalog_columns(spark: SparkSession, namespace: str = "default") -> DataFram
     return spark.createDataFrame(rows, COLUMNS)
 
 
-# `_` is a LIKE wildcard, as in the patterns' original use.
-_CUBES = F.col("table_name").like("cube_%") | F.col("table_name").like("inv_cube_%")
+def _is_cube() -> Column:
+    # The name patterns, in which `_` stands for any character.
+    return F.col("table_name").like("cube_%") | F.col("table_name").like("inv_cube_%")
 
 
 def warehouse_columns(columns: DataFrame) -> DataFrame:
     hidden = F.col("table_name").like(".inner%")
-    return columns.filter(~hidden & ~_CUBES).orderBy("table_name", "position")
+    return columns.filter(~hidden & ~_is_cube()).orderBy("table_name", "position")
 
 
 def cube_columns(columns: DataFrame) -> DataFrame:
     storage = F.col("table_name").like("%_storage")
-    return columns.filter(_CUBES & ~storage).orderBy("table_name", "position")
+    return columns.filter(_is_cube() & ~storage).orderBy("table_name", "position")

@@ -259,7 +259,8 @@ def lattice_sql(subject: str, cubes: dict[str, str]) -> str:
     columns = [_column(c) for c in used]
     sets = ", ".join("(" + ", ".join(_column(c) for c in g.split()) + ")" for g in cubes.values())
     sums = [REVENUE, QUANTITY] if subject == "order" else [STOCK]
+    keys = [f'CAST({_column(c)} AS VARCHAR) AS "{c}"' for c in used]
     return star_sql(
-        f"SELECT CAST(GROUPING({', '.join(columns)}) AS INTEGER) AS gid, {', '.join(columns + sums)}\n"
+        f"SELECT CAST(GROUPING({', '.join(columns)}) AS INTEGER) AS gid, {', '.join(keys + sums)}\n"
         f"{_joins(subject, {_AXIS[c] for c in used})}\nGROUP BY GROUPING SETS ({sets})"
     )
