@@ -63,6 +63,7 @@ STOCK = Measure("tongTonKho", "soLuongTonKho", "bigint", "bigint")
 
 TIME_COLUMNS = ("nam", "quy", "thang", "ngay")
 PLACE_COLUMNS = ("mien", "tenThanhPho")
+PLACED = "_placed"
 
 SUBJECTS: dict[str, Subject] = {
     "order": Subject(
@@ -205,20 +206,35 @@ def with_calendar(star: Star, fact: DataFrame, columns: Iterable[str], how: str
     return fact.join(F.broadcast(calendar), "sk_thoiGian", how)
 
 
-def label_table(star: Star, subject: str, key: str, columns: Iterable[str]) -> DataFrame:
-    """The dimension behind ``key`` with the wanted labels, places included."""
+def label_table(
+    star: Star, subject: str, key: str, columns: Iterable[str], keep_unplaced: bool = False
+) -> DataFrame:
+    """The dimension behind ``key`` with the wanted labels, places included.
+
+    A cube by place has no rows for customers or stores without a known office.
+    With ``keep_unplaced`` they stay, and ``PLACED`` tells them apart.
+    """
     table, _ = SUBJECTS[subject].labels[key]
     dim = star[table]
     wanted = list(columns)
     if any(c in PLACE_COLUMNS for c in wanted):
-        offices = star["Dim_DiaDiem"].select("sk_diaDiem", *PLACE_COLUMNS)
+        offices = star["Dim_DiaDiem"].select("sk_diaDiem", *PLACE_COLUMNS, F.lit(True).alias(PLACED))
         small = fits_broadcast(offices, star.rows["Dim_DiaDiem"])
-        dim = dim.join(F.broadcast(offices) if small else offices, "sk_diaDiem", "inner")
+        how = "left" if keep_unplaced else "inner"
+        dim = dim.join(F.broadcast(offices) if small else offices, "sk_diaDiem", how)
+        if keep_unplaced:
+            dim = dim.withColumn(PLACED, F.coalesce(PLACED, F.lit(False)))
+            wanted.append(PLACED)
     return dim.select(key, *wanted)
 
 
 def labelled(
-    star: Star, cell: DataFrame, subject: str, group: Sequence[str], merged: bool
+    star: Star,
+    cell: DataFrame,
+    subject: str,
+    group: Sequence[str],
+    merged: bool,
+    keep_unplaced: bool = False,
 ) -> tuple[DataFrame, bool]:
     """``cell`` with the label columns of ``group``, and whether it holds sums.
 
@@ -237,7 +253,7 @@ def labelled(
         wanted = [c for c in group if c in labels]
         if key == what.place_key:
             wanted += [c for c in group if c in PLACE_COLUMNS]
-        lookup = label_table(star, subject, key, wanted)
+        lookup = label_table(star, subject, key, wanted, keep_unplaced)
         if fits_broadcast(lookup, star.rows[table]):
             cell = cell.join(F.broadcast(lookup), key, "inner")
         else:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from bazaarcube.plans.cubes import (
     PLACE_COLUMNS,
+    PLACED,
     SUBJECTS,
     CubeSpec,
     group_cell,
@@ -163,11 +164,17 @@ def _family(cells: KeyCells, family: Sequence[CubeSpec], columns: Sequence[str])
             *[m.name for m in what.measures],
         )
     cell, merged = cells.cell(family[0].axes)
-    base, merged = labelled(cells.star, cell, cells.subject, used, merged)
-    sets = [[F.col(c) for c in s.group] for s in family]
-    grouped = base.groupingSets(sets, *[F.col(c) for c in used]).agg(
+    base, merged = labelled(cells.star, cell, cells.subject, used, merged, keep_unplaced=True)
+    # A set by place also groups by whether there is one, so that the rows
+    # without an office can be left out of these sets and no others.
+    flag = [PLACED] if PLACED in base.columns else []
+    placed = [flag if any(c in PLACE_COLUMNS for c in s.group) else [] for s in family]
+    sets = [[F.col(c) for c in (*s.group, *more)] for s, more in zip(family, placed)]
+    grouped = base.groupingSets(sets, *[F.col(c) for c in (*used, *flag)]).agg(
         *[m.sum_of(merged) for m in what.measures], *[F.grouping(c).alias(f"_no_{c}") for c in used]
     )
+    if flag:
+        grouped = grouped.filter(F.coalesce(PLACED, F.lit(True)))
     gid: Column = F.lit(0)
     for i, c in enumerate(columns):
         absent = F.col(f"_no_{c}").cast("int") if c in used else F.lit(1)
