@@ -11,28 +11,32 @@ from bazaarcube.functions.columns import customer_type, date_key, lenient_date,
 from bazaarcube.operators.joins import join_dim
 from bazaarcube.operators.keys import dense_keys
 from bazaarcube.schemas import WAREHOUSE
-from bazaarcube.sources.operational import Tables, order_extract
+from bazaarcube.sources.operational import Tables
 
 
 def date_bounds(raw: Tables) -> DataFrame:
-    """One row: the earliest and latest date in the four date columns.
+    """One row: the earliest and latest date of known customers' orders, product
+    updates, store openings and stock entries.
 
-    Each source is reduced to its own minimum and maximum before the union.
+    Each source is reduced to its own bounds before the union. Orders are first
+    reduced per customer, so that checking the customers joins one row for each,
+    however many orders one of them has.
     """
-    sources = [
-        (order_extract(raw), "ngaydathang"),
-        (raw["mathang"], "ngaycapnhat"),
-        (raw["cuahang"], "ngaythanhlapch"),
-        (raw["mathang_duoctru"], "thoigiannhap"),
-    ]
+
+    def bounds(df: DataFrame, column: str, *by: str) -> DataFrame:
+        ngay = lenient_date(F.col(column))
+        return df.groupBy(*by).agg(F.min(ngay).alias("lo"), F.max(ngay).alias("hi"))
+
+    known = raw["khachhang"].select(F.col("makh").alias("khachhangmakh"))
+    per_customer = bounds(raw["dondathang"], "ngaydathang", "khachhangmakh")
+    ordered = per_customer.join(known, "khachhangmakh", "left_semi")
     parts = [
-        df.select(lenient_date(F.col(column)).alias("ngay")).agg(
-            F.min("ngay").alias("lo"), F.max("ngay").alias("hi")
-        )
-        for df, column in sources
+        ordered.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")),
+        bounds(raw["mathang"], "ngaycapnhat"),
+        bounds(raw["cuahang"], "ngaythanhlapch"),
+        bounds(raw["mathang_duoctru"], "thoigiannhap"),
     ]
-    union = reduce(DataFrame.union, parts)
-    return union.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return reduce(DataFrame.union, parts).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def dim_thoigian(raw: Tables) -> DataFrame:

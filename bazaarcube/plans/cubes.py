@@ -14,7 +14,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarcube.operators.joins import fits_broadcast
+from bazaarcube.operators.joins import fits_broadcast, join_dim
 from bazaarcube.sinks.warehouse import Star
 
 
@@ -228,6 +228,13 @@ def label_table(
     return dim.select(key, *wanted)
 
 
+def _labels_of(subject: str, key: str, group: Sequence[str]) -> list[str]:
+    """The columns of ``group`` that ``key`` determines."""
+    what = SUBJECTS[subject]
+    places = PLACE_COLUMNS if key == what.place_key else ()
+    return [c for c in group if c in (*what.labels[key][1], *places)]
+
+
 def labelled(
     star: Star,
     cell: DataFrame,
@@ -235,43 +242,70 @@ def labelled(
     group: Sequence[str],
     merged: bool,
     keep_unplaced: bool = False,
+    late: Sequence[str] = (),
 ) -> tuple[DataFrame, bool]:
     """``cell`` with the label columns of ``group``, and whether it holds sums.
 
     ``cell`` has the time columns and dimension keys that ``group`` needs, and
-    either the fact's measures or (``merged``) sums made before.
+    either the fact's measures or (``merged``) sums made before. The keys in
+    ``late`` stay as they are.
 
     Small dimensions are broadcast. A dimension over the broadcast limit would
-    mean shuffling the rows by its key, hot keys included. So fact rows are first
+    mean shuffling the rows by its key, hot keys included. So rows are first
     summed per key, which combines map-side and leaves one row per key value,
-    and only those sums meet the dimension.
+    and only those sums meet the dimension. They are summed again before the
+    next such dimension, whose hot keys the first one's labels have thinned out.
     """
     what = SUBJECTS[subject]
     large = []
     for key in keys_of(subject, group):
-        table, labels = what.labels[key]
-        wanted = [c for c in group if c in labels]
-        if key == what.place_key:
-            wanted += [c for c in group if c in PLACE_COLUMNS]
-        lookup = label_table(star, subject, key, wanted, keep_unplaced)
+        if key in late:
+            continue
+        table, _ = what.labels[key]
+        lookup = label_table(star, subject, key, _labels_of(subject, key, group), keep_unplaced)
         if fits_broadcast(lookup, star.rows[table]):
             cell = cell.join(F.broadcast(lookup), key, "inner")
         else:
             large.append((key, lookup))
-    if large:
-        if not merged:
-            known = [c for c in group if c in cell.columns]
-            sums = [m.first_sum() for m in (*what.measures, LINES)]
-            cell, merged = cell.groupBy(*known, *[key for key, _ in large]).agg(*sums), True
-        for key, lookup in large:
-            cell = cell.join(lookup, key, "inner")
+    measures = (*what.measures, LINES)
+    for i, (key, lookup) in enumerate(large):
+        waiting = [k for k, _ in large[i:]]
+        if not merged or i > 0:
+            known = [c for c in (*group, PLACED) if c in cell.columns]
+            present = [m for m in measures if not merged or m.name in cell.columns]
+            cell = cell.groupBy(*known, *waiting, *late).agg(*[m.sum_of(merged) for m in present])
+            merged = True
+        cell = cell.join(lookup, key, "inner")
     return cell, merged
 
 
+def late_keys(star: Star, subject: str, group: Sequence[str]) -> list[str]:
+    """Dimension keys that can stand for their labels while grouping: the group
+    has the dimension's id, and the stored ids are unique."""
+    what = SUBJECTS[subject]
+    return [
+        key
+        for key in keys_of(subject, group)
+        if what.labels[key][1][0] in group and star.is_unique(what.labels[key][0], what.labels[key][1][0])
+    ]
+
+
 def group_cell(star: Star, cell: DataFrame, spec: CubeSpec, merged: bool) -> DataFrame:
-    """Group ``cell`` by the labels of ``spec``; the sums stay exact."""
-    rows, merged = labelled(star, cell, spec.subject, spec.group, merged)
-    return rows.groupBy(*spec.group).agg(*[m.sum_of(merged) for m in spec.measures])
+    """Group ``cell`` by the labels of ``spec``; the sums stay exact.
+
+    Where the group has a dimension's id, the rows are grouped by the integer key
+    and the finished groups get the labels: fewer and shorter values to shuffle.
+    """
+    late = late_keys(star, spec.subject, spec.group)
+    rows, merged = labelled(star, cell, spec.subject, spec.group, merged, late=late)
+    waiting = {c for key in late for c in _labels_of(spec.subject, key, spec.group)}
+    early = [c for c in spec.group if c not in waiting]
+    grouped = rows.groupBy(*early, *late).agg(*[m.sum_of(merged) for m in spec.measures])
+    for key in late:
+        table, _ = SUBJECTS[spec.subject].labels[key]
+        lookup = label_table(star, spec.subject, key, _labels_of(spec.subject, key, spec.group))
+        grouped = join_dim(grouped, lookup, key, "inner", star.rows[table])
+    return grouped.select(*spec.group, *[m.name for m in spec.measures])
 
 
 def report_types(df: DataFrame, spec: CubeSpec) -> DataFrame:

@@ -122,10 +122,13 @@ def stores_for_customer(star: Star, customer: object) -> DataFrame:
     """Stores that sell goods the customer has ordered."""
     who = star["Dim_KhachHang"].filter(F.col("maKH") == F.lit(customer)).select("sk_khachHang")
     ordered = star["Fact_DonDatHang"].join(F.broadcast(who), "sk_khachHang", "left_semi")  # one key
+    # There are at most as many distinct goods as products, and stores as stores:
+    # the dimensions' row counts bound what is broadcast.
     goods = ordered.select("sk_matHang").distinct()
-    stores = _on_sale(star).join(goods, "sk_matHang", "left_semi").select("sk_cuaHang").distinct()
+    stock = _join(star, _on_sale(star), goods, "Dim_MatHang", "left_semi")
+    stores = stock.select("sk_cuaHang").distinct()
     labels = _store_labels(star, "maCH", "tenThanhPho", "soDienThoai")
-    return labels.join(stores, "sk_cuaHang", "left_semi").drop("sk_cuaHang")
+    return _join(star, labels, stores, "Dim_CuaHang", "left_semi").drop("sk_cuaHang")
 
 
 def office_stock_above(star: Star, product: object, threshold: int) -> DataFrame:
@@ -189,7 +192,7 @@ def order_detail(star: Star, order: object) -> DataFrame:
     lines = _join(star, lines, names, "Dim_KhachHang", "left")
     goods = star["Dim_MatHang"].select("sk_matHang", "maMH", "tenMH")
     lines = _join(star, lines, goods, "Dim_MatHang")
-    stock = _on_sale(star).join(lines.select("sk_matHang").distinct(), "sk_matHang", "left_semi")
+    stock = _join(star, _on_sale(star), lines.select("sk_matHang").distinct(), "Dim_MatHang", "left_semi")
     where = _join(
         star,
         stock.select("sk_cuaHang", "sk_matHang").distinct(),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bazaarcube.functions.columns import key_month, key_year, nan_to_null
+from bazaarcube.operators.quality import key_violations
 from bazaarcube.schemas import LOAD_ORDER, WAREHOUSE
 from bazaarcube.sources.operational import table_counts
 
@@ -26,10 +27,17 @@ class Star:
 
     tables: dict[str, DataFrame]
     rows: dict[str, int]
+    _unique: dict[tuple[str, str], bool] = field(default_factory=dict, compare=False, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
+    def is_unique(self, table: str, column: str) -> bool:
+        """Whether a dimension's id names one row; looked up once per star."""
+        if (table, column) not in self._unique:
+            self._unique[table, column] = key_violations(self[table], (column,)).isEmpty()
+        return self._unique[table, column]
+
     @property
     def spark(self) -> SparkSession:
         return next(iter(self.tables.values())).sparkSession
@@ -52,9 +60,9 @@ def write_table(df: DataFrame, name: str, path: str) -> None:
             .parquet(f"{path}/{name}")
         )
     else:
-        clean.hint("rebalance").sortWithinPartitions(*layout.sort_key).write.mode("overwrite").parquet(
-            f"{path}/{name}"
-        )
+        # A dimension comes out of its key assignment in key order, so its files
+        # already hold separate key ranges and need no shuffle.
+        clean.sortWithinPartitions(*layout.sort_key).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def open_table(spark: SparkSession, path: str, name: str, schema: StructType | None = None) -> DataFrame:

@@ -14,6 +14,10 @@ from oracles import sql as oracle
 from tests.conftest import TESTDATA, values
 
 
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_the_specs_are_the_documented_cubes():
     assert {s.name: " ".join(s.group) for s in ORDER_CUBES} == oracle.ORDER_CUBES
     assert {s.name: " ".join(s.group) for s in INVENTORY_CUBES} == oracle.INVENTORY_CUBES
@@ -94,10 +98,31 @@ def test_large_dimensions_give_the_same_cube(edge_star, cube, tiny_broadcast):
     assert large == values(build_cube(edge_star, CUBES[cube])) and large
 
 
-def test_large_dimensions_are_joined_after_summing(edge_star, tiny_broadcast):
-    plan = build_cube(edge_star, CUBES["cube_2d_nam_bang"])._jdf.queryExecution().optimizedPlan().toString()
-    aggregates = [i for i, line in enumerate(plan.splitlines()) if "Aggregate" in line]
-    assert len(aggregates) == 2, plan
+@pytest.mark.parametrize(
+    "cube, sums",
+    [
+        ("cube_2d_nam_bang", 2),  # per customer, then per region
+        ("cube_2d_ma_kh_ma_mh", 1),  # both ids are in the group: labels come last
+        ("cube_3d_nam_ma_mh_bang", 2),
+    ],
+)
+def test_large_dimensions_are_joined_after_summing(edge_star, cube, sums, tiny_broadcast):
+    plan = plan_text(build_cube(edge_star, CUBES[cube]))
+    assert sum("Aggregate [" in line for line in plan.splitlines()) == sums, plan
+
+
+def test_repeated_ids_are_grouped_by_label(spark, edge_star):
+    """With two versions of each customer, the id no longer names one key."""
+    from bazaarcube.sinks.warehouse import Star
+
+    versions = edge_star["Dim_KhachHang"].withColumn("maKH", F.lit("KH"))
+    star = Star({**edge_star.tables, "Dim_KhachHang": versions}, edge_star.rows)
+    assert not star.is_unique("Dim_KhachHang", "maKH") and star.is_unique("Dim_MatHang", "maMH")
+    rows = build_cube(star, CUBES["cube_2d_nam_ma_kh"])
+    by_hand = build_cube(edge_star, CUBES["cube_2d_nam_ma_kh"]).groupBy("nam", "loaiKhachHang").agg(
+        F.sum("tongSoLuong").alias("q")
+    )
+    assert values(rows, "nam", "loaiKhachHang", "tongSoLuong") == values(by_hand)
 
 
 @pytest.mark.parametrize("subject", ["order", "inventory"])
