@@ -228,7 +228,7 @@ def label_table(
     return dim.select(key, *wanted)
 
 
-def _labels_of(subject: str, key: str, group: Sequence[str]) -> list[str]:
+def labels_of(subject: str, key: str, group: Sequence[str]) -> list[str]:
     """The columns of ``group`` that ``key`` determines."""
     what = SUBJECTS[subject]
     places = PLACE_COLUMNS if key == what.place_key else ()
@@ -262,7 +262,7 @@ def labelled(
         if key in late:
             continue
         table, _ = what.labels[key]
-        lookup = label_table(star, subject, key, _labels_of(subject, key, group), keep_unplaced)
+        lookup = label_table(star, subject, key, labels_of(subject, key, group), keep_unplaced)
         if fits_broadcast(lookup, star.rows[table]):
             cell = cell.join(F.broadcast(lookup), key, "inner")
         else:
@@ -298,12 +298,12 @@ def group_cell(star: Star, cell: DataFrame, spec: CubeSpec, merged: bool) -> Dat
     """
     late = late_keys(star, spec.subject, spec.group)
     rows, merged = labelled(star, cell, spec.subject, spec.group, merged, late=late)
-    waiting = {c for key in late for c in _labels_of(spec.subject, key, spec.group)}
+    waiting = {c for key in late for c in labels_of(spec.subject, key, spec.group)}
     early = [c for c in spec.group if c not in waiting]
     grouped = rows.groupBy(*early, *late).agg(*[m.sum_of(merged) for m in spec.measures])
     for key in late:
         table, _ = SUBJECTS[spec.subject].labels[key]
-        lookup = label_table(star, spec.subject, key, _labels_of(spec.subject, key, spec.group))
+        lookup = label_table(star, spec.subject, key, labels_of(spec.subject, key, spec.group))
         grouped = join_dim(grouped, lookup, key, "inner", star.rows[table])
     return grouped.select(*spec.group, *[m.name for m in spec.measures])
 

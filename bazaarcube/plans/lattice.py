@@ -18,13 +18,17 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarcube.operators.joins import fits_broadcast
 from bazaarcube.plans.cubes import (
     PLACE_COLUMNS,
     PLACED,
     SUBJECTS,
     CubeSpec,
     group_cell,
+    label_table,
     labelled,
+    labels_of,
+    late_keys,
     report_types,
     specs_for,
     with_calendar,
@@ -163,32 +167,66 @@ def _family(cells: KeyCells, family: Sequence[CubeSpec], columns: Sequence[str])
             *[F.lit(None).cast(_type_of(cells.star, cells.subject, c)).alias(c) for c in columns],
             *[m.name for m in what.measures],
         )
+    star, subject = cells.star, cells.subject
+    swapped = _swapped_keys(star, subject, family, used)
+    stand_in = {label: key for key, labels in swapped.items() for label in labels}
+    kept = [c for c in used if c not in stand_in]
     cell, merged = cells.cell(family[0].axes)
-    base, merged = labelled(cells.star, cell, cells.subject, used, merged, keep_unplaced=True)
+    base, merged = labelled(star, cell, subject, kept, merged, keep_unplaced=True, late=list(swapped))
     # A set by place also groups by whether there is one, so that the rows
     # without an office can be left out of these sets and no others.
     flag = [PLACED] if PLACED in base.columns else []
-    placed = [flag if any(c in PLACE_COLUMNS for c in s.group) else [] for s in family]
-    sets = [[F.col(c) for c in (*s.group, *more)] for s, more in zip(family, placed)]
-    grouped = base.groupingSets(sets, *[F.col(c) for c in (*used, *flag)]).agg(
-        *[m.sum_of(merged) for m in what.measures], *[F.grouping(c).alias(f"_no_{c}") for c in used]
+    sets = [
+        [F.col(c) for c in dict.fromkeys(stand_in.get(c, c) for c in s.group)]
+        + [F.col(c) for c in flag if any(p in s.group for p in PLACE_COLUMNS)]
+        for s in family
+    ]
+    grouped = base.groupingSets(sets, *[F.col(c) for c in (*swapped, *kept, *flag)]).agg(
+        *[m.sum_of(merged) for m in what.measures],
+        *[F.grouping(c).alias(f"_no_{c}") for c in (*swapped, *kept)],
     )
     if flag:
         grouped = grouped.filter(F.coalesce(PLACED, F.lit(True)))
+    for key, labels in swapped.items():
+        lookup = label_table(star, subject, key, labels).withColumn("_found", F.lit(True))
+        grouped = (
+            grouped.join(F.broadcast(lookup), key, "left")
+            .filter((F.col(f"_no_{key}") == 1) | F.col("_found"))
+            .drop("_found")
+        )
     gid: Column = F.lit(0)
     for i, c in enumerate(columns):
-        absent = F.col(f"_no_{c}").cast("int") if c in used else F.lit(1)
+        absent = F.col(f"_no_{stand_in.get(c, c)}").cast("int") if c in used else F.lit(1)
         gid = gid + absent * (1 << (len(columns) - 1 - i))
     return grouped.select(
         gid.cast("int").alias("gid"),
         *[
-            F.col(c) if c in used else F.lit(None).cast(_type_of(cells.star, cells.subject, c)).alias(c)
+            F.col(c) if c in used else F.lit(None).cast(_type_of(star, subject, c)).alias(c)
             for c in columns
         ],
         *[m.name for m in what.measures],
     )
 
 
+def _swapped_keys(
+    star: Star, subject: str, family: Sequence[CubeSpec], used: Sequence[str]
+) -> dict[str, list[str]]:
+    """Keys that stand for their labels in the grouping sets, with those labels.
+
+    A key can, when every set has all of its labels or none: the sets then group
+    by one integer, and the finished groups look the labels up. Only for
+    dimensions small enough to broadcast, as most groups may lack the key.
+    """
+    found = {}
+    for key in late_keys(star, subject, used):
+        table, _ = SUBJECTS[subject].labels[key]
+        labels = labels_of(subject, key, used)
+        together = all(len(set(labels) & set(s.group)) in (0, len(labels)) for s in family)
+        if together and fits_broadcast(star[table], star.rows[table]):
+            found[key] = labels
+    return found
+
+
 def _type_of(star: Star, subject: str, column: str) -> str:
     if column in _MONTH:
         return star["Dim_ThoiGian"].schema[column].dataType.simpleString()
