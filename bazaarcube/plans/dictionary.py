@@ -25,7 +25,7 @@ LAYOUTS: dict[str, Layout] = {
     "dw": Layout(
         "# Từ Điển Kho Dữ Liệu (Technical Metadata - Data Warehouse)",
         "### Bảng DW: ",
-        "| Tên Cột | Kiểu Dữ Liệu (ClickHouse) | Vai Trò (Mapping/Surrogate/Measure) | Ghi Chú |",
+        "| Tên Cột | Kiểu Dữ Liệu (Spark) | Vai Trò (Mapping/Surrogate/Measure) | Ghi Chú |",
     ),
     "cube": Layout(
         "# Từ Điển OLAP Cubes (Cube Metadata)",

@@ -76,7 +76,8 @@ def _time_key_parts(star: Star) -> DataFrame:
 def _insert_order_lines(raw: Tables) -> DataFrame:
     """All order lines offered to an empty table: one line per key is kept."""
     lines = raw["mathang_duocdat"].select("mathangmamh", "dondathangmadon", "soluongdat")
-    return insert_if_absent(lines.limit(0), lines, ("mathangmamh", "dondathangmadon"))
+    empty = lines.sparkSession.createDataFrame([], lines.schema)
+    return insert_if_absent(empty, lines, ("mathangmamh", "dondathangmadon"))
 
 
 def _incremental(subject: str, cube: str) -> Query:
