@@ -5,24 +5,145 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaarcube.llm import langid, lm_score
+from bazaarcube.llm import embed_dedup, langid, line_dedup, lm_score, minhash, mixing, packing, pii, topk, toxicity
 from bazaarcube.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.domain_labels(table(spark, sf_dir, "labels"))
+    return mixing.rates(table(spark, sf_dir, "documents"), labels)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, toxicity.label_columns(table(spark, sf_dir, "labels")), toxicity.CATEGORIES)
+    found, p_names, rejected = toxicity.predict(docs, chain)
+    return found.select("doc_id", *p_names, rejected)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, F.col("vec_id") % topk.QUERY_EVERY == 0)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op2_toxicity": op2_toxicity,
+    "op3_packing": op3_packing,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_pii": op5_pii,
     "op6_language_id": op6_language_id,
+    "op7_minmax_near_dedup": op7_minmax_near_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
+    "op10_exact_topk": op10_exact_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_FINITE = (
+    "embedding IS NOT NULL AND len(embedding) > 0"
+    " AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+)
+
+_OP4 = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.95
+), reach(a, b) AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, low.b) AS component_id,
+  e.vec_id = least(e.vec_id, low.b) AS kept
+FROM embeddings e LEFT JOIN low ON low.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+_OP7 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  JOIN n m ON m.doc_id = x.doc_id JOIN n o ON o.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, m.n, o.n HAVING 100 * count(*) >= 75 * (m.n + o.n - count(*))
+), reach(a, b) AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, low.b) AS component_id,
+  d.doc_id = least(d.doc_id, low.b) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.a = d.doc_id
+"""
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP8 = f"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+), k AS (
+  SELECT *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), o AS (
+  SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), m AS (SELECT k.*, coalesce(k.doc_id <> o.owner, false) AS gone FROM k LEFT JOIN o USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+_OP10 = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND {_FINITE}
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_near_dedup": _OP4,
+    "op7_minmax_near_dedup": _OP7,
+    "op8_line_dedup": _OP8,
+    "op10_exact_topk": _OP10,
+}

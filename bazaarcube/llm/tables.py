@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,3 +46,24 @@ class Shared:
             Shared._ready.clear()
             Shared._ready[self.key] = self.prepare(self.sent.value)
         return Shared._ready[self.key]
+
+
+def fresh_names(df: DataFrame, wanted: list[str]) -> list[str]:
+    """``wanted``, with underscores where the frame already has such a column (names
+    compare without case, as Spark does)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def extended(df: DataFrame, **kinds: str) -> StructType:
+    """The schema of ``df`` and further columns (name to type)."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in kinds.items():
+        schema.add(name, kind)
+    return schema

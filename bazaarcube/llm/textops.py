@@ -66,6 +66,17 @@ def buffers(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[first : offsets[-1]], offsets - first
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = 4 * WINDOW) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in smaller batches of about ``size`` bytes of text."""
+    for batch in batches:
+        _, offsets = buffers(batch.column(column))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def windows(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
     """Ranges of about ``size`` bytes that cut no word."""
     at, end = 0, len(data)
