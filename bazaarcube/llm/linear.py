@@ -27,6 +27,10 @@ WORD_FEATURES = 2048
 MIN_DOCS = 5
 BUCKET_BITS = 20
 FOLDS = 5
+#: Ridge penalties. Words are rare and telling; shape must earn its weight.
+WORD_PENALTY, SHAPE_PENALTY = 0.1, 20.0
+#: Words whose chi-squared statistic with a label is smaller are no features for it.
+MIN_CHI = 8.0
 
 _CLASS = np.full(256, 5, np.uint8)  # other signs
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 0, 1, 2
@@ -145,7 +149,8 @@ def sample(docs: DataFrame, labels: DataFrame, names: list[str], max_rows: int =
         if 0 < one_c < n_c:
             n, k = F.col("n").cast("double"), F.col(name)
             chi = (k * F.lit(float(n_c)) - n * F.lit(float(one_c))) ** 2 / (n * F.greatest(F.lit(float(n_all)) - n, F.lit(1.0)))
-            top = by_bucket.select("bucket", chi.alias("chi")).orderBy(F.desc("chi"), "bucket").limit(word_features)
+            chi = chi * F.lit(float(n_all) / (one_c * (n_c - one_c)))
+            top = by_bucket.select("bucket", chi.alias("chi")).filter(F.col("chi") >= MIN_CHI).orderBy(F.desc("chi"), "bucket").limit(word_features)
             chosen |= {row.bucket for row in top.collect()}
     picked_buckets = np.array(sorted(chosen), np.int64)
     features = Features(picked_buckets, np.zeros(N_SHAPE), np.ones(N_SHAPE))
@@ -189,7 +194,7 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(data: Sample, y: np.ndarray, dense: np.ndarray, n_sparse: int, penalty: float = 1.0, steps: int = 8, inner: int = 12) -> Linear:
+def fit(data: Sample, y: np.ndarray, dense: np.ndarray, n_sparse: int, steps: int = 10, inner: int = 15) -> Linear:
     """Penalised logistic regression by Newton steps, each solved by conjugate gradients."""
     n = len(y)
     row = np.repeat(np.arange(n), np.diff(data.indptr))
@@ -199,8 +204,8 @@ def fit(data: Sample, y: np.ndarray, dense: np.ndarray, n_sparse: int, penalty:
     w[-1] = np.log(ones / (1 - ones))
     if n == 0 or y.min() == y.max():
         return Linear(w[:n_sparse], w[n_sparse:-1], float(w[-1]))
-    weight = np.full(len(w), penalty)
-    weight[-1] = 1e-6
+    weight = np.full(len(w), SHAPE_PENALTY)
+    weight[:n_sparse], weight[n_sparse + N_SHAPE : -1], weight[-1] = WORD_PENALTY, 1.0, 1e-6
 
     def forward(v: np.ndarray) -> np.ndarray:
         return np.bincount(row, v[:n_sparse][data.columns], n) + dense @ v[n_sparse:-1] + v[-1]

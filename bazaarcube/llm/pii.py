@@ -73,19 +73,21 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _found(text: str, pattern: str, kind: str, when: str) -> str:
-    """SQL of the array of matches: kind, value, start, end, the characters around."""
-    p = _quoted(pattern)
-    empty = "CAST(array() AS array<struct<kind:string,value:string,s:int,e:int,before:string,after:string>>)"
-    return f"""CASE WHEN {when} THEN aggregate(
-      arrays_zip(regexp_extract_all({text}, {p}, 0) AS m, slice(split({text}, {p}, -1), 1, greatest(0, size(split({text}, {p}, -1)) - 1)) AS p,
-        slice(split({text}, {p}, -1), 2, size(split({text}, {p}, -1))) AS q),
-      struct(0 AS at, {empty} AS out),
+_NO_SPANS = "CAST(array() AS array<struct<kind:string,value:string,s:int,e:int,before:string,after:string>>)"
+
+
+def _spans(name: str) -> str:
+    """SQL of the spans of the matches ``m_name`` between the pieces ``p_name``: kind,
+    value, start, end and the characters around."""
+    m, p = f"m_{name}", f"p_{name}"
+    return f"""CASE WHEN size({m}) > 0 THEN aggregate(
+      arrays_zip({m}, slice({p}, 1, size({m})), slice({p}, 2, size({m}))),
+      struct(0 AS at, {_NO_SPANS} AS out),
       (acc, x) -> struct(
-        acc.at + char_length(x.p) + char_length(x.m) AS at,
-        concat(acc.out, array(struct({kind} AS kind, x.m AS value, acc.at + char_length(x.p) AS s,
-          acc.at + char_length(x.p) + char_length(x.m) AS e, right(x.p, 40) AS before, left(x.q, 1) AS after))) AS out),
-      acc -> acc.out) ELSE {empty} END"""
+        acc.at + char_length(x.`1`) + char_length(x.`{m}`) AS at,
+        concat(acc.out, array(struct('{name}' AS kind, x.`{m}` AS value, acc.at + char_length(x.`1`) AS s,
+          acc.at + char_length(x.`1`) + char_length(x.`{m}`) AS e, right(x.`1`, 40) AS before, left(x.`2`, 1) AS after))) AS out),
+      acc -> acc.out) ELSE {_NO_SPANS} END"""
 
 
 _DIGITS = "regexp_replace(x.value, '[^0-9]', '')"
@@ -148,16 +150,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     digit = "text rlike '[0-9]'"
     loose = "(?:" + "|".join(LOOSE.values()) + ")"
-    arrays = {
-        "email": _found("text", EMAIL, "'email'", "contains(text, '@')"),
-        "ip": _found("text", IP, "'ip'", digit),
-        "card": _found("text", CARD, "'card'", digit),
-        "phone": _found("text", PHONE, "'phone'", "contains(text, '+')"),
-        "loose": _found("text", loose, "'loose'", "text rlike '[0-9=:]|dot'"),
+    parts = {  # pattern, and what a text must hold to have a match
+        "email": (EMAIL, "instr(text, '@') > 0"),
+        "ip": (IP, digit),
+        "card": (CARD, digit),
+        "phone": (PHONE, "instr(text, '+') > 0"),
+        "loose": (loose, "text rlike '[0-9=:]|dot'"),
     }
-    spans = text.select("doc_id", *(F.expr(sql).alias(name) for name, sql in arrays.items()))
+    for name, (pattern, when) in parts.items():
+        text = text.withColumn(f"m_{name}", F.expr(f"CASE WHEN {when} THEN regexp_extract_all(text, {_quoted(pattern)}, 0) END"))
+    for name, (pattern, _) in parts.items():
+        text = text.withColumn(f"p_{name}", F.expr(f"CASE WHEN size(m_{name}) > 0 THEN split(text, {_quoted(pattern)}, -1) END"))
+    spans = text.select("doc_id", *(F.expr(_spans(name)).alias(name) for name in parts))
     for kind in BASE_KINDS:
-        spans = spans.withColumn(kind, F.expr(f"transform({kind}, x -> struct(x.*, {CHECKS[kind]} AS valid))"))
+        spans = spans.withColumn(kind, F.expr(f"transform({kind}, x -> struct(x.kind, x.value, x.s, x.e, x.before, x.after, {CHECKS[kind]} AS valid))"))
     # a digit run too short for a card is no candidate
     spans = spans.withColumn("card", F.expr(f"filter(card, x -> char_length({_DIGITS}) >= 13)"))
     kind_of = "CASE " + " ".join(f"WHEN x.value rlike {_quoted('^' + p.replace('(?<![0-9-])', '').replace('(?<![0-9])', '').replace('(?<![A-Za-z0-9])', '').replace(f'(?<!{_LOCAL})', ''))} THEN '{k}'" for k, p in LOOSE.items()) + " ELSE 'hidden_email' END"

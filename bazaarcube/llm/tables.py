@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,7 +63,5 @@ def fresh_names(df: DataFrame, wanted: list[str]) -> list[str]:
 
 def extended(df: DataFrame, **kinds: str) -> StructType:
     """The schema of ``df`` and further columns (name to type)."""
-    schema = StructType(list(df.schema.fields))
-    for name, kind in kinds.items():
-        schema.add(name, kind)
-    return schema
+    more = [StructField(name, DataType.fromDDL(kind)) for name, kind in kinds.items()]
+    return StructType([*df.schema.fields, *more])

@@ -4,7 +4,8 @@ The categories are predicted one after the other; each model sees the words, the
 shape of the text, and the log-odds that the models of the earlier categories give.
 For fitting, those log-odds are out-of-fold (the model that gave them has not seen the
 row), so later models learn how far earlier ones can be trusted. The last category
-decides; its threshold is the one with the best F1 on out-of-fold predictions.
+decides; its threshold is the one with the best F1 on out-of-fold predictions, at
+least 0.5.
 
 Defined cases: a null text is empty and gets the probability of an empty text; a
 category without both values among the labels is predicted by its base rate, and if
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from bazaarcube.llm import linear
 from bazaarcube.llm.tables import Shared, extended, fresh_names
+from bazaarcube.llm.textops import slices
 
 #: Earlier category first; each is a 0/1 column of the labels.
 CATEGORIES = ["low_quality", "toxic"]
@@ -60,7 +62,7 @@ def best_threshold(y: np.ndarray, p: np.ndarray) -> float:
     below = np.append(p[order][1:], 0.0)
     f1[p[order] == below] = -1  # no cut between equal values
     at = int(np.argmax(f1))
-    return float((p[order][at] + below[at]) / 2)
+    return max(0.5, float((p[order][at] + below[at]) / 2))
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows: int = linear.MAX_ROWS) -> Chain:
