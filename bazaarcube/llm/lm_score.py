@@ -92,7 +92,7 @@ def _scorer(shared: Shared):
             known = np.bincount(doc[hit], minlength=n_docs)
             end = np.searchsorted(keys, END_WORD)
             if end < len(keys) and keys[end] == END_WORD:
-                base, known = base + logs[end], known + 1
+                base, known = base + logs[end], known + int(counts[end] > 0)
             # the other words, as runs of equal words of a document
             d, w = doc[~hit], signed[~hit]
             order = np.lexsort((w, d))

@@ -2,7 +2,7 @@
 
 A classifier fitted on the labelled table gives every document a posterior over
 domains. Document rates r >= 0 are fitted so that the expected tokens of each domain,
-sum over documents of rate x tokens x posterior, match target weight x budget: least
+sum over documents of rate x tokens x posterior, match target weight x tokens wanted: least
 squares in the domain totals by projected gradient. The residual has one entry per
 domain, so each step is one aggregation over all documents, and a document's step
 needs only its posterior: r <- max(0, r - posterior . M residual). With the metrics
@@ -105,9 +105,9 @@ def rate_column(posteriors: list[Column], steps: list[np.ndarray]) -> Column:
     return rate
 
 
-def fit_rates(found: DataFrame, tokens: str, p_names: list[str], weights: list[float], budget: float | None = None) -> list[np.ndarray]:
-    """The steps from rate 1 to the fitted rates. ``budget``: tokens wanted, by default
-    as many as there are."""
+def fit_rates(found: DataFrame, tokens: str, p_names: list[str], weights: list[float], epochs: float = 1.0) -> list[np.ndarray]:
+    """The steps from rate 1 to the fitted rates. ``epochs``: tokens wanted for each
+    token there is."""
     p, t = [F.col(n) for n in p_names], F.col(tokens).cast("double")
     pairs = [(i, j) for i in range(len(p)) for j in range(i, len(p))]
     first = found.agg(*(F.coalesce(F.sum(t * p[i] * p[j]), F.lit(0.0)) for i, j in pairs), F.coalesce(F.sum(t), F.lit(0.0))).first()
@@ -117,7 +117,7 @@ def fit_rates(found: DataFrame, tokens: str, p_names: list[str], weights: list[f
     total = float(first[-1])
     if total <= 0:
         return []
-    target = np.array(weights) / sum(weights) * (total if budget is None else budget)
+    target = np.array(weights) / sum(weights) * total * epochs
     inverse = np.linalg.pinv(square)
     steps: list[np.ndarray] = []
     while len(steps) < MAX_STEPS:
@@ -130,23 +130,23 @@ def fit_rates(found: DataFrame, tokens: str, p_names: list[str], weights: list[f
     return steps
 
 
-def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None) -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, epochs: float = 1.0) -> DataFrame:
     """doc_id, tokens, posteriors and the fitted rate of every document."""
     names = list(targets)
     domains = fit_domains(docs, labels, names)
     found, tokens, p_names = with_posteriors(docs.select("doc_id", "text"), domains)
     stored = stage(found.drop("text"), "posteriors")
-    steps = fit_rates(stored, tokens, p_names, list(targets.values()), budget)
+    steps = fit_rates(stored, tokens, p_names, list(targets.values()), epochs)
     rate = F.when(F.col(tokens) == 0, 1.0).otherwise(rate_column([F.col(n) for n in p_names], steps))
     return stored.withColumn("rate", rate)
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, budget: float | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, epochs: float = 1.0) -> DataFrame:
     """Documents repeated or left out by their fitted rate, with their own columns."""
     domains = fit_domains(docs, labels, list(targets))
     stored, tokens, p_names = with_posteriors(docs.select("doc_id", "text"), domains)
     stored = stage(stored.drop("text"), "posteriors")
-    steps = fit_rates(stored, tokens, p_names, list(targets.values()), budget)
+    steps = fit_rates(stored, tokens, p_names, list(targets.values()), epochs)
     found, tokens, p_names = with_posteriors(docs, domains)
     rate = F.when(F.col(tokens) == 0, 1.0).otherwise(rate_column([F.col(n) for n in p_names], steps))
     chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -1,10 +1,71 @@
-"""A cleaning pipeline for training documents, built from the operators of ``llm``."""
+"""A cleaning pipeline for training documents, built from the operators of ``llm``.
+
+Each stage takes the documents its predecessor kept and returns documents with the
+same columns; the last returns the packing of what is left. Between stages the
+documents are written to the shared folder and read again.
+
+1. toxicity: documents that the classifier chain rejects go.
+2. line_dedup: lines that an earlier document already has go; their documents stay.
+3. minmax_near_dedup: of near-duplicates the document with the smallest id stays.
+4. mixing: documents are repeated by their fitted rates. The budget is larger than the
+   corpus, so that the targets are met by repeating documents, not by losing them.
+5. packing: padded batches of documents of similar length.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from bazaarcube.llm import line_dedup, minhash, mixing, packing
+from bazaarcube.llm import toxicity as toxic
+from bazaarcube.llm.tables import table
+from bazaarcube.session import stage
+
+#: Shares of the tokens by quality, and tokens wanted for each token there is.
+TARGETS = {"high": 0.85, "low": 0.15}
+EPOCHS = 1.3
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = toxic.label_columns(table(spark, sf_dir, "labels"))
+    return toxic.keep_clean(docs, toxic.fit(docs, labels, toxic.CATEGORIES))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = mixing.domain_labels(table(spark, sf_dir, "labels"))
+    return mixing.mix(docs, labels, TARGETS, epochs=EPOCHS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", lines),
+    ("minmax_near_dedup", near_duplicates),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+#: The classifiers cannot be written in SQL; the stages are tested one by one instead.
+ORACLE_SQL: str | None = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, apply in STAGES[:-1]:
+        docs = stage(apply(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from bazaarcube.llm import pii
+from llm.conftest import TEXTS
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        x = int(c) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def digits(value):
+    return re.sub("[^0-9]", "", value)
+
+
+RULES = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda v: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda v: all(int(x) <= 255 for x in v.split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", lambda v: 16 <= len(digits(v)) <= 19 and luhn(digits(v))),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda v: 8 <= len(digits(v)) <= 15),
+]
+
+
+def base_spans(text):
+    return [
+        (kind, m.start(), m.end())
+        for kind, pattern, check in RULES
+        for m in re.finditer(pattern, text or "")
+        if check(m.group())
+    ]
+
+
+def check(spark, texts, extra=""):
+    df = spark.createDataFrame([(i, t, 0) for i, t in texts], "doc_id long, text string, base int")
+    got = pii.find(df).collect()
+    assert len(got) == len(texts)
+    want = sorted(
+        (str(i), *(sum(s[0] == k for s in spans) for k in pii.BASE_KINDS), hashlib.sha256(joined.encode()).hexdigest())
+        for i, t in texts
+        for spans in [base_spans(t)]
+        for joined in [",".join(f"{k}:{a}:{b}" for k, a, b in spans)]
+    )
+    assert sorted((str(r.doc_id), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == want
+    for r in got:
+        spans = r.spans.split(",") if r.spans else []
+        order = [(pii.KINDS.index(k), int(a), int(b)) for k, a, b in (s.split(":") for s in spans)]
+        assert order == sorted(order) and len(set(spans)) == len(spans)
+    return got
+
+
+CASES = [
+    "a.b+c@mail.example.com, x@y @z.com a@b a@b.c@d.e a@b.c_x@d.e --@-.- a@@b.c",
+    "1.2.3.4 256.1.1.1 1.2.3 1.2.3.4.5 01.002.0255.0000000000000001 999999999999999999999999999999999999999999999.1.1.1 10.0.0.256",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112, 4111  1111 1111 1111, 12345678901234567890, 4111111111111111 4111111111111111",
+    "+1 (269) 555-3296 4524132264652876 +49-30-123 +1 +12 +1((((((2 +44 20 7946 0958. +1234567890123456",
+    "😀 é jane@example.org 😀 +33 1 23 45 67 89",
+    "password=b7db7aa4a5fcc78305 ssn 123-45-6789 call 555-123-4567 DE89 3704 0044 0532 0130 00 jane (at) example (dot) com",
+]
+
+
+def test_base_spans_follow_the_rules(spark):
+    texts = [*TEXTS, *((100 + i, t) for i, t in enumerate(CASES)), (200, "a" * 50_000), (201, "1" * 50_000), (202, "a@b.c " * 400), (203, "a@b" + ".c" * 20_000)]
+    check(spark, texts)
+
+
+def test_random_texts_follow_the_rules(spark):
+    found: list = []
+
+    @settings(max_examples=200, deadline=None, database=None)
+    @given(st.lists(st.sampled_from(["a", "@", ".", "b.c", "1", "23", "255", "4111111111111111", "+", "(", ")", "-", " ", "é", "😀", "_", "\n"]), max_size=30))
+    def collect(parts):
+        found.append("".join(parts))
+
+    collect()
+    check(spark, list(enumerate(found)))
+
+
+def test_added_spans_are_learned_and_leave_base_spans_alone(spark):
+    rng = np.random.default_rng(0)
+    texts = []
+    for i in range(600):
+        secret = f"password={rng.integers(16**8):08x}a7"
+        kinds = [f"login {secret} now", f"mail jane{i}@example.com", f"card 4111 1111 1111 1111 ({i})", f"order 4111 1111 1111 1112 ({i})", "no data here"]
+        texts.append((i, kinds[i % 5]))
+    got = {r.doc_id: r.spans for r in check(spark, texts)}
+    assert all(got[i].startswith("secret:6:") for i in range(0, 600, 5))
+    assert all(got[i] == "" for i in range(4, 600, 5))
+
+
+def test_reliabilities_are_recovered():
+    rng = np.random.default_rng(4)
+    n = 40_000
+    truth = rng.random(n) < 0.6
+    hit, false = np.array([0.9, 0.75, 0.85]), np.array([0.1, 0.35, 0.2])
+    vote = np.where(rng.random((n, 3)) < np.where(truth[:, None], hit, false), 1, -1)
+    vote[rng.random((n, 3)) < 0.3] = 0
+    patterns, inverse, counts = np.unique(vote, axis=0, return_inverse=True, return_counts=True)
+    p, found = pii.reliabilities(np.zeros(len(patterns), int), patterns, counts.astype(float), 300)
+    assert found["hit"] == pytest.approx(hit, abs=0.05) and found["false"] == pytest.approx(false, abs=0.05)
+    assert found["share"][0] == pytest.approx(0.6, abs=0.05)
+
+
+def test_no_documents(no_docs):
+    assert pii.find(no_docs).count() == 0
+
+
+def test_the_plan_has_no_python(spark, awkward):
+    plan = pii.candidates(awkward)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
