@@ -24,7 +24,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         small = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: the larger neighbours move to the smallest vertex around
-        large = now.select(F.col("v").alias("u"), F.col("u").alias("v")).join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = now.select(F.col("v").alias("u"), F.col("u").alias("v")).join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: the vertex and its smaller neighbours move to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(least)

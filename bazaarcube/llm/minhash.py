@@ -6,11 +6,14 @@ Of each class, the minimum AND the maximum of its hashed shingles under each of
 are banded by ``BAND`` values; a pair of similarity 0.75 misses all 64 bands with
 probability 3e-8.
 
-A bucket of m documents is not expanded into its pairs. Its most central document (the
-one in the fullest buckets) is the leader, and only pairs of leader and member are
-compared. This links most of a dense group. What is left are pairs of one bucket in
-different components: while they are many, the bucket's next documents lead further
-rounds; then all of them are compared, so no candidate pair goes untested.
+A bucket of m documents is not expanded into its pairs. First, each candidate's
+shingles that no other candidate has are counted (one aggregation): a pair can only
+reach the threshold if what is left of both sets is large enough, so strongly edited
+copies, which can match nothing, leave at once. Then the bucket's most central document
+(the one in the fullest buckets) is its leader, and only pairs of leader and member
+are compared, in some bands first, then in all buckets that still hold several
+components. While many pairs are left, the next documents lead further rounds; in
+the end all pairs that are left are compared, so no candidate pair goes untested.
 
 Candidates pass if their signatures agree as often as a pair of similarity 0.75 does
 to within six standard deviations, and are then confirmed on the full sets of both
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarcube.llm.components import components
@@ -47,8 +50,12 @@ _P = PERCENT / 100 + (1 - PERCENT / 100) / 256
 AGREE = int(VALUES * _P - 6 * (VALUES * _P * (1 - _P)) ** 0.5)
 #: Leaders of a bucket at most, before all remaining pairs are compared.
 ROUNDS = 4
-#: Further leaders are tried while there are so many pairs left for each document.
-DENSE = 8
+#: Further leaders are tried while there are so many pairs left for each candidate.
+DENSE = 4
+#: Bands of the first round: copies that differ little meet in any few bands.
+FIRST_BANDS = 12
+#: Ids sent to all executors to fetch candidate texts; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 #: Shingles handled at once when pairs are confirmed.
 STEP = 1 << 20
 
@@ -116,9 +123,9 @@ def similar(a: pa.Array, b: pa.Array) -> np.ndarray:
     out = np.zeros(len(a), bool)
     sets = []
     for texts in (a, b):  # a text that occurs in many pairs is cut into shingles once
-        coded = texts.dictionary_encode()
+        coded = texts.fill_null("").dictionary_encode()
         x, first = shingles(coded.dictionary)
-        sets.append((x, first, coded.indices.fill_null(0).to_numpy(zero_copy_only=False)))
+        sets.append((x, first, coded.indices.to_numpy(zero_copy_only=False)))
     sizes = [(first[1:] - first[:-1])[index] for _, first, index in sets]
     total = np.cumsum(sizes[0] + sizes[1])
     lo = 0
@@ -144,8 +151,22 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(similar(batch.column("text_a"), batch.column("text_b"))))
 
 
-def _alike_in_size(a: str, b: str):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each set with its elements."""
+    for batch in slices(batches):
+        x, first = shingles(batch.column("text"))
+        h1 = np.zeros(batch.num_rows, np.uint64)
+        has = np.flatnonzero(np.diff(first))
+        if len(has):
+            h1[has] = np.add.reduceat(mix(x), first[:-1][has])
+        lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(x.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), lists], names=["h1", "x"])
+
+
+def _possible(n1: str, shared1: str, n2: str, shared2: str) -> Column:
+    """Whether two sets of sizes n, of which ``shared`` elements occur elsewhere, can
+    reach the threshold: it asks for (100 + PERCENT) * common >= PERCENT * (n1 + n2)."""
+    return F.least(shared1, shared2) * (100 + PERCENT) >= (F.col(n1) + F.col(n2)) * PERCENT
 
 
 class _Search:
@@ -153,7 +174,6 @@ class _Search:
 
     def __init__(self, docs: DataFrame) -> None:
         kind = docs.schema["doc_id"].dataType.simpleString()
-        self.docs = docs
         self.signed = stage(
             docs.mapInArrow(_sign, f"doc_id {kind}, n long, h1 long, h2 long, keys array<long>, sig binary"), "signed"
         )
@@ -166,21 +186,35 @@ class _Search:
         )
         heads = self.reps.select(*same, F.col("doc_id").alias("b"))
         self.copies = filled.select(F.col("doc_id").alias("a"), *same).join(heads, same).select("a", "b").filter("a <> b")
-        bands = self.reps.select("doc_id", "n", F.explode("keys").alias("key"))
-        shared = bands.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-        self.members = stage(bands.join(shared, "key"), "buckets")
+        bands = self.reps.select("doc_id", "n", "h1", F.posexplode("keys").alias("band", "key"))
+        shared = self.reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+        members = stage(bands.join(shared, "key"), "buckets")
+        ids = stage(members.select("doc_id").distinct(), "candidates")
+        self.n_docs = ids.count()
+        few = F.broadcast(ids) if self.n_docs <= BROADCAST_IDS else ids
+        self.texts = stage(docs.join(few, "doc_id", "left_semi"), "candidate-texts")
+        elements = self.texts.select("text").mapInArrow(_sets, "h1 long, x array<long>").select("h1", F.explode("x").alias("x"))
+        alone = elements.groupBy("x").agg(F.count("*").alias("c"), F.min("h1").alias("h1")).filter("c = 1")
+        alone = alone.groupBy("h1").agg(F.count("*").alias("alone"))
+        members = members.join(alone, "h1", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
+        # a set with too much of its own can match no other, whatever its size
+        self.members = stage(members.filter(F.col("shared") * 100 >= F.col("n") * PERCENT).drop("alone", "h1"), "members")
         self.tested: DataFrame | None = None
         self.links: DataFrame | None = None
+        self.found: DataFrame | None = None
 
     def leaders(self) -> DataFrame:
         """The most central documents of each bucket, numbered."""
         score = self.members.groupBy("doc_id").agg(F.sum("m").alias("score"))
         order = Window.partitionBy("key").orderBy(F.desc("score"), "doc_id")
-        ranked = self.members.join(score, "doc_id").select("key", F.col("doc_id").alias("leader"), F.col("n").alias("leader_n"), "score", F.col("doc_id"))
-        return stage(ranked.withColumn("round", F.row_number().over(order)).filter(F.col("round") <= ROUNDS).select("key", "leader", "leader_n", "round"), "leaders")
+        ranked = self.members.join(score, "doc_id").withColumn("round", F.row_number().over(order)).filter(F.col("round") <= ROUNDS)
+        return stage(
+            ranked.select("key", "round", F.col("doc_id").alias("leader"), F.col("n").alias("leader_n"), F.col("shared").alias("leader_shared")),
+            "leaders",
+        )
 
     def compare(self, pairs: DataFrame) -> None:
-        """Confirms candidate pairs (a, b) and adds their links."""
+        """Confirms candidate pairs (a, b), adds their links, and joins the components."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
@@ -189,44 +223,40 @@ class _Search:
         met = met.join(sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "sig_a", "sig_b")
         ids = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
         close = stage(met.mapInArrow(_agreeing, ids), "close")
-        involved = stage(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct().join(self.docs, "doc_id"), "close-texts")
-        text = lambda side: involved.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
+        text = lambda side: self.texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
         met = close.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
-        found = stage(met.mapInArrow(_confirmed, ids).distinct(), "links")
+        links = stage(met.mapInArrow(_confirmed, ids).distinct(), "links")
         self.tested = close if self.tested is None else self.tested.union(close)
-        self.links = found if self.links is None else self.links.union(found)
-
-    def component_of(self) -> DataFrame:
-        return stage(components(self.links, "a", "b"), "components")
+        if self.found is not None:  # what is connected already is one star
+            links = links.union(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        self.found = stage(components(links, "a", "b"), "components")
 
     def run(self) -> DataFrame:
         """(id, component) of every document that is linked."""
         leaders = self.leaders()
-        n_docs = max(1, self.reps.count())
-        members = self.members.select("key", "doc_id", "n")
-        for number in range(1, ROUNDS + 1):
-            leader = leaders.filter(F.col("round") == number)
-            pairs = members.join(leader, "key").filter("doc_id <> leader").filter(_alike_in_size("n", "leader_n"))
-            self.compare(pairs.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
-            found = self.component_of()
-            placed = self.members.join(found, F.col("doc_id") == F.col("id"), "left")
-            placed = placed.select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+        open_members = self.members.filter(F.col("band") < FIRST_BANDS)
+        for number in range(ROUNDS):
+            leader = leaders.filter(F.col("round") == max(number, 1))
+            met = open_members.join(leader, "key").filter("doc_id <> leader")
+            met = met.filter(_possible("n", "shared", "leader_n", "leader_shared"))
+            self.compare(met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
+            placed = self.members.join(self.found, F.col("doc_id") == F.col("id"), "left")
+            placed = placed.select("key", "doc_id", "n", "shared", F.coalesce("component", "doc_id").alias("component"))
             per = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-            open_ = per.groupBy("key").agg(((F.sum("c") ** 2 - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"), F.count("*").alias("k")).filter("k > 1")
-            open_ = stage(open_, "open")
-            left = open_.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+            counted = per.groupBy("key").agg(((F.sum("c") ** 2 - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"), F.count("*").alias("k"))
+            # only buckets with several components have anything left to compare
+            still = stage(counted.filter("k > 1"), "open")
+            left = still.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
             if left == 0:
                 break
-            # only buckets with several components have anything left to compare
-            members = stage(placed.join(open_.select("key"), "key"), "open-members")
-            if left <= DENSE * n_docs or number == ROUNDS:
-                one, two = members.alias("x"), members.alias("y")
-                pairs = one.join(two, F.col("x.key") == F.col("y.key")).filter("x.doc_id < y.doc_id and x.component <> y.component")
-                pairs = pairs.filter(_alike_in_size("x.n", "y.n"))
-                self.compare(pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")))
+            open_members = stage(placed.join(still.select("key"), "key"), "open-members")
+            if left <= DENSE * self.n_docs or number == ROUNDS - 1:
+                one, two = open_members.alias("x"), open_members.alias("y")
+                met = one.join(two, F.col("x.key") == F.col("y.key")).filter("x.doc_id < y.doc_id and x.component <> y.component")
+                met = met.filter(_possible("x.n", "x.shared", "y.n", "y.shared"))
+                self.compare(met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")))
                 break
-            members = members.select("key", "doc_id", "n")
-        return components(self.links.union(self.copies), "a", "b")
+        return components(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(self.copies), "a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
