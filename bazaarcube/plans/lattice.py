@@ -9,12 +9,14 @@ each other cell one pass over a narrower cell.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import combinations
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ from bazaarcube.plans.cubes import (
     specs_for,
     with_calendar,
 )
-from bazaarcube.session import stage
+from bazaarcube.session import exists, move_folder, new_folder, remove_folder, stage_at
 from bazaarcube.sinks.warehouse import Star
 
 _MONTH = ("nam", "quy", "thang")
@@ -79,8 +81,13 @@ def narrower(subject: str, cell: DataFrame, axes: Axes, merged: bool) -> DataFra
 class KeyCells:
     """The key cells of one subject, each with whether it holds sums already."""
 
-    def __init__(self, star: Star, subject: str, cells: dict[Axes, tuple[DataFrame, bool]]):
-        self.star, self.subject, self.cells = star, subject, cells
+    def __init__(self, star: Star, subject: str, cells: dict[Axes, tuple[DataFrame, bool]], folder: str | None = None):
+        self.star, self.subject, self.cells, self.folder = star, subject, cells, folder
+
+    def remove(self, spark: SparkSession) -> None:
+        """Delete the stored cells; nothing can be read from them any more."""
+        if self.folder:
+            remove_folder(spark, self.folder)
 
     @classmethod
     def staged(cls, star: Star, subject: str) -> KeyCells:
@@ -89,21 +96,23 @@ class KeyCells:
         all_axes = ("T", *SUBJECTS[subject].keys)
         widest = frozenset(all_axes)
         cells: dict[Axes, tuple[DataFrame, bool]] = {}
+        folder = new_folder(star.spark, f"cells-{subject}")
         if widest_cell_pays(star, subject):
-            cells[widest] = (stage(widest_cell(star, subject), f"cell-{subject}"), True)
+            cells[widest] = (stage_at(widest_cell(star, subject), f"{folder}/widest"), True)
         else:
             cells[widest] = (fact_cell(star, subject), False)
 
         def store(axes: Axes) -> tuple[Axes, DataFrame]:
             df, merged = cells[min((a for a in cells if axes < a), key=len)]
-            return axes, stage(narrower(subject, df, axes, merged), f"cell-{subject}")
+            name = "-".join(["axes", *sorted(axes)])
+            return axes, stage_at(narrower(subject, df, axes, merged), f"{folder}/{name}")
 
         # Level by level: a cell is summed from one with a single axis more.
         with ThreadPoolExecutor(3) as pool:
             for size in (2, 1, 0):
-                level = list(pool.map(store, map(frozenset, combinations(all_axes, size))))
+                level = list(pool.map(inheritable_thread_target(star.spark)(store), map(frozenset, combinations(all_axes, size))))
                 cells.update({axes: (df, True) for axes, df in level})
-        return cls(star, subject, cells)
+        return cls(star, subject, cells, folder)
 
     @classmethod
     def lazy(cls, star: Star, subject: str, widest: DataFrame) -> KeyCells:
@@ -258,41 +267,66 @@ def lattice_cube(rows: DataFrame, spec: CubeSpec, specs: Sequence[CubeSpec]) ->
 def build_cubes(
     star: Star, path: str, subject: str, dims: Iterable[int] = (0, 1, 2, 3), at_once: int = 4
 ) -> list[str]:
-    """Store every cube of ``subject`` under ``path``; a rerun replaces them.
+    """Store every cube of ``subject`` under ``path`` with exact sums. A rerun replaces
+    the old cubes when all new ones are complete. ``open_cube`` reads one with its
+    reported types.
 
     The cubes are independent queries on the staged cells, so a few are sent to
     Spark at a time: a small cube does not leave the cluster idle.
     """
     cells = KeyCells.staged(star, subject)
+    draft = f"{path}/_draft-{uuid.uuid4().hex}"
 
     def write(spec: CubeSpec) -> str:
-        cells.cube(spec).write.mode("overwrite").parquet(f"{path}/{spec.name}")
+        cells.exact_cube(spec).write.parquet(f"{draft}/{spec.name}")
         return spec.name
 
-    with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(write, specs_for(subject, dims)))
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            names = list(pool.map(inheritable_thread_target(star.spark)(write), specs_for(subject, dims)))
+        for name in names:
+            remove_folder(star.spark, f"{path}/{name}")
+            move_folder(star.spark, f"{draft}/{name}", f"{path}/{name}")
+    finally:
+        remove_folder(star.spark, draft)
+        cells.remove(star.spark)
+    return names
+
+
+def cube_exists(spark: SparkSession, path: str, name: str) -> bool:
+    """Whether the cube ``name`` was stored completely under ``path``."""
+    return exists(spark, f"{path}/{name}/_SUCCESS")
 
 
-def cube_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
+def open_cube(spark: SparkSession, path: str, spec: CubeSpec) -> DataFrame:
+    return report_types(spark.read.parquet(f"{path}/{spec.name}"), spec)
+
+
+def same_rows(subject: str, spec: CubeSpec, group: Sequence[str]) -> bool:
+    """Whether the cube holds exactly the facts that ``group`` asks for: a cube leaves
+    out facts without a key on its axes, and by place also those without an office."""
+    asked = CubeSpec("asked", subject, tuple(group), 0)
+    placed = [any(c in PLACE_COLUMNS for c in s.group) for s in (spec, asked)]
+    return spec.axes == asked.axes and placed[0] == placed[1]
 
 
 def answer_from_cube(
     spark: SparkSession, path: str, subject: str, group: Sequence[str], rows: dict[str, int]
 ) -> tuple[str, DataFrame]:
-    """Answer a grouping from the smallest stored cube that has its columns.
+    """Answer a grouping from the smallest stored cube that has its columns and the
+    same facts. Without such a cube a LookupError tells the caller to ask the fact.
 
     ``rows`` gives the row count of each stored cube. All measures are additive,
     so the cube's sums are summed again.
     """
     covering = [
-        s for s in specs_for(subject) if s.name in rows and set(group) <= set(s.group)
+        s for s in specs_for(subject)
+        if s.name in rows and set(group) <= set(s.group) and same_rows(subject, s, group)
     ]
     if not covering:
-        raise LookupError(f"no stored cube has the columns {list(group)}")
+        raise LookupError(f"no stored cube answers {list(group)}")
     spec = min(covering, key=lambda s: (rows[s.name], s.name))
     cube = spark.read.parquet(f"{path}/{spec.name}")
-    sums = [
-        F.sum(F.col(m.name).cast(m.exact)).cast(m.reported).alias(m.name) for m in spec.measures
-    ]
-    return spec.name, cube.groupBy(*group).agg(*sums)
+    sums = [m.merged_sum() for m in spec.measures]
+    merged = cube.groupBy(*group).agg(*sums)
+    return spec.name, merged.select(*group, *[m.report() for m in spec.measures])

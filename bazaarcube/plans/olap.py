@@ -54,10 +54,12 @@ def latest_stock(star: Star) -> DataFrame:
 
     Stock is not additive over time: summing the daily records, as the stock
     cubes do, counts the same goods once per record. This is the other reading.
-    The newest figure is the largest (day, quantity) pair packed in one number,
-    which keeps the aggregate in hash aggregation.
+    The newest figure is the largest (day, quantity) pair. Both fit in one number
+    of 64 bits (the day above, the quantity moved to start at zero below), which
+    keeps the aggregate in hash aggregation.
     """
-    packed = F.col("sk_thoiGian").cast("bigint") * F.lit(1 << 31) + F.col("soLuongTonKho")
+    lowest = -(1 << 31)
+    packed = F.shiftleft(F.col("sk_thoiGian").cast("bigint"), 32) + (F.col("soLuongTonKho").cast("bigint") - lowest)
     newest = (
         star["Fact_TonKho"]
         .filter(F.col("sk_thoiGian").isNotNull())
@@ -67,8 +69,8 @@ def latest_stock(star: Star) -> DataFrame:
     return newest.select(
         "sk_cuaHang",
         "sk_matHang",
-        F.floor(F.col("moi") / F.lit(1 << 31)).cast("int").alias("sk_thoiGian"),
-        F.pmod("moi", F.lit(1 << 31)).cast("int").alias("soLuongTonKho"),
+        F.shiftright("moi", 32).cast("int").alias("sk_thoiGian"),
+        (F.col("moi").bitwiseAND(F.lit((1 << 32) - 1)) + lowest).cast("int").alias("soLuongTonKho"),
     )
 
 

@@ -12,7 +12,7 @@ from bazaarcube.plans.lattice import build_cubes
 from bazaarcube.plans.star import build_star
 from bazaarcube.schemas import FACT_KEYS
 from bazaarcube.sinks.runlog import append_run, now
-from bazaarcube.sinks.warehouse import Star
+from bazaarcube.sinks.warehouse import VERSIONS, Star, publish_version
 from bazaarcube.sources.operational import SourceConfig, Tables, load_sources, table_counts
 
 #: Tables whose repeated keys would multiply customers, stores or products.
@@ -47,8 +47,10 @@ def run_etl(
 ) -> RunResult:
     """Refresh the warehouse (and, given ``cube_path``, all cubes) from the source.
 
-    A refresh replaces every table, so running it twice changes nothing. A
-    failure is logged and reported with exit code 1 rather than raised.
+    A refresh builds a new version of the star beside the old one. Readers follow a
+    pointer that moves only when all tables are stored, so a failed refresh leaves the
+    old star as it was, and running twice changes nothing. A failure is logged and
+    reported with exit code 1 rather than raised.
     """
     start = now()
     log = f"{warehouse}/pipeline_runs"
@@ -58,7 +60,9 @@ def run_etl(
         raw = load_sources(spark, source) if isinstance(source, SourceConfig) else source
         extracted = {row["bang"]: row["so_dong"] for row in table_counts(raw).collect()}
         require_unique(raw, UNIQUE_BEFORE_LOAD)
-        star = build_star(spark, raw, warehouse)
+        version = f"{start:%Y%m%dT%H%M%S%f}"
+        star = build_star(spark, raw, f"{warehouse}/{VERSIONS}/{version}")
+        publish_version(spark, warehouse, version)
         loaded = dict(star.rows)
         write_quarantine(star, warehouse)
         if cube_path is not None:

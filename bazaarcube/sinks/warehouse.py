@@ -11,10 +11,13 @@ from pyspark.sql.types import StructType
 from bazaarcube.functions.columns import key_month, key_year, nan_to_null
 from bazaarcube.operators.quality import key_violations
 from bazaarcube.schemas import LOAD_ORDER, WAREHOUSE
+from bazaarcube.session import folder_names, read_pointer, remove_folder, write_pointer
 from bazaarcube.sources.operational import table_counts
 
 # The year a fact row falls in: its folder on disk, not a column of the table.
 _YEAR = "nam_ghi"
+#: Complete stars by version, and the file that names the one to read.
+VERSIONS, POINTER = "versions", "CURRENT"
 
 
 @dataclass(frozen=True)
@@ -75,7 +78,24 @@ def stored_rows(df: DataFrame) -> int:
     return df.count()
 
 
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder of the star that the warehouse points to; the warehouse itself where
+    tables were loaded without versions."""
+    name = read_pointer(spark, f"{path}/{POINTER}")
+    return f"{path}/{VERSIONS}/{name}" if name else path
+
+
+def publish_version(spark: SparkSession, path: str, name: str, keep: int = 2) -> None:
+    """Point the warehouse to a complete version, in one step, and remove versions
+    older than the last ``keep``."""
+    write_pointer(spark, f"{path}/{POINTER}", name)
+    for old in sorted(folder_names(spark, f"{path}/{VERSIONS}"))[:-keep]:
+        if old != name:
+            remove_folder(spark, f"{path}/{VERSIONS}/{old}")
+
+
 def open_star(spark: SparkSession, path: str) -> Star:
+    path = current_version(spark, path)
     tables = {name: open_table(spark, path, name) for name in LOAD_ORDER}
     rows = {row["bang"]: row["so_dong"] for row in table_counts(tables).collect()}
     return Star(tables, rows)

@@ -125,6 +125,14 @@ def _quality() -> dict[str, str]:
                JOIN khachhang ON makh = khachhangmakh
                JOIN vanphongdaidien ON matp = vanphongdaidienmatp GROUP BY mien"""
         ),
+        "insert_if_absent_overlap": source_sql(
+            """SELECT mathangmamh, dondathangmadon, soluongdat, CAST(giadat AS DOUBLE) AS giadat
+               FROM mathang_duocdat WHERE dondathangmadon % 3 <> 0
+               UNION ALL
+               SELECT mathangmamh, dondathangmadon, x.s + 1000, CAST(x.g AS DOUBLE) FROM (
+                 SELECT mathangmamh, dondathangmadon, MIN({'s': soluongdat, 'g': giadat}) AS x
+                 FROM mathang_duocdat WHERE dondathangmadon % 3 = 0 GROUP BY mathangmamh, dondathangmadon)"""
+        ),
         "insert_if_absent_order_lines": source_sql(
             """SELECT mathangmamh, dondathangmadon, MIN(soluongdat) AS soluongdat
                FROM mathang_duocdat GROUP BY mathangmamh, dondathangmadon"""
@@ -293,6 +301,7 @@ def oracle_sql() -> dict[str, str]:
     sql["lattice_inventory"] = lattice_sql("inventory", INVENTORY_CUBES)
     sql["cube_incremental"] = cube_sql("order", ["nam", "quy", "mien", "tenThanhPho"])
     sql["cube_incremental_inventory"] = cube_sql("inventory", ["nam", "thang", "tenThanhPho"])
+    sql["cube_backfill_stream_compact"] = cube_sql("order", ["nam", "quy", "mien", "tenThanhPho"])
     sql["cube_resolved"] = cube_sql("order", ["loaiKhachHang"])
     sql["scd2_customer"] = _SCD
     return sql

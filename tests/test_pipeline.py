@@ -3,6 +3,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarcube.plans.pipeline import run_etl
 from bazaarcube.session import new_folder, shared_dir
@@ -28,6 +29,17 @@ def test_run_twice_equals_run_once(spark, edge_raw):
     assert spark.read.parquet(f"{path}/quarantine/Fact_TonKho").count() == 2
 
 
+def test_a_failed_refresh_leaves_the_old_star(spark, edge_raw):
+    path = new_folder(spark, "dw")
+    assert run_etl(spark, edge_raw, path).exit_code == 0
+    before = {name: values(open_star(spark, path)[name]) for name in ("Dim_KhachHang", "Fact_DonDatHang")}
+    customers = edge_raw["khachhang"].union(spark.createDataFrame([("KH00000", "New", None, None)], edge_raw["khachhang"].schema))
+    broken = edge_raw["mathang_duocdat"].withColumn("soluongdat", F.raise_error(F.lit("broken line")).cast("int"))
+    result = run_etl(spark, {**edge_raw, "khachhang": customers, "mathang_duocdat": broken}, path)
+    assert result.exit_code == 1
+    assert {name: values(open_star(spark, path)[name]) for name in before} == before
+
+
 def test_failure_is_logged(spark):
     raw = source_frames(spark, mathang=[("M", "x", None, None, None, None, None)] * 2)
     path = new_folder(spark, "dw")
