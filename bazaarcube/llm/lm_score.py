@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from bazaarcube.llm import ppm
 from bazaarcube.llm.gram_counts import columns, model, reduced
 from bazaarcube.llm.tables import Shared, remainder
-from bazaarcube.llm.textops import doc_of, words
+from bazaarcube.llm.textops import doc_of, slices, words
 from bazaarcube.session import stage
 
 #: Contexts of three bytes kept in the byte model.
@@ -49,7 +49,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["kind", "key", "n"],
             )
 
-    for batch in batches:
+    for batch in slices(batches):
         text = batch.column("text")
         ppm.count_grams(text, grams)
         found.add(words(text)[0])
@@ -69,6 +69,21 @@ def train(docs: DataFrame) -> DataFrame:
     return stage(summed, "lm-counts")
 
 
+def least_count(vocabulary: DataFrame, frequent: int) -> int:
+    """The least count that at most ``frequent`` words reach, by a histogram of counts:
+    exact below 1024, then in 16 steps for each doubling."""
+    n = F.col("n")
+    step = F.when(n < 1024, n).otherwise(F.floor(F.log2(n) * 16).cast("long") + 864)
+    bins = vocabulary.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()
+    total, least = 0, 1 << 62
+    for row in sorted(bins, key=lambda r: -r.least):
+        total += row.words
+        if total > frequent:
+            break
+        least = row.least
+    return least
+
+
 def _prepare(value: tuple) -> tuple[ppm.Model, np.ndarray, np.ndarray]:
     (long, short), keys, counts = value
     return model(long, short, exclusion=True), keys, counts
@@ -81,7 +96,7 @@ def _scorer(shared: Shared):
         byte_model, keys, counts = shared.get()
         logs = np.log10(counts + 1.0)
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             text, n_docs = batch.column("text"), batch.num_rows
             h, first = words(text)
             doc = doc_of(first)
@@ -124,8 +139,9 @@ def score(docs: DataFrame, contexts: int = CONTEXTS, frequent: int = FREQUENT) -
     vocabulary = counts.filter(F.col("kind") == WORD).select("key", "n")
     n_all, n_distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     tables = reduced(counts.filter(F.col("kind") == GRAM).select(F.col("key").alias("code"), "n"), [], contexts)
-    # The end token first: it is always broadcast.
-    top = vocabulary.orderBy((F.col("key") != END_WORD), F.desc("n"), "key").limit(frequent).toArrow()
+    # The end token is always broadcast.
+    enough = least_count(vocabulary, frequent)
+    top = vocabulary.filter((F.col("n") >= enough) | (F.col("key") == END_WORD)).toArrow()
     keys, n = columns(top, "key", "n")
     order = np.argsort(keys)
     if not len(keys):
