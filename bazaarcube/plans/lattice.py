@@ -142,9 +142,13 @@ class KeyCells:
 
 
 def lattice_columns(specs: Sequence[CubeSpec]) -> list[str]:
-    """Grouping columns in the fixed order that numbers the bits of ``gid``."""
+    """Grouping columns in the fixed order that numbers the bits of ``gid``. What the
+    key cells do not hold (days, line counts) is refused rather than left out."""
     used = {c for s in specs for c in s.group}
-    order = ("nam", "quy", "thang", "maKH", "loaiKhachHang", "maMH", "tenMH", "mien", "tenThanhPho")
+    order = ("nam", "quy", "thang", "maKH", "loaiKhachHang", "maMH", "tenMH", "mien", "tenThanhPho", "maCH")
+    lost = (used - set(order)) | {m.name for s in specs for m in s.extra}
+    if lost:
+        raise ValueError(f"key cells do not hold {sorted(lost)}")
     return [c for c in order if c in used]
 
 

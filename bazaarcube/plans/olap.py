@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaarcube.functions.columns import line_revenue
 from bazaarcube.operators.joins import join_dim
-from bazaarcube.plans.cubes import CubeSpec, build_cube
+from bazaarcube.plans.cubes import SUBJECTS, CubeSpec, build_cube
 from bazaarcube.plans.star import store_view
 from bazaarcube.sinks.warehouse import Star
 from bazaarcube.sources.operational import Tables
@@ -33,19 +33,52 @@ def drill_down(star: Star, region: str) -> DataFrame:
     return build_cube(star, spec).filter(F.col("mien") == F.lit(region))
 
 
+def drill_to_stores(star: Star, city: str) -> DataFrame:
+    """From one city's stock down to its stores by month."""
+    spec = CubeSpec("drill", "inventory", ("tenThanhPho", "maCH", "nam", "thang"), 3)
+    return build_cube(star, spec).filter(F.col("tenThanhPho") == F.lit(city))
+
+
 def slice_cube(star: Star, customer_type: str) -> DataFrame:
     """One customer type, by month."""
     spec = CubeSpec("slice", "order", ("nam", "thang", "loaiKhachHang"), 2)
     return build_cube(star, spec).filter(F.col("loaiKhachHang") == F.lit(customer_type))
 
 
+def only_members(star: Star, subject: str, key: str, label: str, value: object) -> Star:
+    """The star with the facts of one member of a dimension: its id is looked up
+    first, so that only its rows are grouped."""
+    what = SUBJECTS[subject]
+    table, _ = what.labels[key]
+    keys = star[table].filter(F.col(label) == F.lit(value)).select(key)
+    rows = join_dim(star[what.fact], keys, key, "left_semi", star.rows[table])
+    return Star({**star.tables, what.fact: rows}, star.rows)
+
+
+def slice_customer(star: Star, customer: object) -> DataFrame:
+    """One customer's purchases, by month."""
+    one = only_members(star, "order", "sk_khachHang", "maKH", customer)
+    return build_cube(one, CubeSpec("slice", "order", ("nam", "thang", "maKH"), 2))
+
+
+def slice_product(star: Star, product: object) -> DataFrame:
+    """One product's sales, by month."""
+    one = only_members(star, "order", "sk_matHang", "maMH", product)
+    return build_cube(one, CubeSpec("slice", "order", ("nam", "thang", "maMH"), 2))
+
+
+def slice_city(star: Star, city: str) -> DataFrame:
+    """One city's sales, by month."""
+    spec = CubeSpec("slice", "order", ("nam", "thang", "tenThanhPho"), 2)
+    return build_cube(star, spec).filter(F.col("tenThanhPho") == F.lit(city))
+
+
 def dice_cube(star: Star, product: object, city: str, month: int) -> DataFrame:
     """One product in one city in one calendar month, by year and type."""
+    one = only_members(star, "order", "sk_matHang", "maMH", product)
     group = ("nam", "thang", "maMH", "tenThanhPho", "loaiKhachHang")
-    return build_cube(star, CubeSpec("dice", "order", group, 4)).filter(
-        (F.col("maMH") == F.lit(product))
-        & (F.col("tenThanhPho") == F.lit(city))
-        & (F.col("thang") == month)
+    return build_cube(one, CubeSpec("dice", "order", group, 4)).filter(
+        (F.col("tenThanhPho") == F.lit(city)) & (F.col("thang") == month)
     )
 
 

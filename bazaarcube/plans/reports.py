@@ -179,7 +179,7 @@ def customer_place(star: Star, customer: object) -> DataFrame:
 def stock_in_city(star: Star, product: object, city: str) -> DataFrame:
     """Stock of one product in the stores of one city."""
     labels = store_view(star).filter(F.col("tenThanhPho") == F.lit(city)).select("sk_cuaHang", "maCH")
-    goods = star["Dim_MatHang"].select("sk_matHang", "moTa")
+    goods = star["Dim_MatHang"].filter(F.col("maMH") == F.lit(product)).select("sk_matHang", "moTa")
     rows = _join(star, _stock_of(star, product), labels, "Dim_CuaHang")
     rows = _join(star, rows, goods, "Dim_MatHang")
     return rows.groupBy("maCH", "moTa").agg(F.sum("soLuongTonKho").alias("tongTonKho"))

@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarcube.functions.columns import key_date, key_day, key_month, key_year
+from bazaarcube.functions.columns import key_date, key_day, key_month, key_year, nan_to_null
+from bazaarcube.operators.facts import quarantine
 from bazaarcube.operators.quality import foreign_key_report, insert_if_absent, primary_key_report
 from bazaarcube.operators.scd import first_version, merge_versions
 from bazaarcube.plans import olap, reports
 from bazaarcube.plans.cubes import CUBES, build_cube, specs_for
 from bazaarcube.plans.lattice import answer_from_cube, build_cubes, build_lattice
+from bazaarcube.plans.pipeline import run_etl
 from bazaarcube.plans.star import customer_view, star_for_testdata, store_view, with_day_names
 from bazaarcube.session import new_folder, stage
+from bazaarcube.sinks.runlog import read_runs
 from bazaarcube.sinks.warehouse import Star, row_counts
 from bazaarcube.sources.operational import Tables, extract, table_counts
 from bazaarcube.sources.testdata import sources_from_testdata
@@ -83,6 +86,28 @@ def _insert_order_lines(raw: Tables) -> DataFrame:
     return insert_if_absent(empty, lines, ("mathangmamh", "dondathangmadon"))
 
 
+def _nan_to_null(raw: Tables) -> DataFrame:
+    """Products whose weight is NaN in every seventh row, with NaN as NULL."""
+    weight = F.when(F.col("mamh") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("gia").cast("double"))
+    return nan_to_null(raw["mathang"].select("mamh", weight.alias("trongluong")))
+
+
+def _quarantined(star: Star) -> DataFrame:
+    """Order lines whose customer (every tenth key) or product (every ninth) is unknown."""
+    fact = star["Fact_DonDatHang"]
+    for key, step in (("sk_khachHang", 10), ("sk_matHang", 9)):
+        fact = fact.withColumn(key, F.when(F.col(key) % step != 0, F.col(key)))
+    found = quarantine(fact, ["sk_thoiGian", "sk_khachHang", "sk_matHang"])
+    return found.groupBy("lyDo").agg(F.count("*").alias("soDong"), F.sum("soLuongDat").alias("soLuong"))
+
+
+def _logged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from the sources to the stored star, as its log shows it."""
+    warehouse = new_folder(spark, "dw")
+    run_etl(spark, sources_from_testdata(spark, sf_dir), warehouse)
+    return read_runs(spark, f"{warehouse}/pipeline_runs").select("job_name", "status", "records_extracted", "records_loaded")
+
+
 def _insert_overlap(raw: Tables) -> DataFrame:
     """Lines of two thirds of the orders are there already; lines of another two thirds
     arrive with other quantities. Where both have a key the existing line stays."""
@@ -173,6 +198,13 @@ def queries() -> dict[str, Query]:
         "mathang_duoctru", "dondathang", "mathang_duocdat",
     ):
         found[f"extract_{name}"] = _extracted(name)
+    found["nan_to_null_products"] = _on_sources(_nan_to_null)
+    found["quarantined_order_lines"] = _on_star(_quarantined)
+    found["logged_run"] = _logged_run
+    found["drilldown_stores_in_city"] = _on_star(lambda s: olap.drill_to_stores(s, CITY))
+    found["slice_customer"] = _on_star(lambda s: olap.slice_customer(s, CUSTOMER))
+    found["slice_product"] = _on_star(lambda s: olap.slice_product(s, PRODUCT))
+    found["slice_city"] = _on_star(lambda s: olap.slice_city(s, CITY))
     found["insert_if_absent_overlap"] = _on_sources(_insert_overlap)
     found["cube_backfill_stream_compact"] = _compacted
     found["extract_counts"] = _on_sources(lambda raw: table_counts(extract(raw)))

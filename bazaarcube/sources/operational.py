@@ -40,6 +40,9 @@ class SourceConfig:
     namespace: str = "idb"
     options: dict[str, str] = field(default_factory=dict)
     splits: dict[str, JdbcSplit] = field(default_factory=dict)
+    #: Conditions that cut a table into parts, one task each, where no number or date
+    #: splits it (``hash_predicates`` writes them for a text key).
+    predicates: dict[str, list[str]] = field(default_factory=dict)
 
     def reader_options(self, table: str) -> dict[str, str]:
         if self.format != "jdbc":
@@ -53,13 +56,31 @@ class SourceConfig:
         }
 
 
+#: Tables too large to read over one connection.
+SPLIT_TABLES = ("mathang_duocdat", "mathang_duoctru")
+
+
+def hash_predicates(expression: str, parts: int) -> list[str]:
+    """Conditions for ``parts`` equal parts; ``expression`` is an integer hash of the
+    key in the database's SQL, such as ``hashtext(dondathangmadon)``."""
+    return [f"MOD(ABS({expression}), {parts}) = {i}" for i in range(parts)]
+
+
 def read_table(spark: SparkSession, conf: SourceConfig, table: str) -> DataFrame:
     reader = spark.read.format(conf.format).options(**conf.reader_options(table))
     if conf.format == "jdbc":
-        df = reader.load()
+        parts = conf.predicates.get(table)
+        if table in SPLIT_TABLES and not parts and table not in conf.splits:
+            raise ValueError(f"{table} needs a split or predicates: one task would read all of it")
+        if parts:
+            options = conf.reader_options(table)
+            df = spark.read.jdbc(options.pop("url"), options.pop("dbtable"), predicates=parts, properties=options)
+        else:
+            df = reader.load()
     else:
         if conf.format in ("csv", "json"):
-            reader = reader.schema(SOURCE_SCHEMAS[table])
+            # A value that does not fit its column stops the load.
+            reader = reader.schema(SOURCE_SCHEMAS[table]).option("mode", "FAILFAST")
         df = reader.load(f"{conf.location.rstrip('/')}/{table}")
     return lower_columns(df).select(*SOURCE_SCHEMAS[table].names)
 

@@ -125,6 +125,24 @@ def _quality() -> dict[str, str]:
                JOIN khachhang ON makh = khachhangmakh
                JOIN vanphongdaidien ON matp = vanphongdaidienmatp GROUP BY mien"""
         ),
+        "nan_to_null_products": source_sql(
+            "SELECT mamh, CASE WHEN mamh % 7 <> 0 THEN CAST(gia AS DOUBLE) END AS trongluong FROM mathang"
+        ),
+        "quarantined_order_lines": star_sql(
+            """SELECT 'missing ' || array_to_string(list_filter([
+                   CASE WHEN t IS NULL THEN 'sk_thoiGian' END, CASE WHEN k IS NULL THEN 'sk_khachHang' END,
+                   CASE WHEN p IS NULL THEN 'sk_matHang' END], lambda x: x IS NOT NULL), ', ') AS "lyDo",
+                 COUNT(*) AS "soDong", CAST(SUM(n) AS BIGINT) AS "soLuong"
+               FROM (SELECT "sk_thoiGian" AS t, "soLuongDat" AS n,
+                       CASE WHEN "sk_khachHang" % 10 <> 0 THEN "sk_khachHang" END AS k,
+                       CASE WHEN "sk_matHang" % 9 <> 0 THEN "sk_matHang" END AS p FROM fact_dondathang)
+               WHERE t IS NULL OR k IS NULL OR p IS NULL GROUP BY 1"""
+        ),
+        "logged_run": star_sql(
+            f"""SELECT 'etl' AS job_name, 'SUCCESS' AS status,
+                 {" + ".join(f"(SELECT COUNT(*) FROM {t})" for t in _SOURCE_TABLES)} AS records_extracted,
+                 {" + ".join(f"(SELECT COUNT(*) FROM {t})" for t in _STAR_TABLES)} AS records_loaded"""
+        ),
         "insert_if_absent_overlap": source_sql(
             """SELECT mathangmamh, dondathangmadon, soluongdat, CAST(giadat AS DOUBLE) AS giadat
                FROM mathang_duocdat WHERE dondathangmadon % 3 <> 0
@@ -140,6 +158,15 @@ def _quality() -> dict[str, str]:
     }
 
 
+_SOURCE_TABLES = (
+    "vanphongdaidien", "cuahang", "mathang", "khachhang", "khachhang_dulich", "khachhang_buudien", "dondathang",
+    "mathang_duocdat", "mathang_duoctru",
+)
+_STAR_TABLES = (
+    "dim_thoigian", "dim_diadiem", "dim_mathang", "dim_khachhang", "dim_cuahang", "fact_dondathang", "fact_tonkho",
+)
+
+
 def _reports() -> dict[str, str]:
     month = (
         'SELECT t.thang, t.nam, CAST(SUM(f."thanhTien") AS DOUBLE) AS "tongDoanhThu" '
@@ -243,6 +270,12 @@ def _reports() -> dict[str, str]:
         "drilldown_month_in_state": cube_sql(
             "order", ["mien", "tenThanhPho", "nam", "thang"], where="WHERE l.mien = 'ASIA'"
         ),
+        "drilldown_stores_in_city": cube_sql(
+            "inventory", ["tenThanhPho", "maCH", "nam", "thang"], where="WHERE l.\"tenThanhPho\" = 'NATION_16'"
+        ),
+        "slice_customer": cube_sql("order", ["nam", "thang", "maKH"], where='WHERE c."maKH" = 7'),
+        "slice_product": cube_sql("order", ["nam", "thang", "maMH"], where='WHERE p."maMH" = 10'),
+        "slice_city": cube_sql("order", ["nam", "thang", "tenThanhPho"], where="WHERE l.\"tenThanhPho\" = 'NATION_16'"),
         "slice_customer_type": cube_sql(
             "order", ["nam", "thang", "loaiKhachHang"], where="""WHERE c."loaiKhachHang" = 'Du lich'"""
         ),
