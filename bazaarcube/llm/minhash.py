@@ -54,7 +54,7 @@ ROUNDS = 4
 DENSE = 4
 #: Bands of the first round: copies that differ little meet in any few bands.
 FIRST_BANDS = 12
-#: Ids sent to all executors to fetch candidate texts; more are joined by shuffle.
+#: Ids sent to all executors to fetch or drop documents; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Shingles handled at once when pairs are confirmed.
 STEP = 1 << 20
@@ -279,5 +279,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     own columns; documents without an id stay."""
     found = near_duplicates(docs)
     (gone,) = fresh_names(docs, ["gone_id"])
-    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    dropped = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct(), "dropped")
+    if dropped.count() <= BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
     return docs.join(dropped, F.col("doc_id") == F.col(gone), "left_anti")
