@@ -6,14 +6,15 @@ Of each class, the minimum AND the maximum of its hashed shingles under each of
 are banded by ``BAND`` values; a pair of similarity 0.75 misses all 64 bands with
 probability 3e-8.
 
-A bucket of m documents is not expanded into its pairs. First, each candidate's
-shingles that no other candidate has are counted (one aggregation): a pair can only
-reach the threshold if what is left of both sets is large enough, so strongly edited
-copies, which can match nothing, leave at once. Then the bucket's most central document
-(the one in the fullest buckets) is its leader, and only pairs of leader and member
-are compared, in some bands first, then in all buckets that still hold several
-components. While many pairs are left, the next documents lead further rounds; in
-the end all pairs that are left are compared, so no candidate pair goes untested.
+A bucket of m documents is not expanded into its pairs. Its most central document (the
+one in the fullest buckets) is its leader, and only pairs of leader and member are
+compared: first in some bands, then in all buckets that still hold several components.
+This links nearly all of a dense group. Any pair that is left must lie in a bucket that
+still holds several components. The documents of such buckets are compared by a prefix
+filter: with all shingles in one global order, rarest first, two sets that reach the
+threshold share a shingle among the first of both, and only pairs of different
+components that do, at ranks that leave enough shingles, are candidates. The order comes
+from a table of counts of fixed size; any order gives the same links.
 
 Candidates pass if their signatures agree as often as a pair of similarity 0.75 does
 to within six standard deviations, and are then confirmed on the full sets of both
@@ -31,11 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarcube.llm.components import components
-from bazaarcube.llm.tables import fresh_names
+from bazaarcube.llm.tables import Shared, fresh_names
 from bazaarcube.llm.textops import mix, shingles, slices
 from bazaarcube.session import stage
 
@@ -48,14 +49,12 @@ PERCENT = 75
 #: at the threshold (with chance agreement of 8-bit values) less six deviations.
 _P = PERCENT / 100 + (1 - PERCENT / 100) / 256
 AGREE = int(VALUES * _P - 6 * (VALUES * _P * (1 - _P)) ** 0.5)
-#: Leaders of a bucket at most, before all remaining pairs are compared.
-ROUNDS = 4
-#: Further leaders are tried while there are so many pairs left for each candidate.
-DENSE = 4
 #: Bands of the first round: copies that differ little meet in any few bands.
 FIRST_BANDS = 12
 #: Ids sent to all executors to fetch or drop documents; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Bits of the table of shingle counts that orders shingles.
+COUNT_BITS = 20
 #: Shingles handled at once when pairs are confirmed.
 STEP = 1 << 20
 
@@ -151,31 +150,56 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(similar(batch.column("text_a"), batch.column("text_b"))))
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hash of each set with its elements."""
-    for batch in slices(batches):
-        x, first = shingles(batch.column("text"))
-        h1 = np.zeros(batch.num_rows, np.uint64)
-        has = np.flatnonzero(np.diff(first))
-        if len(has):
-            h1[has] = np.add.reduceat(mix(x), first[:-1][has])
-        lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(x.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), lists], names=["h1", "x"])
+def _alike_in_size(a: str, b: str) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+
+
+def _slot(x: np.ndarray) -> np.ndarray:
+    return (x & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
 
 
-def _possible(n1: str, shared1: str, n2: str, shared2: str) -> Column:
-    """Whether two sets of sizes n, of which ``shared`` elements occur elsewhere, can
-    reach the threshold: it asks for (100 + PERCENT) * common >= PERCENT * (n1 + n2)."""
-    return F.least(shared1, shared2) * (100 + PERCENT) >= (F.col(n1) + F.col(n2)) * PERCENT
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for batch in slices(batches):
+        counts += np.bincount(_slot(shingles(batch.column("text"))[0]), minlength=1 << COUNT_BITS)
+    used = np.flatnonzero(counts)
+    for lo in range(0, len(used), 100_000):
+        part = used[lo : lo + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["slot", "c"])
+
+
+def _prefixes(shared: Shared):
+    """The first shingles of each set in the global order, with their ranks: as many as
+    a pair with any set of admissible size may need to look at."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.get()
+        for batch in slices(batches):
+            x, first = shingles(batch.column("text"))
+            n = np.diff(first)
+            doc = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((x, counts[_slot(x)], doc))
+            rank = np.arange(len(x)) - first[doc]
+            keep = 100 * (n[doc] - rank) >= PERCENT * n[doc]
+            rows = doc[keep]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(x[order][keep].view(np.int64)), pa.array(rank[keep]), pa.array(n[rows].astype(np.int64)),
+                    batch.column("doc_id").take(pa.array(rows)), batch.column("component").take(pa.array(rows)),
+                ],
+                names=["x", "rank", "n", "doc_id", "component"],
+            )
+
+    return run
 
 
 class _Search:
     """The stages of one run over ``docs`` (doc_id not null, text)."""
 
     def __init__(self, docs: DataFrame) -> None:
-        kind = docs.schema["doc_id"].dataType.simpleString()
+        self.spark, self.kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
         self.signed = stage(
-            docs.mapInArrow(_sign, f"doc_id {kind}, n long, h1 long, h2 long, keys array<long>, sig binary"), "signed"
+            docs.mapInArrow(_sign, f"doc_id {self.kind}, n long, h1 long, h2 long, keys array<long>, sig binary"), "signed"
         )
         filled = self.signed.filter("n > 0")
         same = ["h1", "h2", "n"]
@@ -186,32 +210,20 @@ class _Search:
         )
         heads = self.reps.select(*same, F.col("doc_id").alias("b"))
         self.copies = filled.select(F.col("doc_id").alias("a"), *same).join(heads, same).select("a", "b").filter("a <> b")
-        bands = self.reps.select("doc_id", "n", "h1", F.posexplode("keys").alias("band", "key"))
+        bands = self.reps.select("doc_id", "n", F.posexplode("keys").alias("band", "key"))
         shared = self.reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-        members = stage(bands.join(shared, "key"), "buckets")
-        ids = stage(members.select("doc_id").distinct(), "candidates")
-        self.n_docs = ids.count()
-        few = F.broadcast(ids) if self.n_docs <= BROADCAST_IDS else ids
+        self.members = stage(bands.join(shared, "key"), "buckets")
+        ids = stage(self.members.select("doc_id").distinct(), "candidates")
+        few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         self.texts = stage(docs.join(few, "doc_id", "left_semi"), "candidate-texts")
-        elements = self.texts.select("text").mapInArrow(_sets, "h1 long, x array<long>").select("h1", F.explode("x").alias("x"))
-        alone = elements.groupBy("x").agg(F.count("*").alias("c"), F.min("h1").alias("h1")).filter("c = 1")
-        alone = alone.groupBy("h1").agg(F.count("*").alias("alone"))
-        members = members.join(alone, "h1", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0)))
-        # a set with too much of its own can match no other, whatever its size
-        self.members = stage(members.filter(F.col("shared") * 100 >= F.col("n") * PERCENT).drop("alone", "h1"), "members")
         self.tested: DataFrame | None = None
-        self.links: DataFrame | None = None
         self.found: DataFrame | None = None
 
     def leaders(self) -> DataFrame:
-        """The most central documents of each bucket, numbered."""
+        """The most central document of each bucket."""
         score = self.members.groupBy("doc_id").agg(F.sum("m").alias("score"))
-        order = Window.partitionBy("key").orderBy(F.desc("score"), "doc_id")
-        ranked = self.members.join(score, "doc_id").withColumn("round", F.row_number().over(order)).filter(F.col("round") <= ROUNDS)
-        return stage(
-            ranked.select("key", "round", F.col("doc_id").alias("leader"), F.col("n").alias("leader_n"), F.col("shared").alias("leader_shared")),
-            "leaders",
-        )
+        first = F.max_by(F.struct(F.col("doc_id").alias("leader"), F.col("n").alias("leader_n")), F.struct("score", -F.col("doc_id")))
+        return stage(self.members.join(score, "doc_id").groupBy("key").agg(first.alias("x")).select("key", "x.*"), "leaders")
 
     def compare(self, pairs: DataFrame) -> None:
         """Confirms candidate pairs (a, b), adds their links, and joins the components."""
@@ -221,7 +233,7 @@ class _Search:
         sig = self.reps.select("doc_id", "sig")
         met = pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
         met = met.join(sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "sig_a", "sig_b")
-        ids = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
+        ids = f"a {self.kind}, b {self.kind}"
         close = stage(met.mapInArrow(_agreeing, ids), "close")
         text = lambda side: self.texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
         met = close.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
@@ -231,31 +243,42 @@ class _Search:
             links = links.union(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")))
         self.found = stage(components(links, "a", "b"), "components")
 
+    def open_members(self) -> DataFrame:
+        """The members of buckets that hold several components, with these."""
+        placed = self.members.join(self.found, F.col("doc_id") == F.col("id"), "left")
+        placed = placed.select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
+        several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+        return stage(placed.join(several.select("key"), "key"), "open-members")
+
+    def prefix_pairs(self, members: DataFrame) -> DataFrame:
+        """Pairs of different components that the prefix filter cannot rule out."""
+        docs = members.select("doc_id", "component").distinct()
+        counted = self.texts.select("text").mapInArrow(_count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c"))
+        table, counts = counted.toArrow(), np.zeros(1 << COUNT_BITS, np.int64)
+        counts[table.column("slot").to_numpy()] = table.column("c").to_numpy()
+        rows = self.texts.join(docs, "doc_id").select("doc_id", "component", "text")
+        schema = f"x long, rank long, n long, doc_id {self.kind}, component {self.kind}"
+        prefix = stage(rows.mapInArrow(_prefixes(Shared(self.spark, counts)), schema), "prefixes")
+        # of each shingle's documents those outside its most common component meet all
+        per = prefix.groupBy("x", "component").agg(F.count("*").alias("c"))
+        main = per.groupBy("x").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("k")).filter("k > 1")
+        one = prefix.join(main, "x").filter("component <> main").alias("one")
+        two = prefix.alias("two")
+        # enough must be left from this rank on: (100 + PERCENT) common >= PERCENT (n1 + n2)
+        needed = (F.col("one.n") + F.col("two.n")) * PERCENT
+        left = [(F.col(f"{s}.n") - F.col(f"{s}.rank")) * (100 + PERCENT) >= needed for s in ("one", "two")]
+        met = one.join(two, (F.col("one.x") == F.col("two.x")) & (F.col("one.component") != F.col("two.component")) & left[0] & left[1])
+        return met.select(F.col("one.doc_id").alias("a"), F.col("two.doc_id").alias("b"))
+
     def run(self) -> DataFrame:
         """(id, component) of every document that is linked."""
         leaders = self.leaders()
-        open_members = self.members.filter(F.col("band") < FIRST_BANDS)
-        for number in range(ROUNDS):
-            leader = leaders.filter(F.col("round") == max(number, 1))
-            met = open_members.join(leader, "key").filter("doc_id <> leader")
-            met = met.filter(_possible("n", "shared", "leader_n", "leader_shared"))
+        members = self.members.filter(F.col("band") < FIRST_BANDS)
+        for _ in range(2):
+            met = members.join(leaders, "key").filter("doc_id <> leader").filter(_alike_in_size("n", "leader_n"))
             self.compare(met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
-            placed = self.members.join(self.found, F.col("doc_id") == F.col("id"), "left")
-            placed = placed.select("key", "doc_id", "n", "shared", F.coalesce("component", "doc_id").alias("component"))
-            per = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-            counted = per.groupBy("key").agg(((F.sum("c") ** 2 - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"), F.count("*").alias("k"))
-            # only buckets with several components have anything left to compare
-            still = stage(counted.filter("k > 1"), "open")
-            left = still.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
-            if left == 0:
-                break
-            open_members = stage(placed.join(still.select("key"), "key"), "open-members")
-            if left <= DENSE * self.n_docs or number == ROUNDS - 1:
-                one, two = open_members.alias("x"), open_members.alias("y")
-                met = one.join(two, F.col("x.key") == F.col("y.key")).filter("x.doc_id < y.doc_id and x.component <> y.component")
-                met = met.filter(_possible("x.n", "x.shared", "y.n", "y.shared"))
-                self.compare(met.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")))
-                break
+            members = self.open_members()
+        self.compare(self.prefix_pairs(members))
         return components(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(self.copies), "a", "b")
 
 
