@@ -2,8 +2,6 @@ from __future__ import annotations
 
 import pytest
 
-from bazaarcube.session import build_session, new_folder
-
 #: Texts with every awkward case: null, empty, blanks, copies, other scripts, long.
 BASE = "One two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
 TEXTS = [
@@ -30,6 +28,15 @@ TEXTS = [
 ]
 
 
+@pytest.fixture(autouse=True, scope="session")
+def few_partitions(spark):
+    """The fixtures are small: fewer tasks, same results."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def awkward(spark):
     """The texts with further columns whose names the operators use themselves."""
