@@ -8,9 +8,8 @@ probability 3e-8.
 
 A bucket of m documents is not expanded into its pairs. Its most central document (the
 one in the fullest buckets) is its leader, and only pairs of leader and member are
-compared: first in some bands, then in all buckets that still hold several components.
-This links nearly all of a dense group. Any pair that is left must lie in a bucket that
-still holds several components. The documents of such buckets are compared by a prefix
+compared, which links nearly all of a dense group. Any pair that is left must lie in a
+bucket that holds several components. The documents of such buckets are compared by a prefix
 filter: with all shingles in one global order, rarest first, two sets that reach the
 threshold share a shingle among the first of both, and only pairs of different
 components that do, at ranks that leave enough shingles, are candidates. The order comes
@@ -49,8 +48,6 @@ PERCENT = 75
 #: at the threshold (with chance agreement of 8-bit values) less six deviations.
 _P = PERCENT / 100 + (1 - PERCENT / 100) / 256
 AGREE = int(VALUES * _P - 6 * (VALUES * _P * (1 - _P)) ** 0.5)
-#: Bands of the first round: copies that differ little meet in any few bands.
-FIRST_BANDS = 12
 #: Ids sent to all executors to fetch or drop documents; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Bits of the table of shingle counts that orders shingles.
@@ -210,7 +207,7 @@ class _Search:
         )
         heads = self.reps.select(*same, F.col("doc_id").alias("b"))
         self.copies = filled.select(F.col("doc_id").alias("a"), *same).join(heads, same).select("a", "b").filter("a <> b")
-        bands = self.reps.select("doc_id", "n", F.posexplode("keys").alias("band", "key"))
+        bands = self.reps.select("doc_id", "n", F.explode("keys").alias("key"))
         shared = self.reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
         self.members = stage(bands.join(shared, "key"), "buckets")
         ids = stage(self.members.select("doc_id").distinct(), "candidates")
@@ -272,13 +269,9 @@ class _Search:
 
     def run(self) -> DataFrame:
         """(id, component) of every document that is linked."""
-        leaders = self.leaders()
-        members = self.members.filter(F.col("band") < FIRST_BANDS)
-        for _ in range(2):
-            met = members.join(leaders, "key").filter("doc_id <> leader").filter(_alike_in_size("n", "leader_n"))
-            self.compare(met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
-            members = self.open_members()
-        self.compare(self.prefix_pairs(members))
+        met = self.members.join(self.leaders(), "key").filter("doc_id <> leader").filter(_alike_in_size("n", "leader_n"))
+        self.compare(met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
+        self.compare(self.prefix_pairs(self.open_members()))
         return components(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(self.copies), "a", "b")
 
 

@@ -59,8 +59,7 @@ def test_dense_groups_lose_no_link(spark):
     check_docs(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
 
 
-def test_what_leaders_leave_open_is_compared_in_full(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "FIRST_BANDS", 1)
+def test_what_leaders_leave_open_is_compared_too(spark):
     rows = list(enumerate(variants(90, 4, edits=16)))
     check_docs(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
