@@ -238,7 +238,10 @@ def fit(data: Sample, y: np.ndarray, dense: np.ndarray, n_sparse: int, steps: in
         size = 1.0
         while size > 1e-3 and (new := loss(w + size * step)) > now:
             size /= 2
-        if size <= 1e-3 or now - new < 1e-6 * max(1.0, abs(now)):
+        if size <= 1e-3:
             break
+        gained = now - new
         w, now = w + size * step, new
+        if gained < 1e-6 * max(1.0, abs(now)):
+            break
     return Linear(w[:n_sparse], w[n_sparse:-1], float(w[-1]))
