@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarcube.llm import ppm
-from bazaarcube.llm.gram_counts import model, reduced
+from bazaarcube.llm.gram_counts import model, ranked, reduced
 from bazaarcube.llm.tables import Shared, remainder
 from bazaarcube.llm.textops import buffers
 from bazaarcube.session import stage
@@ -62,7 +62,7 @@ def train(docs: DataFrame, contexts: int = CONTEXTS) -> tuple[pa.Table, pa.Table
     known = docs.select("lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = known.mapInArrow(_count, "lang string, code long, n long")
     counts = stage(counted.groupBy("lang", "code").agg(F.sum("n").alias("n")), "lang-grams")
-    return reduced(counts, ["lang"], contexts)
+    return reduced(counts, ["lang"], ranked(counts, ["lang"], contexts))[:2]
 
 
 def compile_models(tables: tuple[pa.Table, pa.Table]) -> tuple[list[str], ppm.Models | None]:

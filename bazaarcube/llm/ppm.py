@@ -25,54 +25,55 @@ END = 256
 N_SYMBOLS = 257
 _BITS = np.uint64(9)
 _MASK = np.uint64(511)
+#: Depth of the compiled tables. Counts may be deeper (``order``), to be joined to.
 ORDER = 3
 
 
-def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, each preceded by three marks and ended by one; and where
+def symbols(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts, each preceded by ``order`` marks and ended by one; and where
     each text's marks begin."""
     n = np.diff(offsets)
-    starts = np.concatenate([[0], np.cumsum(n + ORDER + 1)])
+    starts = np.concatenate([[0], np.cumsum(n + order + 1)])
     out = np.full(starts[-1], END, np.uint16)
     if len(data):
-        shift = np.repeat(starts[:-1] + ORDER - offsets[:-1], n)
+        shift = np.repeat(starts[:-1] + order - offsets[:-1], n)
         out[np.arange(len(data)) + shift] = data
     return out, starts
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray, size: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
+def pieces(data: np.ndarray, offsets: np.ndarray, size: int = WINDOW, *, order: int = ORDER) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
     """Some texts at a time: symbols, the positions that are coded, the first text's
-    number, and each coded position's text counted from it. A longer text is cut, each piece with the three bytes before it."""
+    number, and each coded position's text counted from it. A longer text is cut, each piece with the ``order`` bytes before it."""
     lo = 0
     while lo < len(offsets) - 1:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
         hi = min(hi, lo + size, len(offsets) - 1)
         if offsets[hi] - offsets[lo] <= size:
-            part, starts = symbols(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            part, starts = symbols(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], order)
             keep = np.ones(len(part), bool)
-            for i in range(ORDER):
+            for i in range(order):
                 keep[starts[:-1] + i] = False
             at = np.flatnonzero(keep)
-            yield part, at, lo, np.repeat(np.arange(hi - lo), np.diff(starts) - ORDER)
+            yield part, at, lo, np.repeat(np.arange(hi - lo), np.diff(starts) - order)
         else:
             a, b = offsets[lo], offsets[hi]
             for s in range(a, b, size):
                 e = min(s + size, b)
-                before = data[max(a, s - ORDER) : s].astype(np.uint16)
-                head = np.full(ORDER, END, np.uint16)
+                before = data[max(a, s - order) : s].astype(np.uint16)
+                head = np.full(order, END, np.uint16)
                 if len(before):
-                    head[ORDER - len(before) :] = before
+                    head[order - len(before) :] = before
                 tail = [np.array([END], np.uint16)] if e == b else []
                 part = np.concatenate([head, data[s:e].astype(np.uint16), *tail])
-                yield part, np.arange(ORDER, len(part)), lo, np.zeros(len(part) - ORDER, np.int64)
+                yield part, np.arange(order, len(part)), lo, np.zeros(len(part) - order, np.int64)
         lo = hi
 
 
-def grams(part: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Codes of each coded position's four symbols."""
+def grams(part: np.ndarray, at: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """Codes of each coded position's symbol and the ``order`` before it."""
     wide = part.astype(np.uint64)
-    code = wide[at - 3]
-    for i in (2, 1, 0):
+    code = wide[at - order]
+    for i in range(order - 1, -1, -1):
         code = code << _BITS | wide[at - i]
     return code
 
@@ -100,20 +101,58 @@ class Counter:
         return self.codes, self.counts
 
 
-def count_grams(text: pa.Array, into: Counter) -> None:
+def count_grams(text: pa.Array, into: Counter, order: int = ORDER) -> None:
     data, offsets = buffers(text)
-    for part, at, _, _ in pieces(data, offsets):
-        into.add(grams(part, at))
+    for part, at, _, _ in pieces(data, offsets, order=order):
+        into.add(grams(part, at, order))
+
+
+def marked(a: int, column: np.ndarray, contexts: np.ndarray) -> np.ndarray | None:
+    """For each context of three columns, whether its symbols are one of ``contexts``."""
+    if not len(contexts):
+        return None
+    x, y, z = (column[contexts.astype(np.int64) >> s & 511].astype(np.int64) for s in (18, 9, 0))
+    out = np.zeros(a * a * a, bool)
+    out[(x * a + y) * a + z] = True
+    return out
+
+
+class Requests:
+    """Positions whose cost is to be corrected by a join: runs of equal codes of a text."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, doc: np.ndarray, code: np.ndarray, cost: np.ndarray) -> None:
+        """Equal codes have equal costs."""
+        order = np.lexsort((code, doc))
+        self.parts.append((doc[order], code[order], cost[order]))
+
+    def runs(self, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where each text's runs begin, and the runs' codes, lengths and costs."""
+        if not self.parts:
+            return np.zeros(n_docs + 1, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0,))
+        doc, code, cost = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.lexsort((code, doc))
+        doc, code, cost = doc[order], code[order], cost[order]
+        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (code[1:] != code[:-1])]))[: len(doc)]
+        times = np.diff(np.append(new, len(doc)))
+        offsets = np.searchsorted(doc[new], np.arange(n_docs + 1)).astype(np.int32)
+        return offsets, code[new].astype(np.int64), times, cost[new]
 
 
 class Model:
     """Code lengths in bits, compiled from counts of four-symbol codes.
 
     ``shorter`` has the counts of three-symbol codes where the trie's deepest level was
-    reduced to its most frequent contexts; without it they are summed here.
+    reduced to its most frequent contexts; without it they are summed here. ``rare``:
+    the contexts left out, whose positions ``coded`` reports.
     """
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, shorter: tuple[np.ndarray, np.ndarray] | None = None, exclusion: bool = True) -> None:
+    def __init__(
+        self, codes: np.ndarray, counts: np.ndarray, shorter: tuple[np.ndarray, np.ndarray] | None = None,
+        exclusion: bool = True, rare: np.ndarray | tuple = (),
+    ) -> None:
         """``codes`` and ``counts``: how often each code of four symbols occurs."""
         levels = {3: (codes.astype(np.uint64), counts.astype(np.float64))}
         level = levels[3] if shorter is None else (shorter[0].astype(np.uint64), shorter[1].astype(np.float64))
@@ -159,6 +198,7 @@ class Model:
             self._point(order, rows, base)
             last_rows, base, shorter_found = rows, base + len(rows), found
         self.cost = np.concatenate(tables).ravel()
+        self.rare = marked(a, self.column, np.asarray(rare, np.int64))
 
     def _point(self, order: int, rows: np.ndarray, base: int) -> None:
         """Each context of three symbols points to its longest known suffix."""
@@ -174,15 +214,25 @@ class Model:
 
     def lengths(self, text: pa.Array) -> np.ndarray:
         """Bits needed for each text, its end included."""
+        return self.coded(text)[0]
+
+    def coded(self, text: pa.Array, order: int = ORDER) -> tuple[np.ndarray, Requests]:
+        """Bits needed for each text, and the positions that longer contexts correct:
+        those in a rare context, or all if the counts go deeper than these tables."""
         data, offsets = buffers(text)
-        bits = np.zeros(len(offsets) - 1)
-        for part, at, lo, doc in pieces(data, offsets):
+        bits, requests = np.zeros(len(offsets) - 1), Requests()
+        for part, at, lo, doc in pieces(data, offsets, order=order):
             wide = self.column[part]
             context = (wide[at - 3] * self.a + wide[at - 2]) * self.a + wide[at - 1]
             cost = self.cost[self.index[context].astype(np.int64) * self.a + wide[at]]
             sums = np.bincount(doc, cost)
             bits[lo : lo + len(sums)] += sums
-        return bits
+            if order > ORDER:
+                requests.add(doc + lo, grams(part, at, order), cost)
+            elif self.rare is not None:
+                hit = np.flatnonzero(self.rare[context])
+                requests.add(doc[hit] + lo, grams(part, at[hit]), cost[hit])
+        return bits, requests
 
 
 def _after_escape(up: np.ndarray, has: np.ndarray, counts: np.ndarray, table: np.ndarray) -> np.ndarray:

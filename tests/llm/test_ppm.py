@@ -114,3 +114,14 @@ def test_held_out_languages_are_found(spark):
     found = langid.identify(docs).filter("held_out").join(docs, "doc_id")
     right, n = found.selectExpr("sum(int(lang_pred = lang))", "count(*)").first()
     assert right / n > 0.9
+
+
+@pytest.mark.parametrize(("contexts", "depth"), [(4, 3), (1 << 16, 5), (4, 5)])
+def test_no_context_is_lost_beyond_the_broadcast(spark, contexts, depth):
+    texts = [*TRAIN * 3, *TEST, "日本語のテキスト", "日本の本", "the cat sat on the mat"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    plain = Ppm([t for i, t in enumerate(texts) if held(i, 7) != 2], depth)
+    rows = lm_score.score(docs, contexts=contexts, frequent=4, depth=depth).collect()
+    assert len(rows) == len(texts) and any(r.held_out for r in rows)
+    for r in rows:
+        assert r.score == pytest.approx(-plain.bits(texts[r.doc_id]) * math.log10(2), rel=1e-5)
