@@ -7,7 +7,9 @@ codes the whole text in the fewest bits is predicted, and ``score`` is its share
 the code lengths are read as probabilities.
 
 Only bounded tables reach the driver and the tasks: of each language the successors
-of its most frequent contexts of three bytes (``CONTEXTS``) and all contexts of two.
+of its most frequent contexts of three bytes (``CONTEXTS``), all contexts of two, and
+which contexts are left out. Positions in a context that a language has left out are
+joined to its counts there, so every counted context takes part in the decision.
 
 Defined cases: a null or letterless text is ``und`` with score 0; without anything to
 learn from every document is. A row without an id is not learned from and counts as
@@ -19,20 +21,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarcube.llm import ppm
-from bazaarcube.llm.gram_counts import model, ranked, reduced
+from bazaarcube.llm.gram_counts import context_of, model, ranked, reduced, successors, suffix
 from bazaarcube.llm.tables import Shared, remainder
-from bazaarcube.llm.textops import buffers
+from bazaarcube.llm.textops import buffers, slices
 from bazaarcube.session import stage
 
-#: Contexts of three bytes kept for each language.
+#: Contexts of three bytes broadcast for each language.
 CONTEXTS = 8192
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -57,22 +61,43 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(docs: DataFrame, contexts: int = CONTEXTS) -> tuple[pa.Table, pa.Table]:
-    """Count tables of ``docs`` (text, lang), reduced to a bounded size."""
+@dataclass
+class Trained:
+    """``tables``: what is broadcast (of ``reduced``); ``others``: lang and context of
+    the contexts that are not, with their successors (``here``, total ``t`` and number
+    ``d``), None if all are."""
+
+    tables: tuple[pa.Table, pa.Table, np.ndarray]
+    others: DataFrame | None
+
+
+def train(docs: DataFrame, contexts: int = CONTEXTS) -> Trained:
+    """Counts of ``docs`` (text, lang), with a part of bounded size to broadcast."""
     known = docs.select("lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = known.mapInArrow(_count, "lang string, code long, n long")
     counts = stage(counted.groupBy("lang", "code").agg(F.sum("n").alias("n")), "lang-grams")
-    return reduced(counts, ["lang"], ranked(counts, ["lang"], contexts))[:2]
-
-
-def compile_models(tables: tuple[pa.Table, pa.Table]) -> tuple[list[str], ppm.Models | None]:
-    long, short = tables
-    names = sorted(set(short.column("lang").to_pylist()))
+    found = ranked(counts, ["lang"], contexts)
+    tables = reduced(counts, ["lang"], found)
+    if not len(tables[2]):
+        return Trained(tables, None)
+    rare = found.filter("not frequent").select("lang", "context")
+    here = successors(counts, ["lang"]).join(rare, ["lang", "context"], "left_semi")
+    others = here.selectExpr("lang", "context", "here", "aggregate(map_values(here), 0L, (a, v) -> a + v) AS t", "size(here) AS d")
+    return Trained(tables, others)
+
+
+def compile_models(tables: tuple[pa.Table, pa.Table, np.ndarray]) -> tuple[list[str], ppm.Models | None]:
+    long, short, rare = tables
+    names = languages(short)
     made = []
     for name in names:
         own = [t.filter(pc.equal(t.column("lang"), name)) for t in (long, short)]
         made.append(model(*own, exclusion=False))
-    return names, ppm.Models(made) if made else None
+    return names, ppm.Models(made, rare) if made else None
+
+
+def languages(short: pa.Table) -> list[str]:
+    return sorted(set(short.column("lang").to_pylist()))
 
 
 def has_letter(text: pa.Array) -> np.ndarray:
@@ -84,20 +109,26 @@ def has_letter(text: pa.Array) -> np.ndarray:
     return found
 
 
-def predict_texts(text: pa.Array, names: list[str], models: ppm.Models | None) -> tuple[pa.Array, np.ndarray]:
-    if models is None:
-        return pa.array(["und"] * len(text)), np.zeros(len(text))
-    bits = models.lengths(text)
+def decide(bits: np.ndarray, letter: np.ndarray, names: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """Language and score by the bits of each text (row) in each language (column)."""
+    if not names:
+        return pa.array(["und"] * len(letter)), np.zeros(len(letter))
     best = bits.argmin(1)
     score = 1 / np.exp2(np.minimum(bits.min(1, keepdims=True) - bits, 0)).sum(1)
-    letter = has_letter(text)
     langs = np.where(letter, np.array(names, object)[best], "und")
     return pa.array(langs, pa.string()), np.where(letter, score, 0.0)
 
 
-def predict(docs: DataFrame, tables: tuple[pa.Table, pa.Table]) -> DataFrame:
+def predict_texts(text: pa.Array, names: list[str], models: ppm.Models | None) -> tuple[pa.Array, np.ndarray]:
+    bits = np.zeros((len(text), 0)) if models is None else models.lengths(text)
+    return decide(bits, has_letter(text), names)
+
+
+def predict(docs: DataFrame, trained: Trained) -> DataFrame:
     """``docs`` (doc_id, held_out, text) with the language of each whole text."""
-    shared = Shared(docs.sparkSession, tables, compile_models)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = f"doc_id {kind}, held_out boolean, lang_pred string, score double"
+    shared = Shared(docs.sparkSession, trained.tables, compile_models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, models = shared.get()
@@ -108,13 +139,69 @@ def predict(docs: DataFrame, tables: tuple[pa.Table, pa.Table]) -> DataFrame:
                 names=["doc_id", "held_out", "lang_pred", "score"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    if trained.others is None:
+        return docs.mapInArrow(run, out)
+    names = languages(trained.tables[1])
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, models = shared.get()
+        row = TaskContext.get().partitionId() << 33
+        for batch in slices(batches):
+            text, n = batch.column("text"), batch.num_rows
+            bits, requests = models.coded(text)
+            offsets, codes, times, costs = requests.runs(n)
+            grams = pa.StructArray.from_arrays([pa.array(codes), pa.array(times), _lists(costs, len(names))], names=["code", "times", "costs"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(row, row + n)), batch.column("doc_id"), batch.column("held_out"), pa.array(has_letter(text)),
+                    _lists(bits, len(names)), pa.ListArray.from_arrays(pa.array(offsets), grams),
+                ],
+                names=["row", "doc_id", "held_out", "letter", "bits", "grams"],
+            )
+            row += n
+
+    scored = stage(
+        docs.mapInArrow(
+            code,
+            f"row long, doc_id {kind}, held_out boolean, letter boolean, bits array<double>,"
+            " grams array<struct<code: long, times: long, costs: array<double>>>",
+        ),
+        "lang-coded",
+    )
+    number = F.create_map(*(F.lit(x) for pair in ((name, i) for i, name in enumerate(names)) for x in pair))
+    others = trained.others.withColumn("k", F.element_at(number, F.col("lang")))
+    asked = scored.select("row", F.explode("grams").alias("g")).select("row", "g.*").withColumn("context", context_of(F.col("code")))
+    # a symbol seen in the context costs its share of it; any other, the escape besides
+    seen = F.element_at("here", suffix(F.col("code"), 1).cast("int"))
+    exact = F.when(seen.isNotNull(), -F.log2(seen / (F.col("t") + F.col("d"))) - F.expr("costs[k]")).otherwise(-F.log2(F.col("d") / (F.col("t") + F.col("d"))))
+    added = F.col("times") * exact
+    more = asked.join(others, "context").groupBy("row").agg(
+        F.array(*(F.sum(F.when(F.col("k") == i, added).otherwise(0.0)) for i in range(len(names)))).alias("more")
+    )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.array(batch.column("bits").flatten()).reshape(batch.num_rows, len(names))
+            langs, score = decide(bits, np.array(batch.column("letter"), bool), names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), langs, pa.array(score)],
+                names=["doc_id", "held_out", "lang_pred", "score"],
+            )
+
+    whole = scored.drop("grams").join(more, "row", "left")
+    whole = whole.withColumn("bits", F.expr("CASE WHEN more IS NULL THEN bits ELSE zip_with(bits, more, (x, y) -> x + y) END"))
+    return whole.select("doc_id", "held_out", "letter", "bits").mapInArrow(choose, out)
+
+
+def _lists(values: np.ndarray, width: int) -> pa.Array:
+    """A list of ``width`` numbers for each row."""
+    offsets = np.arange(0, values.size + 1, width, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.float64).ravel()))
 
 
 def identify(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
     held = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(True))
     rows = docs.select("doc_id", held.alias("held_out"), "text", "lang")
-    tables = train(rows.filter(~F.col("held_out")), contexts)
-    return predict(rows.drop("lang"), tables)
+    trained = train(rows.filter(~F.col("held_out")), contexts)
+    return predict(rows.drop("lang"), trained)

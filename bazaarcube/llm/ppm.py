@@ -254,7 +254,8 @@ def _after_escape(up: np.ndarray, has: np.ndarray, counts: np.ndarray, table: np
 class Models:
     """Several models over one index, so that a byte is looked up once for all."""
 
-    def __init__(self, models: list[Model]) -> None:
+    def __init__(self, models: list[Model], rare: np.ndarray | tuple = ()) -> None:
+        """``rare``: contexts left out of some model, whose positions ``coded`` reports."""
         used = np.unique(np.concatenate([np.flatnonzero(m.column != m.a - 1) for m in models]))
         a = len(used) + 1
         self.a, self.column = a, np.full(N_SYMBOLS, a - 1, np.int32)
@@ -275,15 +276,23 @@ class Models:
             rows = m.index.reshape(m.a, m.a, m.a)[o[x], o[y], o[z]]
             self.cost[:, :, i] = m.cost.reshape(-1, m.a)[rows][:, o]
         self.cost = self.cost.reshape(-1, len(models))
+        self.rare = marked(a, self.column, np.asarray(rare, np.int64))
 
     def lengths(self, text: pa.Array) -> np.ndarray:
         """Bits for each text (row) by each model (column)."""
+        return self.coded(text)[0]
+
+    def coded(self, text: pa.Array) -> tuple[np.ndarray, Requests]:
+        """Bits for each text by each model, and the positions in rare contexts."""
         data, offsets = buffers(text)
-        bits = np.zeros((len(offsets) - 1, self.cost.shape[1]))
+        bits, requests = np.zeros((len(offsets) - 1, self.cost.shape[1])), Requests()
         for part, at, lo, doc in pieces(data, offsets, WINDOW // 2):
             wide = self.column[part]
             context = (wide[at - 3] * self.a + wide[at - 2]) * self.a + wide[at - 1]
             cost = self.cost[self.index[context].astype(np.int64) * self.a + wide[at]]
             edge = np.flatnonzero(np.diff(doc, prepend=-1))
             bits[lo + doc[edge]] += np.add.reduceat(cost.astype(np.float64), edge, axis=0)
-        return bits
+            if self.rare is not None:
+                hit = np.flatnonzero(self.rare[context])
+                requests.add(doc[hit] + lo, grams(part, at[hit]), cost[hit])
+        return bits, requests

@@ -125,3 +125,18 @@ def test_no_context_is_lost_beyond_the_broadcast(spark, contexts, depth):
     assert len(rows) == len(texts) and any(r.held_out for r in rows)
     for r in rows:
         assert r.score == pytest.approx(-plain.bits(texts[r.doc_id]) * math.log10(2), rel=1e-5)
+
+
+def test_no_context_of_a_language_is_lost_beyond_the_broadcast(spark):
+    texts = [("en", t) for t in TRAIN[:2] * 4] + [("fr", "été à la mer")] * 6 + [("ja", "日本語のテキスト")] * 6 + [(None, "日本の本"), (None, "the été"), (None, "zebra")]
+    docs = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    plain = {
+        g: Ppm([t for i, (lang, t) in enumerate(texts) if lang == g and held(i, 3) != 1]) for g in ("en", "fr", "ja")
+    }
+    rows = langid.identify(docs, contexts=3).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        bits = {g: p.bits(texts[r.doc_id][1], exclusion=False) for g, p in plain.items()}
+        best = min(bits, key=bits.get)
+        assert r.lang_pred == best
+        assert r.score == pytest.approx(1 / sum(2 ** (bits[best] - b) for b in bits.values()), rel=1e-4)
