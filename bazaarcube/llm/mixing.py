@@ -13,6 +13,11 @@ A rate says how often a document is seen on average. Applied to documents it bec
 copies: the whole part, and one more with the probability of the rest, decided by a
 hash of the row, so the result does not depend on the run.
 
+Rates may have a lower bound (``least``). Where all documents are to stay it is 1, and
+``epochs`` then counts from the smallest mix that has both every document and the
+target shares: the tokens there are, times the largest ratio of a domain's share to its
+target. A domain above its target thus makes the others be repeated more.
+
 Defined cases: null or wordless texts have no tokens; they keep rate 1 and one row. With no
 labels every document belongs to all domains equally. Targets that cannot be met are
 approached as closely as the least squares allow. Repeated rows are separate rows;
@@ -97,17 +102,20 @@ def with_posteriors(docs: DataFrame, domains: Domains) -> tuple[DataFrame, str,
     return docs.mapInArrow(run, schema), tokens, p_names
 
 
-def rate_column(posteriors: list[Column], steps: list[np.ndarray]) -> Column:
+def rate_column(posteriors: list[Column], steps: list[np.ndarray], least: float = 0.0) -> Column:
     rate = F.lit(1.0)
     for step in steps:
         move = sum((p * F.lit(float(v)) for p, v in zip(posteriors, step, strict=True)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
+        rate = F.greatest(F.lit(float(least)), rate - move)
     return rate
 
 
-def fit_rates(found: DataFrame, tokens: str, p_names: list[str], weights: list[float], epochs: float = 1.0) -> list[np.ndarray]:
-    """The steps from rate 1 to the fitted rates. ``epochs``: tokens wanted for each
-    token there is."""
+def fit_rates(
+    found: DataFrame, tokens: str, p_names: list[str], weights: list[float], epochs: float = 1.0, least: float = 0.0
+) -> list[np.ndarray]:
+    """The steps from rate 1 to the fitted rates, of which none is below ``least``.
+    ``epochs``: tokens wanted for each token there is, or with ``least`` for each token
+    of the smallest mix that holds ``least`` of every document at the targets."""
     p, t = [F.col(n) for n in p_names], F.col(tokens).cast("double")
     pairs = [(i, j) for i in range(len(p)) for j in range(i, len(p))]
     first = found.agg(*(F.coalesce(F.sum(t * p[i] * p[j]), F.lit(0.0)) for i, j in pairs), F.coalesce(F.sum(t), F.lit(0.0))).first()
@@ -117,11 +125,15 @@ def fit_rates(found: DataFrame, tokens: str, p_names: list[str], weights: list[f
     total = float(first[-1])
     if total <= 0:
         return []
-    target = np.array(weights) / sum(weights) * total * epochs
+    share = np.array(weights) / sum(weights)
+    target = share * total * epochs
+    if least:  # posteriors sum to one, so a row of ``square`` sums to its domain's tokens
+        wanted = share > 0
+        target *= (square.sum(1)[wanted] * least / (share[wanted] * total)).max()
     inverse = np.linalg.pinv(square)
     steps: list[np.ndarray] = []
     while len(steps) < MAX_STEPS:
-        rate = rate_column(p, steps)
+        rate = rate_column(p, steps, least)
         sums = found.agg(*(F.sum(t * rate * x) for x in p)).first()
         residual = np.array(sums, float) - target
         if np.abs(residual).max() <= TOLERANCE * total:
@@ -141,14 +153,17 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     return stored.withColumn("rate", rate)
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, epochs: float = 1.0) -> DataFrame:
-    """Documents repeated or left out by their fitted rate, with their own columns."""
+def mix(
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, epochs: float = 1.0, least: float = 0.0
+) -> DataFrame:
+    """Documents repeated or left out by their fitted rate, with their own columns. With
+    ``least`` of 1 no document is left out."""
     domains = fit_domains(docs, labels, list(targets))
     stored, tokens, p_names = with_posteriors(docs.select("doc_id", "text"), domains)
     stored = stage(stored.drop("text"), "posteriors")
-    steps = fit_rates(stored, tokens, p_names, list(targets.values()), epochs)
+    steps = fit_rates(stored, tokens, p_names, list(targets.values()), epochs, least)
     found, tokens, p_names = with_posteriors(docs, domains)
-    rate = F.when(F.col(tokens) == 0, 1.0).otherwise(rate_column([F.col(n) for n in p_names], steps))
+    rate = F.when(F.col(tokens) == 0, 1.0).otherwise(rate_column([F.col(n) for n in p_names], steps, least))
     chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = (F.floor(rate) + F.when(chance < rate - F.floor(rate), 1).otherwise(0)).cast("int")
     (n,) = fresh_names(found, ["copies"])

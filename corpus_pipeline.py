@@ -7,8 +7,9 @@ documents are written to the shared folder and read again.
 1. toxicity: documents that the classifier chain rejects go.
 2. line_dedup: lines that an earlier document already has go; their documents stay.
 3. minmax_near_dedup: of near-duplicates the document with the smallest id stays.
-4. mixing: documents are repeated by their fitted rates. The budget is larger than the
-   corpus, so that the targets are met by repeating documents, not by losing them.
+4. mixing: documents are repeated by their fitted rates, none of which is below 1, so
+   every document stays. The budget follows from the fitted shares: where a domain is
+   above its target, the others are repeated more.
 5. packing: padded batches of documents of similar length.
 """
 
@@ -23,7 +24,8 @@ from bazaarcube.llm import toxicity as toxic
 from bazaarcube.llm.tables import table
 from bazaarcube.session import stage
 
-#: Shares of the tokens by quality, and tokens wanted for each token there is.
+#: Shares of the tokens by quality, and tokens wanted for each token of the smallest mix
+#: that holds every document at these shares.
 TARGETS = {"high": 0.85, "low": 0.15}
 EPOCHS = 1.3
 
@@ -45,7 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = mixing.domain_labels(table(spark, sf_dir, "labels"))
-    return mixing.mix(docs, labels, TARGETS, epochs=EPOCHS)
+    return mixing.mix(docs, labels, TARGETS, epochs=EPOCHS, least=1.0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 import __spark_entry__ as entry
@@ -61,3 +63,19 @@ def test_run_and_registration(spark, steps):
     assert entry.queries()["pipeline"](spark, SF).count() == steps[5].count()
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and len(names) == 10
+
+
+def test_mixing_keeps_every_document_of_a_large_low_source(spark, tmp_path):
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(900):
+        words = [f"w{rng.randrange(300)}" for _ in range(50)]
+        low = i % 3 == 1  # a third of the tokens
+        docs.append((i, " ".join(w.upper() + "!!" if low else w for w in words)))
+        if i % 2:
+            labels.append((i, int(not low), 0))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    after = [i for i, _ in texts(corpus_pipeline.mix(spark, df, str(tmp_path)))]
+    assert set(after) == {i for i, _ in docs}
+    assert sum(i % 3 == 1 for i in after) / len(after) == pytest.approx(corpus_pipeline.TARGETS["low"], abs=0.02)
