@@ -37,11 +37,30 @@ EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+#: Characters of an account number by country, where the country is known.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI NL", 19: "SI", 20: "AT EE LT LU", 21: "CH HR LI LV", 22: "BG DE GB IE", 24: "AD CZ ES RO SE SK",
+    25: "PT", 26: "IS", 27: "FR GR IT MC", 28: "CY HU PL", 31: "MT",
+}
+
+
+def _iban() -> str:
+    """A known country's number at its own length, so that no word after it is taken
+    in; else groups of four with a shorter last one, 15 to 34 characters."""
+    four, end = "(?: ?[A-Z0-9]{4})", "(?![A-Za-z0-9])"
+    known = [
+        f"(?:{'|'.join(c.split())})[0-9]{{2}}{four}{{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + end
+        for n, c in IBAN_LENGTHS.items()
+    ]
+    other = f"[A-Z]{{2}}[0-9]{{2}}(?=(?: ?[A-Z0-9]){{11}})(?:{four}{{7}}(?: ?[A-Z0-9]{{1,2}})?|{four}{{2,6}}(?: ?[A-Z0-9]{{1,3}})?){end}"
+    return f"(?<![A-Za-z0-9])(?:{'|'.join([*known, other])})"
+
+
 LOOSE = {
-    "secret": r"(?:password|passwd|pwd|api_key|token)[=:][^ \t\n\x0b\x0c\r]{6,128}",
+    "secret": r"(?:password|passwd|pwd|api_key|token)[=:][^ \t\n\x0b\x0c\r]{6,}+",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
+    "iban": _iban(),
     "hidden_email": rf"(?<!{_LOCAL}){_LOCAL}{{2,64}} ?[(\[]at[)\]] ?[A-Za-z0-9-]{{2,63}} ?[(\[]dot[)\]] ?[A-Za-z]{{2,24}}",
 }
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -49,7 +68,7 @@ KINDS = BASE_KINDS + tuple(LOOSE)
 
 # Gazetteers.
 TOP_DOMAINS = "com org net edu gov int info biz io co eu uk us de fr es it nl ch at be pl pt se no dk fi ie ca au nz br mx in jp"
-IBAN_COUNTRIES = "AD AT BE BG CH CY CZ DE DK EE ES FI FR GB GR HR HU IE IS IT LI LT LU LV MC MT NL NO PL PT RO SE SI SK"
+IBAN_COUNTRIES = " ".join(sorted(" ".join(IBAN_LENGTHS.values()).split()))
 CARD_PREFIX = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)"
 RESERVED_IP = r"^(?:0|10|127|169\.254|192\.168|172\.(?:1[6-9]|2[0-9]|3[01])|2(?:2[4-9]|[34][0-9]|5[0-5]))\."
 CONTEXT = {

@@ -118,3 +118,22 @@ def test_no_documents(no_docs):
 def test_the_plan_has_no_python(spark, awkward):
     plan = pii.candidates(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+IBANS = [
+    "DE89370400440532013000", "GB82WEST12345698765432", "FR1420041010050500013M02606", "NL91ABNA0417164300",
+    "IT60X0542811101000000123456", "NO9386011117947", "AT611904300234573201", "FR14 2004 1010 0505 0001 3M02 606", "DE89 3704 0044 0532 0130 00",
+]
+
+
+def test_added_spans_are_whole(spark):
+    secret = "token=" + "a1B2" * 100
+    texts = [(i, f"my iban is {iban}{after}") for i, (iban, after) in enumerate((b, a) for b in IBANS for a in ["", " IS OURS", "."])]
+    texts += [(100 + i, f"login {secret}{after}") for i, after in enumerate(["", " then"])]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: [(x.kind, x.s, x.e) for x in r.found if x.kind in ("iban", "secret")] for r in pii.candidates(df).collect()}
+    spans = {r.doc_id: r.spans.split(",") for r in pii.find(df).collect()}
+    for i, _ in texts:
+        kind, start, size = ("secret", 6, len(secret)) if i >= 100 else ("iban", 11, len(IBANS[i // 3]))
+        assert found[i] == [(kind, start, start + size)], texts[i]
+        assert f"{kind}:{start}:{start + size}" in spans[i], texts[i]
