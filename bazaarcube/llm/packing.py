@@ -1,9 +1,8 @@
 """Packing documents into batches of one padded length.
 
-The histogram of lengths over all documents (bounded: exact up to ``EXACT`` tokens,
-then in bins one part in ``FINE`` wide that keep their largest length and sums) goes
-to the driver, where dynamic programming chooses the upper bounds of the buckets so
-that padding is minimal. Every document goes to the first bucket that holds it. In a
+The histogram of lengths over all documents goes to the driver: one row for each
+distinct length, of which there are fewer than the root of twice the tokens. There
+dynamic programming chooses the upper bounds of the buckets so that padding is minimal. Every document goes to the first bucket that holds it. In a
 bucket, documents are dealt by hash into groups of about ``GROUP`` rows, so that a
 bucket with any share of all rows is split, and a group is cut into batches whose
 padded tokens stay within the budget. A document longer than the budget is a batch of
@@ -20,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarcube.llm.textops import slices, words
@@ -29,7 +28,6 @@ from bazaarcube.session import stage
 BUCKETS = 16
 #: Padded tokens of a batch.
 BUDGET = 65_536
-EXACT, FINE = 4096, 64
 #: Rows of a group on average.
 GROUP = 50_000
 
@@ -46,21 +44,16 @@ def lengths(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).mapInArrow(run, f"doc_id {kind}, n_tokens long, hash long")
 
 
-def bin_of(n: Column) -> Column:
-    """Lengths up to EXACT each by itself, longer ones by their logarithm."""
-    return F.when(n <= EXACT, n).otherwise(F.lit(EXACT + 1) + F.floor(F.log(n / F.lit(float(EXACT))) * F.lit(float(FINE)))).cast("long")
-
-
 def histogram(found: DataFrame) -> list[tuple[int, int, int]]:
-    """(largest length, documents, tokens) of each bin, by length."""
-    rows = found.groupBy(bin_of(F.col("n_tokens")).alias("bin")).agg(
-        F.max("n_tokens").alias("top"), F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")
-    )
+    """(length, documents, tokens) of each distinct length, in order."""
+    rows = found.groupBy(F.col("n_tokens").alias("top")).agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"))
     return sorted((r.top, r.docs, r.tokens) for r in rows.collect())
 
 
 def best_bounds(bins: list[tuple[int, int, int]], buckets: int = BUCKETS) -> list[int]:
-    """Upper bounds of at most ``buckets`` buckets with the least padding."""
+    """Upper bounds of at most ``buckets`` buckets with the least padding. The best cut
+    before a bin never moves back as the bin moves on, so each half of the bins needs
+    only its side of the cut in the middle: n log n steps for each bucket."""
     if not bins:
         return []
     top, docs, tokens = (np.array(x, np.float64) for x in zip(*bins, strict=True))
@@ -72,10 +65,17 @@ def best_bounds(bins: list[tuple[int, int, int]], buckets: int = BUCKETS) -> lis
     for _ in range(min(buckets, n)):
         new, cut = np.full(n + 1, np.inf), np.zeros(n + 1, np.int64)
         new[0] = 0
-        for j in range(1, n + 1):  # the bucket of bins i to j - 1
-            each = cost[:j] + top[j - 1] * (d[j] - d[:j]) - (t[j] - t[:j])
-            cut[j] = int(np.argmin(each))
-            new[j] = each[cut[j]]
+        parts = [(1, n, 0, n - 1)]
+        while parts:
+            low, high, first, last = parts.pop()
+            if low > high:
+                continue
+            j = (low + high) // 2  # the bucket of bins i to j - 1
+            i = slice(first, min(last, j - 1) + 1)
+            each = cost[i] + top[j - 1] * (d[j] - d[i]) - (t[j] - t[i])
+            cut[j] = first + int(np.argmin(each))
+            new[j] = each[cut[j] - first]
+            parts += [(low, j - 1, first, int(cut[j])), (j + 1, high, int(cut[j]), last)]
         cost = new
         cuts.append(cut)
     bounds, j = [], n

@@ -59,3 +59,12 @@ def test_a_large_bucket_is_split_and_batches_are_full(spark):
         assert len({n for i, n in sizes.items() if i < max(sizes)}) <= 1
     again = packing.pack(df.repartition(3), 4, 200, group=300)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_bounds_of_long_documents_are_optimal(spark):
+    sizes = [5000 + i for i in range(40)] * 2 + [5039] * 5
+    df = spark.createDataFrame([(i, "a " * n) for i, n in enumerate(sizes)], "doc_id long, text string")
+    rows = packing.pack(df, 3, 10**6).collect()
+    exact = [(n, sizes.count(n), n * sizes.count(n)) for n in sorted(set(sizes))]
+    best = min(padding(exact, [a, b, 5039]) for a, b in itertools.combinations(range(5000, 5039), 2))
+    assert sum(r.padded_length - r.n_tokens for r in rows) == best
