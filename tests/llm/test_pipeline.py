@@ -62,7 +62,7 @@ def test_packing_holds_every_document(steps):
 def test_run_and_registration(spark, steps):
     assert entry.queries()["pipeline"](spark, SF).count() == steps[5].count()
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and len(names) == 10
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14)) and len(names) == 13
 
 
 def test_mixing_keeps_every_document_of_a_large_low_source(spark, tmp_path):
