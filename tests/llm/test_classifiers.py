@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarcube.llm import linear, mixing, toxicity
+from bazaarcube.session import stage
 
 BAD = ["zounds", "fiddle", "blast"]
 
@@ -97,13 +98,76 @@ def test_expected_tokens_meet_the_targets(spark, epochs):
     assert found.filter("rate < 0").count() == 0 and found.count() == docs.count()
 
 
-def test_targets_out_of_reach_are_approached(spark):
-    docs, labels = corpus(spark)
-    targets = {"high": 0.0, "low": 0.0, "toxic": 1.0}
-    found = mixing.rates(docs, mixing.domain_labels(labels), targets)
-    total, got = totals(found, targets)
-    assert found.filter("rate < 0").count() == 0
-    assert got[2] > 0.8 * total and found.filter("rate = 0").count() > 0
+@pytest.fixture(scope="module")
+def posteriors(spark):
+    docs, labels = corpus(spark, 500)
+    domains = mixing.fit_domains(docs, mixing.domain_labels(labels), ["high", "low", "toxic"])
+    return stage(mixing.with_posteriors(docs, domains)[0].select("n_tokens", "p_high", "p_low", F.col("p_toxic_").alias("p_toxic")).coalesce(2), "posteriors")
+
+
+def least_squares(p, t, target, least, rounds=60_000):
+    """Domain totals of the nonnegative least squares, by accelerated projected gradient
+    over all rates."""
+    a = p.T * t
+    scale = 1 / t.mean() / t.sum()
+    r = y = np.full(len(t), max(1.0, least))
+    for i in range(rounds):
+        new = np.maximum(least, y - scale * (a.T @ (a @ y - target)))
+        y = new + i / (i + 3) * (new - r)
+        r = new
+    return a @ r
+
+
+@pytest.mark.parametrize("targets", [
+    {"high": 0.0, "low": 0.0, "toxic": 1.0},  # out of reach
+    {"high": 0.02, "low": 0.95, "toxic": 0.03},  # near or beyond what the bound allows
+    {"high": 0.80, "low": 0.15, "toxic": 0.05},
+])
+@pytest.mark.parametrize("least", [0.0, 1.0])
+def test_rates_are_the_least_squares_optimum(spark, posteriors, targets, least):
+    epochs = 0.9 if least else 1.0
+    names = [f"p_{n}" for n in targets]
+    data = posteriors.toPandas()
+    p, t, share = data[names].to_numpy(), data["n_tokens"].to_numpy(float), np.array(list(targets.values()))
+    r = mixing.rates_of(p, mixing.fit_rates(posteriors, "n_tokens", names, list(share), epochs, least).steps, least)
+    assert (r >= least).all()
+    target = share * t.sum() * epochs
+    if least:
+        own = t @ p
+        target *= max(own[i] / (share[i] * t.sum()) for i in range(3) if share[i])
+    got, want = (p.T * t) @ r, least_squares(p, t, target, least)
+    assert got == pytest.approx(want, abs=2e-4 * t.sum())
+    assert ((got - target) ** 2).sum() <= ((want - target) ** 2).sum() + 1e-9 * t.sum() ** 2
+
+
+def test_many_documents_at_the_bound_still_meet_the_targets(spark):
+    """Nearly pure posteriors: most rates of the unwanted domain must reach zero."""
+    rng = np.random.default_rng(6)
+    x = rng.dirichlet([0.3, 0.1, 0.05], 3000)
+    frame = spark.createDataFrame([(i, int(n), *map(float, row)) for i, (n, row) in enumerate(zip(rng.integers(1, 400, 3000), x, strict=True))], "doc_id long, n long, a double, b double, c double").repartition(3)
+    fit = mixing.fit_rates(frame, "n", ["a", "b", "c"], [0.05, 0.15, 0.8], 2.0)
+    assert np.abs(fit.residual).max() < 1e-8 and len(fit.steps) < 40
+    rate = mixing.rates_of(x, fit.steps, 0.0)
+    assert (rate == 0).mean() > 0.2
+
+
+def test_mixed_posteriors_beyond_reach(spark):
+    """No document is mostly of the wanted domain: the optimum misses it by far."""
+    rng = np.random.default_rng(7)
+    x, t = rng.dirichlet([3, 1, 0.5], 800), rng.integers(1, 400, 800).astype(float)
+    frame = spark.createDataFrame([(int(n), *map(float, row)) for n, row in zip(t, x, strict=True)], "n long, a double, b double, c double").repartition(2)
+    fit = mixing.fit_rates(frame, "n", ["a", "b", "c"], [0.0, 0.0, 1.0])
+    want = least_squares(x, t, np.array([0, 0, t.sum()]), 0.0, 20_000) / t.sum() - np.array([0, 0, 1.0])
+    assert np.abs(fit.residual).max() > 0.05 and fit.residual == pytest.approx(want, abs=1e-3)
+    assert (fit.residual**2).sum() <= (want**2).sum() + 1e-12
+
+
+def test_a_fit_that_does_not_converge_raises(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    monkeypatch.setattr(mixing, "_NEWTON", 1)
+    frame = spark.createDataFrame([(1, 10, 0.9, 0.1), (2, 20, 0.4, 0.6), (3, 5, 0.1, 0.9)], "doc_id long, n long, a double, b double")
+    with pytest.raises(RuntimeError, match="not converged"):
+        mixing.fit_rates(frame, "n", ["a", "b"], [0.01, 0.99])
 
 
 def test_copies_follow_the_rates(spark):
