@@ -39,20 +39,18 @@ from bazaarcube.session import stage
 #: Contexts of three bytes broadcast for each language.
 CONTEXTS = 8192
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # letters, and other signs with a numeric value
+#: Distinct codes of a language after which a task passes its counts on.
+FLUSH = 1 << 21
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counters: dict[str, ppm.Counter] = {}
-    for batch in batches:
-        langs = batch.column("lang").to_numpy(zero_copy_only=False)
-        for lang in sorted(set(langs)):
-            rows = pa.array(langs == lang)
-            ppm.count_grams(batch.column("text").filter(rows), counters.setdefault(lang, ppm.Counter()))
-    for lang, counter in counters.items():
-        codes, counts = counter.merge()
+
+    def out(lang: str) -> Iterator[pa.RecordBatch]:
+        codes, counts = counters.pop(lang).merge()
         for lo in range(0, len(codes), 100_000):
             part = slice(lo, lo + 100_000)
             yield pa.RecordBatch.from_arrays(
@@ -60,6 +58,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["lang", "code", "n"],
             )
 
+    for batch in batches:
+        langs = batch.column("lang").to_numpy(zero_copy_only=False)
+        for lang in sorted(set(langs)):
+            rows = pa.array(langs == lang)
+            ppm.count_grams(batch.column("text").filter(rows), counters.setdefault(lang, ppm.Counter()))
+        while sum(len(c.codes) for c in counters.values()) > FLUSH:
+            yield from out(max(counters, key=lambda x: len(counters[x].codes)))
+    for lang in list(counters):
+        yield from out(lang)
+
 
 @dataclass
 class Trained:
@@ -101,11 +109,12 @@ def languages(short: pa.Table) -> list[str]:
 
 
 def has_letter(text: pa.Array) -> np.ndarray:
+    """Whether each text has a character of a Unicode letter category (L)."""
     data, offsets = buffers(text)
     at = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
     found = at[offsets[1:]] > at[offsets[:-1]]
     for i in np.flatnonzero(~found & (np.diff(offsets) > 0)):
-        found[i] = bool(_LETTER.search(text[int(i)].as_py()))
+        found[i] = any(m.group().isalpha() for m in _LETTER.finditer(text[int(i)].as_py()))
     return found
 
 

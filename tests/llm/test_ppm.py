@@ -140,3 +140,28 @@ def test_no_context_of_a_language_is_lost_beyond_the_broadcast(spark):
         best = min(bits, key=bits.get)
         assert r.lang_pred == best
         assert r.score == pytest.approx(1 / sum(2 ** (bits[best] - b) for b in bits.values()), rel=1e-4)
+
+
+def test_only_letters_are_letters(spark):
+    texts = ["½", "²", "① Ⅳ 5", "٣", "__", "ª", "é", "日", "a1", "ʰ", "☃ 12", "", None]
+    want = [False, False, False, False, False, True, True, True, True, True, False, False, False]
+    assert langid.has_letter(pa.array(texts, pa.string())).tolist() == want
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)] + [(100, "the cat", "en"), (102, "the dog", "en")], "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert [found[i] == "und" for i in range(len(texts))] == [not w for w in want]
+
+
+def test_a_task_passes_its_counts_on(monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"lang": ["a", "b"], "text": [f"some words {i}", f"andere {i}"]}) for i in range(20)]
+
+    def total():
+        out: dict = {}
+        for b in langid._count(iter(batches)):
+            for x, c, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                out[x, c] = out.get((x, c), 0) + n
+        return out
+
+    whole = total()
+    monkeypatch.setattr(langid, "FLUSH", 10)
+    monkeypatch.setattr(ppm.Counter, "add", lambda self, codes: (self.wait.append(np.unique(codes, return_counts=True)), self.merge()))
+    assert total() == whole
