@@ -17,8 +17,10 @@ number is bounded by the number of patterns, reach the driver.
 
 Positions are in code points, end exclusive. They follow from the lengths of the
 pieces between matches, so each text is passed over once for the pieces and once for
-the matches. Defined cases: a null text is empty; every row gives a row, whatever its
-id; overlapping spans of different base kinds are all kept; an added span never
+the matches. Ends are running sums in parts of the square root of their number, so a
+table with a million numbers is no square.
+
+Defined cases: a null text is empty; every row gives a row, whatever its id; overlapping spans of different base kinds are all kept; an added span never
 overlaps a base span. Extra columns are ignored.
 """
 
@@ -35,7 +37,9 @@ from bazaarcube.session import stage
 _LOCAL = "[A-Za-z0-9._%+-]"
 EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-CARD = r"[0-9](?:[\x20-]?[0-9])++"
+# Matches are whole runs of digits with single separators; a run too short for a card of
+# any length is left out, and the rest begin where no earlier digit reaches.
+CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12}(?:[\x20-]?[0-9])*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Characters of an account number by country, where the country is known.
 IBAN_LENGTHS = {
@@ -53,16 +57,32 @@ def _iban() -> str:
         for n, c in IBAN_LENGTHS.items()
     ]
     other = f"[A-Z]{{2}}[0-9]{{2}}(?=(?: ?[A-Z0-9]){{11}})(?:{four}{{7}}(?: ?[A-Z0-9]{{1,2}})?|{four}{{2,6}}(?: ?[A-Z0-9]{{1,3}})?){end}"
-    return f"(?<![A-Za-z0-9])(?:{'|'.join([*known, other])})"
-
-
-LOOSE = {
-    "secret": r"(?:password|passwd|pwd|api_key|token)[=:][^ \t\n\x0b\x0c\r]{6,}+",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "local_phone": r"(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "iban": _iban(),
-    "hidden_email": rf"(?<!{_LOCAL}){_LOCAL}{{2,64}} ?[(\[]at[)\]] ?[A-Za-z0-9-]{{2,63}} ?[(\[]dot[)\]] ?[A-Za-z]{{2,24}}",
+    return f"(?:{'|'.join([*known, other])})"
+
+
+# What must not stand before a match, and the match.
+_WORD = "[A-Za-z0-9+/_-]"
+LOOSE_PARTS = {
+    # the name of a credential, a sign of assignment and a value, quoted or not
+    "secret": (
+        "(?<![A-Za-z0-9])",
+        r"(?i:[a-z0-9]{0,20}[_-]?(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|(?:access|auth|private|secret|client)[_-]key))"
+        r"""["']?[ \t]{0,3}(?::=|=>|[=:])[ \t]{0,3}(?:"[^"\n]{6,}+"|'[^'\n]{6,}+'|[^ "'\t\n\x0b\x0c\r]{6,}+)""",
+    ),
+    # known formats of keys, and long random words: hexadecimal, or letters of both cases with digits
+    "key": (
+        f"(?<!{_WORD})",
+        "(?:AKIA[0-9A-Z]{16}|gh[a-z]_[A-Za-z0-9]{30,}+|xox[a-z]-[A-Za-z0-9-]{20,}+|sk[_-][A-Za-z0-9_-]{20,}+"
+        r"|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"
+        f"|(?=[0-9]*+[a-fA-F])(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{{32,}}+(?!{_WORD})"
+        f"|(?=[^0-9]{{0,40}}[0-9])(?=[^a-z]{{0,40}}[a-z])(?=[^A-Z]{{0,40}}[A-Z])[A-Za-z0-9+/]{{36,}}+={{0,2}}(?!{_WORD}))",
+    ),
+    "ssn": ("(?<![0-9-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
+    "local_phone": ("(?<![0-9])", r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
+    "iban": ("(?<![A-Za-z0-9])", _iban()),
+    "hidden_email": (f"(?<!{_LOCAL})", rf"{_LOCAL}{{2,64}} ?[(\[]at[)\]] ?[A-Za-z0-9-]{{2,63}} ?[(\[]dot[)\]] ?[A-Za-z]{{2,24}}"),
 }
+LOOSE = {kind: before + match for kind, (before, match) in LOOSE_PARTS.items()}
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + tuple(LOOSE)
 
@@ -77,6 +97,7 @@ CONTEXT = {
     "card": "card|visa|master|credit|karte|carte|tarjeta|payment",
     "phone": "phone|call|tel|mobile|fax|anruf|appel|llam",
     "secret": "login|user|account|credential",
+    "key": "key|token|secret|credential|password|bearer|authorization|login",
     "ssn": "ssn|social security|security number",
     "local_phone": "phone|call|tel|mobile|fax",
     "iban": "iban|account|bank|konto|compte|cuenta",
@@ -92,21 +113,61 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-_NO_SPANS = "CAST(array() AS array<struct<kind:string,value:string,s:int,e:int,before:string,after:string>>)"
+_INTS = "CAST(array() AS array<int>)"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of ``body``, in which ``name`` is ``value``, evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _running(numbers: str, start: int, step: str) -> str:
+    """SQL of the running ``step`` (of {t} and {x}, from ``start``) over an array of
+    ints. The array is cut into as many parts as a part has entries: first each part
+    is reduced, then the parts' starts run, then each part from its start, so arrays
+    that grow by one entry at a time stay short."""
+
+    def scan(array: str, item: str, reduced: str, first: str, after: bool) -> str:
+        new = step.format(t="acc.at", x=reduced)
+        kept = new if after else "acc.at"
+        return (
+            f"aggregate({array}, struct({first} AS at, {_INTS} AS out), (acc, {item}) ->"
+            f" struct({new} AS at, concat(acc.out, array({kept})) AS out), acc -> acc.out)"
+        )
+
+    parts = "transform(sequence(0, (size(l) - 1) div w), k -> slice(l, k * w + 1, w))"
+    whole = f"aggregate(a, {start}, (t, x) -> {step.format(t='t', x='x')})"
+    starts = scan("b", "a", whole, str(start), False)
+    inner = scan("z.a", "y", "y", "z.s", True)
+    body = _let("b", parts, f"flatten(transform(zip_with(b, {starts}, (a, s) -> struct(a, s)), z -> {inner}))")
+    return _let("l", numbers, f"CASE WHEN size(l) = 0 THEN {_INTS} ELSE {_let('w', 'CAST(ceil(sqrt(size(l))) AS int)', body)} END")
 
 
 def _spans(name: str) -> str:
     """SQL of the spans of the matches ``m_name`` between the pieces ``p_name``: kind,
     value, start, end and the characters around."""
     m, p = f"m_{name}", f"p_{name}"
-    return f"""CASE WHEN size({m}) > 0 THEN aggregate(
-      arrays_zip({m}, slice({p}, 1, size({m})), slice({p}, 2, size({m}))),
-      struct(0 AS at, {_NO_SPANS} AS out),
-      (acc, x) -> struct(
-        acc.at + char_length(x.`1`) + char_length(x.`{m}`) AS at,
-        concat(acc.out, array(struct('{name}' AS kind, x.`{m}` AS value, acc.at + char_length(x.`1`) AS s,
-          acc.at + char_length(x.`1`) + char_length(x.`{m}`) AS e, right(x.`1`, 40) AS before, left(x.`2`, 1) AS after))) AS out),
-      acc -> acc.out) ELSE {_NO_SPANS} END"""
+    before, after = f"slice({p}, 1, size({m}))", f"slice({p}, 2, size({m}))"
+    ends = _running(f"zip_with({before}, {m}, (u, v) -> char_length(u) + char_length(v))", 0, "{t} + {x}")
+    return f"""CASE WHEN size({m}) > 0 THEN transform(
+      arrays_zip({m}, {before}, {after}, {ends}),
+      x -> struct('{name}' AS kind, x.`{m}` AS value, x.`3` - char_length(x.`{m}`) AS s, x.`3` AS e,
+        right(x.`1`, 40) AS before, left(x.`2`, 1) AS after))
+      ELSE CAST(array() AS array<struct<kind:string,value:string,s:int,e:int,before:string,after:string>>) END"""
+
+
+def _free(loose: str, base: str) -> str:
+    """SQL of the spans ``loose`` (in order, without overlap) that no span of ``base``
+    touches: among the base spans that begin before a loose one ends, the largest end must
+    not be beyond its start. One sort of both, and one running maximum."""
+    events = (
+        f"sort_array(concat(transform({base}, b -> struct(b.s AS at, 1 AS base, b.e AS far)),"
+        f" transform({loose}, x -> struct(x.e AS at, 0 AS base, 0 AS far))))"
+    )
+    far = _running("transform(ev, q -> q.far)", 0, "greatest({t}, {x})")
+    ends = f"transform(filter(zip_with(ev, {far}, (q, f) -> struct(q.base, f AS far)), q -> q.base = 0), q -> q.far)"
+    kept = f"filter(zip_with({loose}, {_let('ev', events, ends)}, (x, f) -> struct(x, f)), y -> y.f <= y.x.s)"
+    return f"CASE WHEN size({loose}) = 0 OR size({base}) = 0 THEN {loose} ELSE transform({kept}, y -> y.x) END"
 
 
 _DIGITS = "regexp_replace(x.value, '[^0-9]', '')"
@@ -142,7 +203,8 @@ def _votes() -> dict[str, str]:
         f"WHEN '{k}' THEN CASE WHEN lower(x.before) rlike {_quoted(words)} THEN 1 ELSE 0 END" for k, words in CONTEXT.items()
     ) + " ELSE 0 END"
     distinct_digits = f"size(array_distinct(split({_DIGITS}, '')))"
-    look = f"""CASE WHEN x.kind = 'secret' THEN CASE WHEN x.value rlike '[0-9]' AND x.value rlike '[=:].*[A-Za-z]' THEN 1 ELSE -1 END
+    look = f"""CASE WHEN x.kind = 'key' THEN 1
+      WHEN x.kind = 'secret' THEN CASE WHEN x.value rlike '[=:].*[0-9]' AND x.value rlike '[=:].*[A-Za-z]' THEN 1 ELSE -1 END
       WHEN x.kind IN ('email', 'hidden_email') THEN 0
       WHEN {distinct_digits} <= 2 THEN -1
       WHEN x.kind = 'card' THEN CASE WHEN char_length({_DIGITS}) BETWEEN 16 AND 19 THEN 1 ELSE -1 END ELSE 0 END"""
@@ -174,7 +236,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         "ip": (IP, digit),
         "card": (CARD, digit),
         "phone": (PHONE, "instr(text, '+') > 0"),
-        "loose": (loose, "text rlike '[0-9=:]|dot'"),
+        "loose": (loose, "text rlike '[0-9=:]|dot'"),  # every loose match has one of these
     }
     for name, (pattern, when) in parts.items():
         text = text.withColumn(f"m_{name}", F.expr(f"CASE WHEN {when} THEN regexp_extract_all(text, {_quoted(pattern)}, 0) END"))
@@ -183,12 +245,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     spans = text.select("doc_id", *(F.expr(_spans(name)).alias(name) for name in parts))
     for kind in BASE_KINDS:
         spans = spans.withColumn(kind, F.expr(f"transform({kind}, x -> struct(x.kind, x.value, x.s, x.e, x.before, x.after, {CHECKS[kind]} AS valid))"))
-    # a digit run too short for a card is no candidate
-    spans = spans.withColumn("card", F.expr(f"filter(card, x -> char_length({_DIGITS}) >= 13)"))
-    kind_of = "CASE " + " ".join(f"WHEN x.value rlike {_quoted('^' + p.replace('(?<![0-9-])', '').replace('(?<![0-9])', '').replace('(?<![A-Za-z0-9])', '').replace(f'(?<!{_LOCAL})', ''))} THEN '{k}'" for k, p in LOOSE.items()) + " ELSE 'hidden_email' END"
+    kind_of = "CASE " + " ".join(f"WHEN x.value rlike {_quoted('^(?:' + match + ')')} THEN '{k}'" for k, (_, match) in LOOSE_PARTS.items()) + " ELSE 'hidden_email' END"
     spans = spans.withColumn("base", F.expr("filter(concat(email, ip, card, phone), x -> x.valid)"))
-    free = "filter(loose, x -> NOT exists(base, b -> b.s < x.e AND x.s < b.e))"
-    spans = spans.withColumn("loose", F.expr(f"transform({free}, x -> struct({kind_of} AS kind, x.value, x.s, x.e, x.before, x.after, false AS valid))"))
+    spans = spans.withColumn("free", F.expr(_free("loose", "base")))
+    spans = spans.withColumn("loose", F.expr(f"transform(free, x -> struct({kind_of} AS kind, x.value, x.s, x.e, x.before, x.after, false AS valid))"))
     votes = ", ".join(f"CAST({sql} AS int) AS {name}" for name, sql in _votes().items())
     features = ", ".join(f"{sql} AS {name}" for name, sql in FEATURES.items())
     found = f"transform(concat(email, ip, card, phone, loose), x -> struct(x.kind, x.s, x.e, x.valid, {votes}, {features}))"
