@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bazaarcube.functions.columns import customer_type, date_key, lenient_date, pick
 from bazaarcube.operators.joins import join_dim
-from bazaarcube.operators.keys import dense_keys
+from bazaarcube.operators.keys import stable_keys
 from bazaarcube.schemas import WAREHOUSE
 from bazaarcube.sources.operational import Tables
 
@@ -39,9 +39,14 @@ def date_bounds(raw: Tables) -> DataFrame:
     return reduce(DataFrame.union, parts).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
-def dim_thoigian(raw: Tables) -> DataFrame:
-    """Every day between the bounds: at most the days of the DATE range used."""
-    days = date_bounds(raw).filter("lo is not null").select(F.explode(F.sequence("lo", "hi")).alias("ngay"))
+def dim_thoigian(raw: Tables, known: DataFrame | None = None) -> DataFrame:
+    """Every day between the bounds, those of the ``known`` calendar included: at most
+    the days of the DATE range used."""
+    bounds = date_bounds(raw)
+    if known is not None:
+        before = known.agg(F.min("ngay").alias("lo"), F.max("ngay").alias("hi"))
+        bounds = bounds.union(before).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    days = bounds.filter("lo is not null").select(F.explode(F.sequence("lo", "hi")).alias("ngay"))
     day = F.col("ngay")
     return days.select(
         date_key(day).alias("sk_thoiGian"),
@@ -52,7 +57,7 @@ def dim_thoigian(raw: Tables) -> DataFrame:
     )
 
 
-def dim_mathang(raw: Tables) -> DataFrame:
+def dim_mathang(raw: Tables, known: DataFrame | None = None) -> DataFrame:
     named = pick(
         raw["mathang"],
         {
@@ -60,10 +65,10 @@ def dim_mathang(raw: Tables) -> DataFrame:
             "trongluong": "trongLuong", "gia": "gia", "ngaycapnhat": "ngayMoBan",
         },
     )
-    return dense_keys(named, ["maMH"], "sk_matHang").select(*WAREHOUSE["Dim_MatHang"].columns)
+    return stable_keys(named, "maMH", "sk_matHang", known).select(*WAREHOUSE["Dim_MatHang"].columns)
 
 
-def dim_diadiem(raw: Tables) -> DataFrame:
+def dim_diadiem(raw: Tables, known: DataFrame | None = None) -> DataFrame:
     named = pick(
         raw["vanphongdaidien"],
         {
@@ -71,10 +76,10 @@ def dim_diadiem(raw: Tables) -> DataFrame:
             "ngaythanhlapvp": "ngayThanhLapVP", "tenthanhpho": "tenThanhPho",
         },
     )
-    return dense_keys(named, ["maTP"], "sk_diaDiem").select(*WAREHOUSE["Dim_DiaDiem"].columns)
+    return stable_keys(named, "maTP", "sk_diaDiem", known).select(*WAREHOUSE["Dim_DiaDiem"].columns)
 
 
-def dim_khachhang(raw: Tables, locations: DataFrame, location_rows: int) -> DataFrame:
+def dim_khachhang(raw: Tables, locations: DataFrame, location_rows: int, known: DataFrame | None = None) -> DataFrame:
     travel = pick(raw["khachhang_dulich"], {"khachhangmakh": "maKH", "hdvdulich": "huongDanVien"})
     postal = pick(raw["khachhang_buudien"], {"khachhangmakh": "maKH", "diachibuudien": "diaChiBuuDien"})
     typed = (
@@ -90,10 +95,10 @@ def dim_khachhang(raw: Tables, locations: DataFrame, location_rows: int) -> Data
         .withColumn("loaiKhachHang", customer_type(F.col("huongDanVien"), F.col("diaChiBuuDien")))
     )
     placed = join_dim(typed, locations.select("sk_diaDiem", "maTP"), "maTP", "left", location_rows)
-    return dense_keys(placed, ["maKH"], "sk_khachHang").select(*WAREHOUSE["Dim_KhachHang"].columns)
+    return stable_keys(placed, "maKH", "sk_khachHang", known).select(*WAREHOUSE["Dim_KhachHang"].columns)
 
 
-def dim_cuahang(raw: Tables, locations: DataFrame, location_rows: int) -> DataFrame:
+def dim_cuahang(raw: Tables, locations: DataFrame, location_rows: int, known: DataFrame | None = None) -> DataFrame:
     named = pick(
         raw["cuahang"],
         {
@@ -102,4 +107,4 @@ def dim_cuahang(raw: Tables, locations: DataFrame, location_rows: int) -> DataFr
         },
     )
     placed = join_dim(named, locations.select("sk_diaDiem", "maTP"), "maTP", "left", location_rows)
-    return dense_keys(placed, ["maCH"], "sk_cuaHang").select(*WAREHOUSE["Dim_CuaHang"].columns)
+    return stable_keys(placed, "maCH", "sk_cuaHang", known).select(*WAREHOUSE["Dim_CuaHang"].columns)

@@ -52,3 +52,21 @@ def dense_keys(df: DataFrame, natural: Sequence[str], name: str, start: int = 1)
         .withColumn(name, (F.col("_offset") + F.col("_position") + start).cast("int"))
         .drop("_part", "_position", "_offset")
     )
+
+
+def stable_keys(df: DataFrame, natural: str, name: str, known: DataFrame | None) -> DataFrame:
+    """Key ``df`` with the keys that ``known`` (an earlier state of the dimension) gave.
+
+    Known members keep their key and get their columns from ``df``; new ones are
+    numbered from the largest key on, in the order of ``natural``, wherever they fall
+    among the known; known members that ``df`` lacks stay as they were, since facts may
+    point to them. Without ``known`` all members are numbered from 1.
+    """
+    if known is None:
+        return dense_keys(df, [natural], name)
+    registry = known.select(natural, name)
+    last = known.agg(F.max(name)).first()[0] or 0
+    kept = df.join(registry, natural)
+    added = dense_keys(df.join(registry, natural, "left_anti"), [natural], name, last + 1)
+    gone = known.join(df.select(natural), natural, "left_anti")
+    return kept.unionByName(added).unionByName(gone, allowMissingColumns=True)

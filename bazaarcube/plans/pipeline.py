@@ -10,17 +10,11 @@ from bazaarcube.operators.facts import quarantine
 from bazaarcube.operators.quality import require_unique
 from bazaarcube.plans.lattice import build_cubes
 from bazaarcube.plans.star import build_star
-from bazaarcube.schemas import FACT_KEYS
+from bazaarcube.schemas import FACT_KEYS, UNIQUE_BEFORE_LOAD
 from bazaarcube.sinks.runlog import append_run, now
 from bazaarcube.sinks.warehouse import VERSIONS, Star, publish_version
 from bazaarcube.sources.operational import SourceConfig, Tables, load_sources, table_counts
 
-#: Tables whose repeated keys would multiply customers, stores or products.
-UNIQUE_BEFORE_LOAD = (
-    "vanphongdaidien", "cuahang", "mathang", "khachhang", "khachhang_dulich", "khachhang_buudien",
-)
-
-
 @dataclass(frozen=True)
 class RunResult:
     exit_code: int

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from bazaarcube.operators.quality import foreign_key_report, insert_if_absent, p
 from bazaarcube.operators.scd import first_version, merge_versions
 from bazaarcube.plans import olap, reports
 from bazaarcube.plans.cubes import CUBES, build_cube, specs_for
+from bazaarcube.plans.increment import increment_star
 from bazaarcube.plans.lattice import answer_from_cube, build_cubes, build_lattice
 from bazaarcube.plans.pipeline import run_etl
 from bazaarcube.plans.star import customer_view, star_for_testdata, store_view, with_day_names
@@ -22,6 +24,7 @@ from bazaarcube.sinks.warehouse import Star, row_counts
 from bazaarcube.sources.operational import Tables, extract, table_counts
 from bazaarcube.sources.testdata import sources_from_testdata
 from bazaarcube.streaming.cube_stream import backfill, compact, fact_stream, read_cube, start_cube_stream, write_batch
+from bazaarcube.streaming.stock_stream import start_stock_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,6 +121,38 @@ def _insert_overlap(raw: Tables) -> DataFrame:
     return _as_double(merged, "giadat")
 
 
+def _first_load(raw: Tables) -> Tables:
+    """What a first load knows: most products and customers, two thirds of the orders
+    (some of unknown customers or products), two thirds of the stock records."""
+    customers = {t: raw[t].filter(F.col(c) % 7 != 3) for t, c in (("khachhang", "makh"), ("khachhang_dulich", "khachhangmakh"), ("khachhang_buudien", "khachhangmakh"))}
+    return {
+        **raw,
+        **customers,
+        "mathang": raw["mathang"].filter(F.col("mamh") % 5 != 2),
+        "dondathang": raw["dondathang"].filter(F.col("madon") % 3 != 1),
+        "mathang_duocdat": raw["mathang_duocdat"].filter(F.col("dondathangmadon") % 3 != 1),
+        "mathang_duoctru": raw["mathang_duoctru"].filter((F.col("soluongtrongkho") % 3 != 0) & (F.col("mathangmamh") % 5 != 2)),
+    }
+
+
+def _two_loads(make: Callable[[Star], DataFrame]) -> Query:
+    """A first load, then all source rows as a second one that adds what is new."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, warehouse = sources_from_testdata(spark, sf_dir), new_folder(spark, "grown")
+        increment_star(spark, _first_load(raw), warehouse)
+        return make(increment_star(spark, raw, warehouse))
+
+    return run
+
+
+def _members(star: Star) -> DataFrame:
+    ids = {"Dim_MatHang": "maMH", "Dim_DiaDiem": "maTP", "Dim_KhachHang": "maKH", "Dim_CuaHang": "maCH"}
+    keys = {"Dim_MatHang": "sk_matHang", "Dim_DiaDiem": "sk_diaDiem", "Dim_KhachHang": "sk_khachHang", "Dim_CuaHang": "sk_cuaHang"}
+    parts = [star[t].select(F.lit(t).alias("bang"), F.col(c).cast("string").alias("ma"), F.col(keys[t]).alias("khoa")) for t, c in ids.items()]
+    return reduce(DataFrame.union, parts)
+
+
 def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backfill, two batches, a compaction of the first, and both batches replayed."""
     star = star_for_testdata(spark, sf_dir)
@@ -156,6 +191,24 @@ def _incremental(subject: str, cube: str) -> Query:
     return run
 
 
+def _corrected_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third stock record is first entered too low and corrected in a later batch;
+    records of one day arrive in different batches."""
+    star = star_for_testdata(spark, sf_dir)
+    specs = specs_for("inventory")
+    records = sources_from_testdata(spark, sf_dir)["mathang_duoctru"]
+    landing = new_folder(spark, "records")
+    third = (F.col("mathangmamh") + F.col("cuahangmach")) % 3 == 0
+    low = records.filter(third).withColumn("soluongtrongkho", F.floor(F.col("soluongtrongkho") / 2).cast("int"))
+    odd = F.col("soluongtrongkho") % 2 == 1
+    for part in (low.unionByName(records.filter(~third & odd)), records.filter(third | ~odd)):
+        part.coalesce(1).write.mode("append").parquet(landing)  # one file is one batch here
+    facts = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    path = new_folder(spark, "partials")
+    start_stock_stream(star, facts, specs, path, new_folder(spark, "closes"), new_folder(spark, "progress"), available_now=True).awaitTermination()
+    return read_cube(star, path, CUBES["inv_cube_2d_thang_thanhpho"], specs)
+
+
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue by customer type, answered from the smallest stored cube."""
     star = star_for_testdata(spark, sf_dir)
@@ -260,5 +313,9 @@ def queries() -> dict[str, Query]:
     found["cube_incremental"] = _incremental("order", "cube_2d_quy_thanhpho")
     found["cube_incremental_inventory"] = _incremental("inventory", "inv_cube_2d_thang_thanhpho")
     found["cube_resolved"] = _resolved
+    found["inventory_corrected_stream"] = _corrected_stock
+    found["incremental_star"] = _two_loads(lambda star: _as_double(star["Fact_DonDatHang"], "giaDat", "thanhTien"))
+    found["incremental_star_stock"] = _two_loads(lambda star: star["Fact_TonKho"])
+    found["incremental_star_members"] = _two_loads(_members)
     found["scd2_customer"] = _scd2
     return found

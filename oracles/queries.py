@@ -318,6 +318,38 @@ FROM mo
 """
 
 
+def _two_loads() -> dict[str, str]:
+    """Members that the first load knows are numbered first, all others after them."""
+
+    def keyed(table: str, key: str, known: str) -> str:
+        return f"""SELECT {key} AS ma, CAST(ROW_NUMBER() OVER (PARTITION BY {known} ORDER BY {key})
+          + CASE WHEN {known} THEN 0 ELSE (SELECT COUNT(*) FROM {table} WHERE {known}) END AS INTEGER) AS sk FROM {table}"""
+
+    mh, kh = keyed("mathang", "mamh", "(mamh % 5 <> 2)"), keyed("khachhang", "makh", "(makh % 7 <> 3)")
+    tp, ch = keyed("vanphongdaidien", "matp", "true"), keyed("cuahang", "mach", "true")
+    return {
+        "incremental_star": source_sql(
+            f"""SELECT k.sk AS "sk_khachHang", m.sk AS "sk_matHang", CAST(STRFTIME(ngaydathang, '%Y%m%d') AS INTEGER) AS "sk_thoiGian",
+                  madon AS "maDon", soluongdat AS "soLuongDat", CAST(giadat AS DOUBLE) AS "giaDat",
+                  CAST(CAST(soluongdat AS DECIMAL(10,0)) * giadat AS DOUBLE) AS "thanhTien"
+                FROM mathang_duocdat JOIN dondathang ON madon = dondathangmadon
+                JOIN ({mh}) m ON m.ma = mathangmamh LEFT JOIN ({kh}) k ON k.ma = khachhangmakh"""
+        ),
+        "incremental_star_stock": source_sql(
+            f"""SELECT CAST(STRFTIME(thoigiannhap, '%Y%m%d') AS INTEGER) AS "sk_thoiGian", m.sk AS "sk_matHang", c.sk AS "sk_cuaHang",
+                  MAX(soluongtrongkho) AS "soLuongTonKho"
+                FROM mathang_duoctru JOIN ({mh}) m ON m.ma = mathangmamh JOIN ({ch}) c ON c.ma = cuahangmach
+                GROUP BY thoigiannhap, m.sk, c.sk"""
+        ),
+        "incremental_star_members": source_sql(
+            " UNION ALL ".join(
+                f"SELECT '{t}' AS bang, CAST(ma AS VARCHAR) AS ma, sk AS khoa FROM ({q})"
+                for t, q in (("Dim_MatHang", mh), ("Dim_DiaDiem", tp), ("Dim_KhachHang", kh), ("Dim_CuaHang", ch))
+            )
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     for name, group in ORDER_CUBES.items():
@@ -330,11 +362,13 @@ def oracle_sql() -> dict[str, str]:
     sql.update(_star())
     sql.update(_quality())
     sql.update(_reports())
+    sql.update(_two_loads())
     sql["lattice_order"] = lattice_sql("order", ORDER_CUBES)
     sql["lattice_inventory"] = lattice_sql("inventory", INVENTORY_CUBES)
     sql["cube_incremental"] = cube_sql("order", ["nam", "quy", "mien", "tenThanhPho"])
     sql["cube_incremental_inventory"] = cube_sql("inventory", ["nam", "thang", "tenThanhPho"])
     sql["cube_backfill_stream_compact"] = cube_sql("order", ["nam", "quy", "mien", "tenThanhPho"])
+    sql["inventory_corrected_stream"] = cube_sql("inventory", ["nam", "thang", "tenThanhPho"])
     sql["cube_resolved"] = cube_sql("order", ["loaiKhachHang"])
     sql["scd2_customer"] = _SCD
     return sql
