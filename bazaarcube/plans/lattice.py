@@ -12,7 +12,8 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
@@ -267,27 +268,109 @@ def lattice_cube(rows: DataFrame, spec: CubeSpec, specs: Sequence[CubeSpec]) ->
 
 # --- stored cubes ------------------------------------------------------------
 
+#: How much a grouping column adds to the size of a cube, for choosing the smallest parent.
+_WEIGHT = {"nam": 1, "quy": 1, "thang": 2, "loaiKhachHang": 1, "mien": 1, "tenThanhPho": 3, "tenMH": 0}
+_ID_WEIGHT = 9
+
+
+def weight(group: Iterable[str]) -> int:
+    return sum(_WEIGHT.get(c, _ID_WEIGHT) for c in group)
+
+
+@dataclass(frozen=True)
+class RollUp:
+    """How the cubes of one family (same facts) come out of each other: ``base`` is the
+    grouping by all their columns, and each cube has a parent: an earlier cube, or None
+    for the base."""
+
+    base: CubeSpec
+    steps: tuple[tuple[CubeSpec, CubeSpec | None], ...]
+
+
+def quarter_of(group: Iterable[str]) -> set[str]:
+    """The columns that a grouping gives: a month tells its quarter."""
+    return {*group, *(("quy",) if "thang" in group else ())}
+
+
+def roll_up_plan(specs: Sequence[CubeSpec]) -> list[RollUp]:
+    """A tree over the cubes of each family, from the widest to the smallest: every cube
+    is summed from the smallest one that has its columns and is finished by then."""
+    families: dict[tuple, list[CubeSpec]] = defaultdict(list)
+    for spec in specs:
+        families[spec.axes, any(c in PLACE_COLUMNS for c in spec.group)].append(spec)
+    plans = []
+    for family in families.values():
+        columns = tuple(dict.fromkeys(c for s in family for c in s.group))
+        order = sorted(family, key=lambda s: (-weight(s.group), s.name))
+        steps = []
+        for i, spec in enumerate(order):
+            wider = [p for p in order[:i] if set(spec.group) <= quarter_of(p.group)]
+            steps.append((spec, min(wider, key=lambda p: (weight(p.group), p.name), default=None)))
+        plans.append(RollUp(CubeSpec("base", family[0].subject, columns, 0), tuple(steps)))
+    return plans
+
+
+def implied(star: Star, subject: str, group: Sequence[str]) -> set[str]:
+    """The columns that have one value in each group: the quarter of a month, and the
+    labels and place of a member whose id is unique."""
+    found = quarter_of(group)
+    for key in late_keys(star, subject, group):
+        found |= {*SUBJECTS[subject].labels[key][1], *(PLACE_COLUMNS if key == SUBJECTS[subject].place_key else ())}
+    return found
+
+
+def rolled_up(parent: DataFrame, spec: CubeSpec) -> DataFrame:
+    """The cube from the sums of a wider one."""
+    if "quy" in spec.group and "quy" not in parent.columns:
+        parent = parent.withColumn("quy", F.ceil(F.col("thang") / 3).cast("int"))
+    return parent.groupBy(*spec.group).agg(*[m.merged_sum() for m in spec.measures]).select(*spec.columns)
+
 
 def build_cubes(
-    star: Star, path: str, subject: str, dims: Iterable[int] = (0, 1, 2, 3), at_once: int = 4
+    star: Star, path: str, subject: str, dims: Iterable[int] = (0, 1, 2, 3), at_once: int = 8
 ) -> list[str]:
     """Store every cube of ``subject`` under ``path`` with exact sums. A rerun replaces
     the old cubes when all new ones are complete. ``open_cube`` reads one with its
     reported types.
 
-    The cubes are independent queries on the staged cells, so a few are sent to
-    Spark at a time: a small cube does not leave the cluster idle.
+    Only the widest grouping of each family reads its key cell and looks up labels; it is
+    stored, and all other cubes are summed from the smallest stored one that has their
+    columns. Families are independent, so a few are sent to Spark at a time.
     """
     cells = KeyCells.staged(star, subject)
     draft = f"{path}/_draft-{uuid.uuid4().hex}"
 
-    def write(spec: CubeSpec) -> str:
-        cells.exact_cube(spec).write.parquet(f"{draft}/{spec.name}")
+    def store_base(plan: RollUp) -> DataFrame | None:
+        """The stored base of a family; none where a single cube is all of it."""
+        if len(plan.steps) == 1:
+            return None
+        return stage_at(cells.exact_cube(plan.base), f"{cells.folder}/base-{uuid.uuid4().hex}")
+
+    def store(plan: RollUp, spec: CubeSpec, parent: CubeSpec | None, after: Future) -> str:
+        whole = after.result()
+        if parent is not None:
+            cube = rolled_up(star.spark.read.parquet(f"{draft}/{parent.name}"), spec)
+        elif whole is None:
+            cube = cells.exact_cube(spec)
+        elif set(plan.base.group) <= implied(star, subject, spec.group):
+            cube = whole.select(*spec.columns)
+        else:
+            cube = rolled_up(whole, spec)
+        cube.write.parquet(f"{draft}/{spec.name}")
         return spec.name
 
     try:
+        wrap = inheritable_thread_target(star.spark)
+        plans = sorted(roll_up_plan(specs_for(subject, dims)), key=lambda p: -len(p.steps))
+        steps = sorted(((p, spec, parent) for p in plans for spec, parent in p.steps), key=lambda x: (-weight(x[1].group), x[1].name))
         with ThreadPoolExecutor(at_once) as pool:
-            names = list(pool.map(inheritable_thread_target(star.spark)(write), specs_for(subject, dims)))
+            # parents are handed in before their children, so no task waits for one behind it
+            bases = {p.base.group: pool.submit(wrap(store_base), p) for p in plans}
+            done: dict[str, Future] = {}
+            for plan, spec, parent in steps:
+                after = bases[plan.base.group] if parent is None else done[parent.name]
+                done[spec.name] = pool.submit(wrap(store), plan, spec, parent, after)
+            names = [f.result() for f in done.values()]
         for name in names:
             remove_folder(star.spark, f"{path}/{name}")
             move_folder(star.spark, f"{draft}/{name}", f"{path}/{name}")
