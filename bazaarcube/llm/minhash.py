@@ -290,10 +290,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return with_id.union(without.select("doc_id", "n", F.col("doc_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, compared: DataFrame | None = None) -> DataFrame:
     """The documents with the smallest id of each group of near-duplicates, with their
-    own columns; documents without an id stay."""
-    found = near_duplicates(docs)
+    own columns; documents without an id stay. ``compared``: the texts to compare (doc_id,
+    text) in place of those of ``docs``, where a document has had other forms too; it is
+    linked to what any of its forms is linked to."""
+    found = near_duplicates(docs if compared is None else compared)
     (gone,) = fresh_names(docs, ["gone_id"])
     dropped = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct(), "dropped")
     if dropped.count() <= BROADCAST_IDS:

@@ -43,10 +43,35 @@ def test_lines_against_brute_force(steps):
     assert sorted(texts(steps[2])) == want
 
 
+def forms(steps):
+    """The documents that line dedup kept, with their texts before and after it."""
+    before, after = dict(texts(steps[0])), texts(steps[2])
+    return [(i, t) for i, cut in after for t in dict.fromkeys([before[i], cut])]
+
+
 def test_near_duplicates_against_brute_force(steps):
-    rows = texts(steps[2])
-    component = brute.near_duplicates(rows)
-    assert sorted(i for i, _ in texts(steps[3])) == sorted(i for i, _ in rows if component[i] == i)
+    component = brute.near_duplicates(forms(steps))
+    assert sorted(i for i, _ in texts(steps[3])) == sorted(i for i, _ in texts(steps[2]) if component[i] == i)
+
+
+def test_only_the_first_of_a_group_reaches_mixing(steps):
+    """Whole, empty or cut by line dedup, a near copy of an earlier document goes."""
+    kept = {i for i, _ in texts(steps[1])}
+    whole = brute.near_duplicates([(i, t) for i, t in texts(steps[0]) if i in kept])
+    copies = {i for i, c in whole.items() if c != i}
+    assert copies and not copies & {i for i, _ in texts(steps[3])}
+    before = dict(texts(steps[0]))
+    emptied = {i for i, t in texts(steps[3]) if not (t or "").strip() and (before[i] or "").strip()}
+    assert not emptied & copies
+
+
+def test_the_stage_alone_compares_what_it_is_given(spark, tmp_path):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, "other text of a few words more"), (None, "x"), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame([(9, "unrelated")], docs.schema).write.parquet(f"{tmp_path}/documents.parquet")
+    found = texts(corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)))
+    assert sorted(str(i) for i, _ in found) == ["1", "3", "4", "5", "None"]
 
 
 def test_mixing_repeats_whole_documents(steps):
