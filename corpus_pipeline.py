@@ -5,8 +5,11 @@ same columns; the last returns the packing of what is left. Between stages the
 documents are written to the shared folder and read again.
 
 1. toxicity: documents that the classifier chain rejects go.
-2. line_dedup: lines that an earlier document already has go; their documents stay.
-3. minmax_near_dedup: of near-duplicates the document with the smallest id stays.
+2. line_dedup: lines that an earlier document already has go; their documents stay, also
+   those that are empty then.
+3. minmax_near_dedup: of near-duplicates the document with the smallest id stays. Line
+   dedup leaves of a near copy only what differs, which no longer resembles anything,
+   so documents are compared both by the text they came with and by what is left of it.
 4. mixing: documents are repeated by their fitted rates, none of which is below 1, so
    every document stays. The budget follows from the fitted shares: where a domain is
    above its target, the others are repeated more.
@@ -18,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarcube.llm import line_dedup, minhash, mixing, packing
 from bazaarcube.llm import toxicity as toxic
@@ -42,7 +46,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs)
+    """``docs`` are compared in two forms: as they are, and as they came."""
+    came = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("came"))
+    both = docs.select("doc_id", "text").join(came, "doc_id", "left")
+    forms = F.when(F.col("came").isNull() | F.col("came").eqNullSafe(F.col("text")), F.array("text")).otherwise(F.array("came", "text"))
+    return minhash.keep_one(docs, both.select("doc_id", F.explode(forms).alias("text")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
