@@ -50,7 +50,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     came = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("came"))
     both = docs.select("doc_id", "text").join(came, "doc_id", "left")
     forms = F.when(F.col("came").isNull() | F.col("came").eqNullSafe(F.col("text")), F.array("text")).otherwise(F.array("came", "text"))
-    return minhash.keep_one(docs, both.select("doc_id", F.explode(forms).alias("text")))
+    # stored, as near-dedup reads the texts several times
+    return minhash.keep_one(docs, stage(both.select("doc_id", F.explode(forms).alias("text")), "forms"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
