@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from bazaarcube.functions.columns import BOTH, POSTAL, TRAVEL
 from bazaarcube.operators.joins import join_dim
 from bazaarcube.plans.cubes import with_calendar
+from bazaarcube.plans.distinct import SetCube, distinct_customers
 from bazaarcube.plans.star import customer_view, store_view
+from bazaarcube.schemas import WAREHOUSE
 from bazaarcube.sinks.warehouse import Star
 
 
@@ -32,7 +34,8 @@ def _on_sale(star: Star) -> DataFrame:
 
 
 def preview(star: Star, table: str, rows: int = 5) -> DataFrame:
-    return star[table].limit(rows)
+    """The first rows of a table by its sort key."""
+    return star[table].orderBy(*WAREHOUSE[table].sort_key).limit(rows)
 
 
 def revenue_by_month(star: Star) -> DataFrame:
@@ -73,18 +76,10 @@ def customer_types(star: Star) -> DataFrame:
     )
 
 
-def customer_types_approx(star: Star, error: float = 0.02) -> DataFrame:
-    """The same with an estimated customer count, in one pass and fixed memory."""
-    typed = _join(
-        star,
-        star["Fact_DonDatHang"],
-        star["Dim_KhachHang"].select("sk_khachHang", "loaiKhachHang"),
-        "Dim_KhachHang",
-    )
-    return typed.groupBy("loaiKhachHang").agg(
-        F.approx_count_distinct("sk_khachHang", error).alias("soKhachHang"),
-        _revenue().cast("double").alias("tongDoanhThu"),
-    )
+def customer_types_stored(cells: DataFrame, cube: SetCube) -> DataFrame:
+    """The same from the cells of a stored set cube; with sketches, estimated counts."""
+    found = distinct_customers(cells, cube, ("loaiKhachHang",))
+    return found.select("loaiKhachHang", "soKhachHang", "tongDoanhThu").orderBy(F.desc("tongDoanhThu"))
 
 
 def stock_by_store(star: Star) -> DataFrame:

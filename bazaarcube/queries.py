@@ -14,6 +14,7 @@ from bazaarcube.operators.quality import foreign_key_report, insert_if_absent, p
 from bazaarcube.operators.scd import first_version, merge_versions
 from bazaarcube.plans import olap, reports
 from bazaarcube.plans.cubes import CUBES, build_cube, specs_for
+from bazaarcube.plans.distinct import SetCube, add_batch, compact_sets, distinct_customers, read_sets, store_sets
 from bazaarcube.plans.increment import increment_star
 from bazaarcube.plans.lattice import answer_from_cube, build_cubes, build_lattice
 from bazaarcube.plans.pipeline import run_etl
@@ -218,6 +219,28 @@ def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer_from_cube(spark, path, "order", ["loaiKhachHang"], rows)[1]
 
 
+#: The columns of the stored set cube.
+SETS = SetCube(("nam", "quy", "thang", "loaiKhachHang", "mien", "tenThanhPho"))
+
+
+def _on_sets(make: Callable[[DataFrame], DataFrame]) -> Query:
+    """A set cube of half of the orders, a batch, a compaction, another batch, and the
+    first batch once more; customers occur in all of them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star, path = star_for_testdata(spark, sf_dir), new_folder(spark, "sets")
+        fact = star["Fact_DonDatHang"]
+        part = F.pmod(F.xxhash64("maDon"), F.lit(4))
+        store_sets(Star({**star.tables, "Fact_DonDatHang": fact.filter(part > 1)}, star.rows), SETS, path)
+        add_batch(star, SETS, fact.filter(part == 0), path, 0)
+        compact_sets(spark, SETS, path, committed=0)
+        for batch in (1, 0):
+            add_batch(star, SETS, fact.filter(part == batch), path, batch)
+        return make(read_sets(spark, path))
+
+    return run
+
+
 def _scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two snapshots of the customers: those known at the end of 1995 (registered
     in a subtype, or with an order), and all at the end of 2001."""
@@ -282,6 +305,11 @@ def queries() -> dict[str, Query]:
     found["report_01_revenue_by_month"] = _on_star(reports.revenue_by_month)
     found["report_02_top_products"] = _on_star(reports.top_products)
     found["report_03_customer_types"] = _on_star(reports.customer_types)
+    found["report_03_customer_types_stored"] = _on_sets(lambda cells: reports.customer_types_stored(cells, SETS))
+    found["distinct_customers_by_quarter_region"] = _on_sets(
+        lambda cells: distinct_customers(cells, SETS, ("nam", "quy", "mien"))
+    )
+    found["preview_products"] = _on_star(lambda star: reports.preview(star, "Dim_MatHang"))
     found["report_04_stock_by_store"] = _on_star(reports.stock_by_store)
     found["report_05_products_on_sale"] = _on_star(reports.products_on_sale)
     found["report_06_orders_per_customer"] = _on_star(reports.orders_per_customer)

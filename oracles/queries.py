@@ -6,6 +6,8 @@ from oracles.sql import (
     GUIDE_CUBES,
     INVENTORY_CUBES,
     ORDER_CUBES,
+    QUANTITY,
+    REVENUE,
     cube_sql,
     lattice_sql,
     source_sql,
@@ -370,5 +372,13 @@ def oracle_sql() -> dict[str, str]:
     sql["cube_backfill_stream_compact"] = cube_sql("order", ["nam", "quy", "mien", "tenThanhPho"])
     sql["inventory_corrected_stream"] = cube_sql("inventory", ["nam", "thang", "tenThanhPho"])
     sql["cube_resolved"] = cube_sql("order", ["loaiKhachHang"])
+    sql["report_03_customer_types_stored"] = sql["report_03_customer_types"]
+    sql["distinct_customers_by_quarter_region"] = star_sql(
+        f"""SELECT t.nam, t.quy, l.mien, COUNT(DISTINCT f."sk_khachHang") AS "soKhachHang", {REVENUE}, {QUANTITY}
+           FROM fact_dondathang f JOIN dim_thoigian t ON t."sk_thoiGian" = f."sk_thoiGian"
+           JOIN dim_khachhang c ON c."sk_khachHang" = f."sk_khachHang"
+           JOIN dim_diadiem l ON l."sk_diaDiem" = c."sk_diaDiem" GROUP BY t.nam, t.quy, l.mien"""
+    )
+    sql["preview_products"] = star_sql('SELECT * FROM dim_mathang ORDER BY "sk_matHang" LIMIT 5')
     sql["scd2_customer"] = _SCD
     return sql
