@@ -116,8 +116,9 @@ class CubeSpec:
 
     @property
     def axes(self) -> frozenset[str]:
-        """Needed key axes; ``T`` stands for the calendar."""
-        return frozenset(keys_of(self.subject, self.group)) | ({"T"} if self.time else frozenset())
+        """Needed key axes; ``T`` stands for the calendar, ``D`` for its days."""
+        days = {"D"} if "ngay" in self.group else frozenset()
+        return frozenset(keys_of(self.subject, self.group)) | ({"T"} if self.time else frozenset()) | days
 
     @property
     def columns(self) -> list[str]:
@@ -190,6 +191,15 @@ GUIDE_CUBES: tuple[CubeSpec, ...] = tuple(_guide_specs())
 CUBES: dict[str, CubeSpec] = {s.name: s for s in (*ORDER_CUBES, *INVENTORY_CUBES, *GUIDE_CUBES)}
 
 
+def measures_of(specs: Sequence[CubeSpec]) -> tuple[Measure, ...]:
+    """The measures of the subject, and what some of ``specs`` count beside them."""
+    return tuple(dict.fromkeys((*SUBJECTS[specs[0].subject].measures, *(m for s in specs for m in s.extra))))
+
+
+def guide_specs(subject: str) -> list[CubeSpec]:
+    return [s for s in GUIDE_CUBES if s.subject == subject]
+
+
 def specs_for(subject: str, dims: Iterable[int] = (0, 1, 2, 3)) -> list[CubeSpec]:
     wanted = set(dims)
     family = ORDER_CUBES if subject == "order" else INVENTORY_CUBES

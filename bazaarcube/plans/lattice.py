@@ -4,7 +4,9 @@ Sums are distributive, so a cube can be grouped from an earlier, finer sum
 instead of the fact. The finer sums are kept per surrogate key: one *key cell*
 for each subset of {month, first key, second key}. Eight cells serve all 60
 order cubes (or all 18 stock cubes). The widest cell is one pass over the fact,
-each other cell one pass over a narrower cell.
+each other cell one pass over a narrower cell. Where cubes by day are wanted, a day
+axis stands above the month, with cells for the keys that these cubes need; where
+cubes count lines, all cells carry the count.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from itertools import combinations
 
@@ -23,15 +25,19 @@ from pyspark.sql import functions as F
 
 from bazaarcube.operators.joins import fits_broadcast
 from bazaarcube.plans.cubes import (
+    CUBES,
     PLACE_COLUMNS,
     PLACED,
     SUBJECTS,
+    TIME_COLUMNS,
     CubeSpec,
+    Measure,
     group_cell,
     label_table,
     labelled,
     labels_of,
     late_keys,
+    measures_of,
     report_types,
     specs_for,
     with_calendar,
@@ -43,28 +49,37 @@ _MONTH = ("nam", "quy", "thang")
 Axes = frozenset[str]
 
 
-def fact_cell(star: Star, subject: str, fact: DataFrame | None = None) -> DataFrame:
-    """The fact with month columns; rows without a calendar day keep NULLs, since
-    cubes without a time axis count them."""
+def by_day(specs: Sequence[CubeSpec]) -> bool:
+    return any("D" in s.axes for s in specs)
+
+
+def _time_columns(days: bool) -> tuple[str, ...]:
+    return (*_MONTH, "ngay") if days else _MONTH
+
+
+def fact_cell(star: Star, subject: str, fact: DataFrame | None = None, days: bool = False) -> DataFrame:
+    """The fact with month (or day) columns; rows without a calendar day keep NULLs,
+    since cubes without a time axis count them."""
     rows = star[SUBJECTS[subject].fact] if fact is None else fact
-    return with_calendar(star, rows, _MONTH, "left")
+    return with_calendar(star, rows, _time_columns(days), "left")
 
 
-def widest_cell(star: Star, subject: str, fact: DataFrame | None = None) -> DataFrame:
-    what = SUBJECTS[subject]
-    return (
-        fact_cell(star, subject, fact).groupBy(*_MONTH, *what.keys).agg(*[m.first_sum() for m in what.measures])
-    )
+def widest_cell(star: Star, specs: Sequence[CubeSpec], fact: DataFrame | None = None, days: bool | None = None) -> DataFrame:
+    """The sums from which all of ``specs`` can be made."""
+    subject = specs[0].subject
+    days = by_day(specs) if days is None else days
+    columns = (*_time_columns(days), *SUBJECTS[subject].keys)
+    return fact_cell(star, subject, fact, days).groupBy(*columns).agg(*[m.first_sum() for m in measures_of(specs)])
 
 
-def widest_cell_pays(star: Star, subject: str, share: float = 0.5) -> bool:
+def widest_cell_pays(star: Star, subject: str, share: float = 0.5, days: bool = False) -> bool:
     """Whether the widest cell is clearly smaller than the fact: an estimate of
     its size in one pass with fixed memory."""
     what = SUBJECTS[subject]
     cell_rows, fact_rows = (
-        fact_cell(star, subject)
+        fact_cell(star, subject, days=days)
         .agg(
-            F.approx_count_distinct(F.struct(*_MONTH, *what.keys)).alias("cells"),
+            F.approx_count_distinct(F.struct(*_time_columns(days), *what.keys)).alias("cells"),
             F.count(F.lit(1)).alias("rows"),
         )
         .first()
@@ -72,18 +87,32 @@ def widest_cell_pays(star: Star, subject: str, share: float = 0.5) -> bool:
     return cell_rows <= share * fact_rows
 
 
-def narrower(subject: str, cell: DataFrame, axes: Axes, merged: bool) -> DataFrame:
+def narrower(subject: str, cell: DataFrame, axes: Axes, merged: bool, measures: Sequence[Measure] | None = None) -> DataFrame:
     """Sum a cell down to ``axes``."""
     what = SUBJECTS[subject]
-    columns = [*(_MONTH if "T" in axes else ()), *[k for k in what.keys if k in axes]]
-    return cell.groupBy(*columns).agg(*[m.sum_of(merged) for m in what.measures])
+    columns = [*(_time_columns("D" in axes) if "T" in axes else ()), *[k for k in what.keys if k in axes]]
+    return cell.groupBy(*columns).agg(*[m.sum_of(merged) for m in measures or what.measures])
+
+
+def _month_axes(subject: str) -> list[Axes]:
+    """The eight cells without days, the widest first."""
+    axes = ("T", *SUBJECTS[subject].keys)
+    return [frozenset(c) for size in (3, 2, 1, 0) for c in combinations(axes, size)]
 
 
 class KeyCells:
     """The key cells of one subject, each with whether it holds sums already."""
 
-    def __init__(self, star: Star, subject: str, cells: dict[Axes, tuple[DataFrame, bool]], folder: str | None = None):
+    def __init__(
+        self,
+        star: Star,
+        subject: str,
+        cells: dict[Axes, tuple[DataFrame, bool]],
+        folder: str | None = None,
+        measures: Sequence[Measure] | None = None,
+    ):
         self.star, self.subject, self.cells, self.folder = star, subject, cells, folder
+        self.measures = tuple(measures or SUBJECTS[subject].measures)
 
     def remove(self, spark: SparkSession) -> None:
         """Delete the stored cells; nothing can be read from them any more."""
@@ -91,40 +120,55 @@ class KeyCells:
             remove_folder(spark, self.folder)
 
     @classmethod
-    def staged(cls, star: Star, subject: str) -> KeyCells:
-        """Store the cells that several cubes read. The widest one is stored only
-        where it saves reading; otherwise the fact stands in for it."""
-        all_axes = ("T", *SUBJECTS[subject].keys)
-        widest = frozenset(all_axes)
+    def staged(cls, star: Star, subject: str, specs: Sequence[CubeSpec] | None = None) -> KeyCells:
+        """Store the cells that several cubes read: the eight without days, and by day
+        those that ``specs`` need. A widest one is stored only where it saves reading;
+        otherwise the fact stands in for it."""
+        specs = specs or specs_for(subject)
+        measures = measures_of(specs)
+        months = _month_axes(subject)
+        widest, wanted = months[0], set(months[1:])
         cells: dict[Axes, tuple[DataFrame, bool]] = {}
         folder = new_folder(star.spark, f"cells-{subject}")
+        if by_day(specs):
+            wanted |= {s.axes for s in specs if "D" in s.axes and s.axes != widest | {"D"}}
+            if widest_cell_pays(star, subject, days=True):
+                by_days = stage_at(widest_cell(star, specs, days=True), f"{folder}/widest-days")
+                cells[widest | {"D"}] = (by_days, True)
+            else:
+                cells[widest | {"D"}] = (fact_cell(star, subject, days=True), False)
         if widest_cell_pays(star, subject):
-            cells[widest] = (stage_at(widest_cell(star, subject), f"{folder}/widest"), True)
+            if widest | {"D"} in cells:
+                df, merged = cells[widest | {"D"}]
+                sums = narrower(subject, df, widest, merged, measures)
+            else:
+                sums = widest_cell(star, specs, days=False)
+            cells[widest] = (stage_at(sums, f"{folder}/widest"), True)
         else:
             cells[widest] = (fact_cell(star, subject), False)
 
         def store(axes: Axes) -> tuple[Axes, DataFrame]:
             df, merged = cells[min((a for a in cells if axes < a), key=len)]
             name = "-".join(["axes", *sorted(axes)])
-            return axes, stage_at(narrower(subject, df, axes, merged), f"{folder}/{name}")
+            return axes, stage_at(narrower(subject, df, axes, merged, measures), f"{folder}/{name}")
 
         # Level by level: a cell is summed from one with a single axis more.
         with ThreadPoolExecutor(3) as pool:
-            for size in (2, 1, 0):
-                level = list(pool.map(inheritable_thread_target(star.spark)(store), map(frozenset, combinations(all_axes, size))))
-                cells.update({axes: (df, True) for axes, df in level})
-        return cls(star, subject, cells, folder)
+            for size in (3, 2, 1, 0):
+                level = [axes for axes in wanted if len(axes) == size]
+                found = list(pool.map(inheritable_thread_target(star.spark)(store), level))
+                cells.update({axes: (df, True) for axes, df in found})
+        return cls(star, subject, cells, folder, measures)
 
     @classmethod
-    def lazy(cls, star: Star, subject: str, widest: DataFrame) -> KeyCells:
-        """All cells as queries on one (small) widest cell."""
-        all_axes = ("T", *SUBJECTS[subject].keys)
-        cells: dict[Axes, tuple[DataFrame, bool]] = {frozenset(all_axes): (widest, True)}
-        for size in (2, 1, 0):
-            for chosen in combinations(all_axes, size):
-                axes = frozenset(chosen)
-                cells[axes] = (narrower(subject, widest, axes, True), True)
-        return cls(star, subject, cells)
+    def lazy(cls, star: Star, specs: Sequence[CubeSpec], widest: DataFrame) -> KeyCells:
+        """All cells that ``specs`` need as queries on one (small) widest cell."""
+        subject, measures = specs[0].subject, measures_of(specs)
+        full = _month_axes(subject)[0] | ({"D"} if by_day(specs) else frozenset())
+        cells: dict[Axes, tuple[DataFrame, bool]] = {full: (widest, True)}
+        for axes in {*_month_axes(subject), *(s.axes for s in specs)} - {full}:
+            cells[axes] = (narrower(subject, widest, axes, True, measures), True)
+        return cls(star, subject, cells, measures=measures)
 
     def cell(self, axes: Axes) -> tuple[DataFrame, bool]:
         df, merged = self.cells[axes]
@@ -143,13 +187,11 @@ class KeyCells:
 
 
 def lattice_columns(specs: Sequence[CubeSpec]) -> list[str]:
-    """Grouping columns in the fixed order that numbers the bits of ``gid``. What the
-    key cells do not hold (days, line counts) is refused rather than left out."""
+    """Grouping columns in the fixed order that numbers the bits of ``gid``."""
     used = {c for s in specs for c in s.group}
-    order = ("nam", "quy", "thang", "maKH", "loaiKhachHang", "maMH", "tenMH", "mien", "tenThanhPho", "maCH")
-    lost = (used - set(order)) | {m.name for s in specs for m in s.extra}
-    if lost:
-        raise ValueError(f"key cells do not hold {sorted(lost)}")
+    order = (*TIME_COLUMNS, "maKH", "loaiKhachHang", "maMH", "tenMH", "mien", "tenThanhPho", "maCH")
+    if used - set(order):
+        raise ValueError(f"key cells do not hold {sorted(used - set(order))}")
     return [c for c in order if c in used]
 
 
@@ -167,19 +209,19 @@ def lattice(cells: KeyCells, specs: Sequence[CubeSpec]) -> DataFrame:
     """
     columns = lattice_columns(specs)
     families: dict[Axes, list[CubeSpec]] = defaultdict(list)
-    for spec in specs:
+    for spec in {frozenset(s.group): s for s in specs}.values():  # cubes with the same groups share rows
         families[spec.axes].append(spec)
     return reduce(DataFrame.unionByName, [_family(cells, family, columns) for family in families.values()])
 
 
 def _family(cells: KeyCells, family: Sequence[CubeSpec], columns: Sequence[str]) -> DataFrame:
-    what = SUBJECTS[cells.subject]
     used = [c for c in columns if any(c in s.group for s in family)]
     if not used:
-        return cells.exact_cube(family[0]).select(
+        counted = tuple(m for m in cells.measures if m not in SUBJECTS[cells.subject].measures)
+        return cells.exact_cube(replace(family[0], extra=counted)).select(
             F.lit(spec_gid(family[0], columns)).alias("gid"),
             *[F.lit(None).cast(_type_of(cells.star, cells.subject, c)).alias(c) for c in columns],
-            *[m.name for m in what.measures],
+            *[m.name for m in cells.measures],
         )
     star, subject = cells.star, cells.subject
     swapped = _swapped_keys(star, subject, family, used)
@@ -196,7 +238,7 @@ def _family(cells: KeyCells, family: Sequence[CubeSpec], columns: Sequence[str])
         for s in family
     ]
     grouped = base.groupingSets(sets, *[F.col(c) for c in (*swapped, *kept, *flag)]).agg(
-        *[m.sum_of(merged) for m in what.measures],
+        *[m.sum_of(merged) for m in cells.measures],
         *[F.grouping(c).alias(f"_no_{c}") for c in (*swapped, *kept)],
     )
     if flag:
@@ -218,7 +260,7 @@ def _family(cells: KeyCells, family: Sequence[CubeSpec], columns: Sequence[str])
             F.col(c) if c in used else F.lit(None).cast(_type_of(star, subject, c)).alias(c)
             for c in columns
         ],
-        *[m.name for m in what.measures],
+        *[m.name for m in cells.measures],
     )
 
 
@@ -242,7 +284,7 @@ def _swapped_keys(
 
 
 def _type_of(star: Star, subject: str, column: str) -> str:
-    if column in _MONTH:
+    if column in TIME_COLUMNS:
         return star["Dim_ThoiGian"].schema[column].dataType.simpleString()
     if column in PLACE_COLUMNS:
         return star["Dim_DiaDiem"].schema[column].dataType.simpleString()
@@ -269,7 +311,7 @@ def lattice_cube(rows: DataFrame, spec: CubeSpec, specs: Sequence[CubeSpec]) ->
 # --- stored cubes ------------------------------------------------------------
 
 #: How much a grouping column adds to the size of a cube, for choosing the smallest parent.
-_WEIGHT = {"nam": 1, "quy": 1, "thang": 2, "loaiKhachHang": 1, "mien": 1, "tenThanhPho": 3, "tenMH": 0}
+_WEIGHT = {"nam": 1, "quy": 1, "thang": 2, "ngay": 5, "loaiKhachHang": 1, "mien": 1, "tenThanhPho": 3, "tenMH": 0}
 _ID_WEIGHT = 9
 
 
@@ -304,9 +346,10 @@ def roll_up_plan(specs: Sequence[CubeSpec]) -> list[RollUp]:
         order = sorted(family, key=lambda s: (-weight(s.group), s.name))
         steps = []
         for i, spec in enumerate(order):
-            wider = [p for p in order[:i] if set(spec.group) <= quarter_of(p.group)]
+            wider = [p for p in order[:i] if set(spec.group) <= quarter_of(p.group) and set(spec.measures) <= set(p.measures)]
             steps.append((spec, min(wider, key=lambda p: (weight(p.group), p.name), default=None)))
-        plans.append(RollUp(CubeSpec("base", family[0].subject, columns, 0), tuple(steps)))
+        counted = tuple(dict.fromkeys(m for s in family for m in s.extra))
+        plans.append(RollUp(CubeSpec("base", family[0].subject, columns, 0, counted), tuple(steps)))
     return plans
 
 
@@ -327,17 +370,23 @@ def rolled_up(parent: DataFrame, spec: CubeSpec) -> DataFrame:
 
 
 def build_cubes(
-    star: Star, path: str, subject: str, dims: Iterable[int] = (0, 1, 2, 3), at_once: int = 8
+    star: Star,
+    path: str,
+    subject: str,
+    dims: Iterable[int] = (0, 1, 2, 3),
+    at_once: int = 8,
+    more: Sequence[CubeSpec] = (),
 ) -> list[str]:
-    """Store every cube of ``subject`` under ``path`` with exact sums. A rerun replaces
-    the old cubes when all new ones are complete. ``open_cube`` reads one with its
-    reported types.
+    """Store every cube of ``subject`` (with ``dims``, and ``more``, such as cubes by day
+    or with line counts) under ``path`` with exact sums. A rerun replaces the old cubes
+    when all new ones are complete. ``open_cube`` reads one with its reported types.
 
     Only the widest grouping of each family reads its key cell and looks up labels; it is
     stored, and all other cubes are summed from the smallest stored one that has their
     columns. Families are independent, so a few are sent to Spark at a time.
     """
-    cells = KeyCells.staged(star, subject)
+    specs = [*specs_for(subject, dims), *more]
+    cells = KeyCells.staged(star, subject, specs)
     draft = f"{path}/_draft-{uuid.uuid4().hex}"
 
     def store_base(plan: RollUp) -> DataFrame | None:
@@ -361,7 +410,7 @@ def build_cubes(
 
     try:
         wrap = inheritable_thread_target(star.spark)
-        plans = sorted(roll_up_plan(specs_for(subject, dims)), key=lambda p: -len(p.steps))
+        plans = sorted(roll_up_plan(specs), key=lambda p: -len(p.steps))
         steps = sorted(((p, spec, parent) for p in plans for spec, parent in p.steps), key=lambda x: (-weight(x[1].group), x[1].name))
         with ThreadPoolExecutor(at_once) as pool:
             # parents are handed in before their children, so no task waits for one behind it
@@ -398,22 +447,24 @@ def same_rows(subject: str, spec: CubeSpec, group: Sequence[str]) -> bool:
 
 
 def answer_from_cube(
-    spark: SparkSession, path: str, subject: str, group: Sequence[str], rows: dict[str, int]
+    spark: SparkSession, path: str, subject: str, group: Sequence[str], rows: dict[str, int], extra: Sequence[Measure] = ()
 ) -> tuple[str, DataFrame]:
-    """Answer a grouping from the smallest stored cube that has its columns and the
-    same facts. Without such a cube a LookupError tells the caller to ask the fact.
+    """Answer a grouping from the smallest stored cube that has its columns, the same
+    facts and the measures ``extra``. Without such a cube a LookupError tells the caller
+    to ask the fact.
 
     ``rows`` gives the row count of each stored cube. All measures are additive,
     so the cube's sums are summed again.
     """
     covering = [
-        s for s in specs_for(subject)
-        if s.name in rows and set(group) <= set(s.group) and same_rows(subject, s, group)
+        s for s in CUBES.values()
+        if s.subject == subject and s.name in rows and set(group) <= set(s.group)
+        and set(extra) <= set(s.measures) and same_rows(subject, s, group)
     ]
     if not covering:
         raise LookupError(f"no stored cube answers {list(group)}")
     spec = min(covering, key=lambda s: (rows[s.name], s.name))
     cube = spark.read.parquet(f"{path}/{spec.name}")
-    sums = [m.merged_sum() for m in spec.measures]
-    merged = cube.groupBy(*group).agg(*sums)
-    return spec.name, merged.select(*group, *[m.report() for m in spec.measures])
+    measures = (*SUBJECTS[subject].measures, *extra)
+    merged = cube.groupBy(*group).agg(*[m.merged_sum() for m in measures])
+    return spec.name, merged.select(*group, *[m.report() for m in measures])

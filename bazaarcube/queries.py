@@ -13,10 +13,10 @@ from bazaarcube.operators.facts import quarantine
 from bazaarcube.operators.quality import foreign_key_report, insert_if_absent, primary_key_report
 from bazaarcube.operators.scd import first_version, merge_versions
 from bazaarcube.plans import olap, reports
-from bazaarcube.plans.cubes import CUBES, build_cube, specs_for
+from bazaarcube.plans.cubes import CUBES, LINES, CubeSpec, build_cube, guide_specs, specs_for
 from bazaarcube.plans.distinct import SetCube, add_batch, compact_sets, distinct_customers, read_sets, store_sets
 from bazaarcube.plans.increment import increment_star
-from bazaarcube.plans.lattice import answer_from_cube, build_cubes, build_lattice
+from bazaarcube.plans.lattice import answer_from_cube, build_cubes, build_lattice, open_cube
 from bazaarcube.plans.pipeline import run_etl
 from bazaarcube.plans.star import customer_view, star_for_testdata, store_view, with_day_names
 from bazaarcube.session import new_folder, stage
@@ -171,13 +171,13 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_cube(star, target, CUBES["cube_2d_quy_thanhpho"], specs)
 
 
-def _incremental(subject: str, cube: str) -> Query:
+def _incremental(subject: str, cube: str, family: Callable[[str], list[CubeSpec]] = specs_for) -> Query:
     """Stream the stored fact, so many bytes at a time, into the partial sums of all
-    cubes of the subject, then read one cube."""
+    cubes of a family, then read one cube."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         star = star_for_testdata(spark, sf_dir)
-        specs = specs_for(subject)
+        specs = family(subject)
         landing = new_folder(spark, "landing")
         fact = {"order": "Fact_DonDatHang", "inventory": "Fact_TonKho"}[subject]
         star[fact].write.parquet(landing)
@@ -192,11 +192,11 @@ def _incremental(subject: str, cube: str) -> Query:
     return run
 
 
-def _corrected_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _corrected_stock(spark: SparkSession, sf_dir: str, cube: str = "inv_cube_2d_thang_thanhpho", days: bool = False) -> DataFrame:
     """Every third stock record is first entered too low and corrected in a later batch;
     records of one day arrive in different batches."""
     star = star_for_testdata(spark, sf_dir)
-    specs = specs_for("inventory")
+    specs = guide_specs("inventory") if days else specs_for("inventory")
     records = sources_from_testdata(spark, sf_dir)["mathang_duoctru"]
     landing = new_folder(spark, "records")
     third = (F.col("mathangmamh") + F.col("cuahangmach")) % 3 == 0
@@ -207,7 +207,26 @@ def _corrected_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(landing)
     path = new_folder(spark, "partials")
     start_stock_stream(star, facts, specs, path, new_folder(spark, "closes"), new_folder(spark, "progress"), available_now=True).awaitTermination()
-    return read_cube(star, path, CUBES["inv_cube_2d_thang_thanhpho"], specs)
+    return read_cube(star, path, CUBES[cube], specs)
+
+
+def _stored(subject: str, cube: str) -> Query:
+    """One cube out of the stored cubes by day, store and line count."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star, path = star_for_testdata(spark, sf_dir), new_folder(spark, "cubes")
+        build_cubes(star, path, subject, dims=(), more=guide_specs(subject))
+        return open_cube(spark, path, CUBES[cube])
+
+    return run
+
+
+def _lines_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales and lines by day, answered from the stored cube by day."""
+    star, path = star_for_testdata(spark, sf_dir), new_folder(spark, "cubes")
+    names = build_cubes(star, path, "order", dims=(1,), more=guide_specs("order"))
+    rows = {name: spark.read.parquet(f"{path}/{name}").count() for name in names}
+    return answer_from_cube(spark, path, "order", ["ngay"], rows, (LINES,))[1]
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,6 +361,11 @@ def queries() -> dict[str, Query]:
     found["cube_incremental_inventory"] = _incremental("inventory", "inv_cube_2d_thang_thanhpho")
     found["cube_resolved"] = _resolved
     found["inventory_corrected_stream"] = _corrected_stock
+    found["inventory_corrected_stream_day"] = lambda spark, sf_dir: _corrected_stock(spark, sf_dir, "inv_cube_2d_store_time", True)
+    found["cube_incremental_day"] = _incremental("order", "cube_1d_time", guide_specs)
+    found["cube_2d_product_time_stored"] = _stored("order", "cube_2d_product_time")
+    found["inv_cube_3d_store_product_time_stored"] = _stored("inventory", "inv_cube_3d_store_product_time")
+    found["cube_resolved_day"] = _lines_by_day
     found["incremental_star"] = _two_loads(lambda star: _as_double(star["Fact_DonDatHang"], "giaDat", "thanhTien"))
     found["incremental_star_stock"] = _two_loads(lambda star: star["Fact_TonKho"])
     found["incremental_star_members"] = _two_loads(_members)

@@ -371,6 +371,11 @@ def oracle_sql() -> dict[str, str]:
     sql["cube_incremental_inventory"] = cube_sql("inventory", ["nam", "thang", "tenThanhPho"])
     sql["cube_backfill_stream_compact"] = cube_sql("order", ["nam", "quy", "mien", "tenThanhPho"])
     sql["inventory_corrected_stream"] = cube_sql("inventory", ["nam", "thang", "tenThanhPho"])
+    sql["inventory_corrected_stream_day"] = cube_sql("inventory", ["maCH", "ngay"])
+    sql["cube_incremental_day"] = cube_sql("order", ["ngay"], count=True)
+    sql["cube_2d_product_time_stored"] = cube_sql("order", ["maMH", "ngay"], count=True)
+    sql["inv_cube_3d_store_product_time_stored"] = cube_sql("inventory", ["maCH", "maMH", "ngay"])
+    sql["cube_resolved_day"] = cube_sql("order", ["ngay"], count=True)
     sql["cube_resolved"] = cube_sql("order", ["loaiKhachHang"])
     sql["report_03_customer_types_stored"] = sql["report_03_customer_types"]
     sql["distinct_customers_by_quarter_region"] = star_sql(

@@ -17,7 +17,8 @@ SAMPLED = {
     "cube_0d", "cube_1d_ma_kh", "cube_1d_thanhpho", "cube_2d_nam_bang", "cube_2d_ma_kh_ma_mh",
     "cube_3d_quy_ma_mh_thanhpho", "cube_3d_thang_loai_kh_ma_mh", "inv_cube_0d", "inv_cube_1d_thanhpho",
     "inv_cube_2d_thang_mathang", "inv_cube_2d_mathang_bang", "cube_2d_product_time",
-    "inv_cube_3d_store_product_time",
+    "inv_cube_3d_store_product_time", "cube_incremental_day", "cube_2d_product_time_stored",
+    "inv_cube_3d_store_product_time_stored", "cube_resolved_day",
 }
 NAMES = sorted(
     name for name in warehouse.queries() if name in SAMPLED or not name.startswith(("cube_", "inv_cube_"))
