@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from bazaarcube.functions.columns import key_date, key_day, key_month, key_year, nan_to_null
 from bazaarcube.operators.facts import quarantine
-from bazaarcube.operators.quality import foreign_key_report, insert_if_absent, primary_key_report
+from bazaarcube.operators.joins import join_dim
+from bazaarcube.operators.quality import foreign_key_report, insert_if_absent, primary_key_report, reconcile
 from bazaarcube.operators.scd import first_version, merge_versions
 from bazaarcube.plans import olap, reports
 from bazaarcube.plans.cubes import CUBES, LINES, CubeSpec, build_cube, guide_specs, specs_for
@@ -122,6 +123,24 @@ def _insert_overlap(raw: Tables) -> DataFrame:
     return _as_double(merged, "giadat")
 
 
+def _recon_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of the source against those of a warehouse where every thousandth order
+    has other quantities, some orders are missing and some lines are there twice."""
+    star, lines = star_for_testdata(spark, sf_dir), sources_from_testdata(spark, sf_dir)["mathang_duocdat"]
+    order, product = F.col("maDon").cast("bigint"), F.col("maMH").cast("bigint")
+    price = F.col("giaDat").cast("decimal(18,2)").alias("giaDat")
+    source = lines.toDF(*[c.lower() for c in lines.columns]).select(
+        F.col("dondathangmadon").cast("string").alias("maDon"), F.col("mathangmamh").cast("string").alias("maMH"),
+        F.col("soluongdat").alias("soLuongDat"), F.col("giadat").alias("giaDat"),
+    ).select("maDon", "maMH", "soLuongDat", price)
+    stored = join_dim(star["Fact_DonDatHang"], star["Dim_MatHang"].select("sk_matHang", F.col("maMH")), "sk_matHang", "inner", star.rows["Dim_MatHang"])
+    stored = stored.select(F.col("maDon").cast("string").alias("maDon"), F.col("maMH").cast("string").alias("maMH"), "soLuongDat", price)
+    off = stored.withColumn("soLuongDat", F.when(order % 1000 == 0, F.col("soLuongDat") + 1).otherwise(F.col("soLuongDat")))
+    kept = off.filter(order % 777 != 0)
+    twice = kept.unionByName(kept.filter((order % 501 == 0) & (product % 2 == 0)))
+    return _as_double(reconcile(source, twice, ("maDon", "maMH")), "giaDat")
+
+
 def _first_load(raw: Tables) -> Tables:
     """What a first load knows: most products and customers, two thirds of the orders
     (some of unknown customers or products), two thirds of the stock records."""
@@ -293,6 +312,7 @@ def queries() -> dict[str, Query]:
         "mathang_duoctru", "dondathang", "mathang_duocdat",
     ):
         found[f"extract_{name}"] = _extracted(name)
+    found["recon_order_lines"] = _recon_lines
     found["nan_to_null_products"] = _on_sources(_nan_to_null)
     found["quarantined_order_lines"] = _on_star(_quarantined)
     found["logged_run"] = _logged_run

@@ -127,6 +127,17 @@ def _quality() -> dict[str, str]:
                JOIN khachhang ON makh = khachhangmakh
                JOIN vanphongdaidien ON matp = vanphongdaidienmatp GROUP BY mien"""
         ),
+        "recon_order_lines": source_sql(
+            """SELECT CAST(madon AS VARCHAR) AS "maDon", CAST(mamh AS VARCHAR) AS "maMH", n AS "soLuongDat",
+                 CAST(gia AS DOUBLE) AS "giaDat", CASE WHEN SUM(d) > 0 THEN 'trai' ELSE 'phai' END AS phia,
+                 CAST(ABS(SUM(d)) AS BIGINT) AS "soLan"
+               FROM (SELECT dondathangmadon AS madon, mathangmamh AS mamh, soluongdat AS n, giadat AS gia, 1 AS d FROM mathang_duocdat
+                 UNION ALL
+                 SELECT dondathangmadon, mathangmamh, soluongdat + CASE WHEN dondathangmadon % 1000 = 0 THEN 1 ELSE 0 END, giadat,
+                   CASE WHEN dondathangmadon % 501 = 0 AND mathangmamh % 2 = 0 THEN -2 ELSE -1 END
+                 FROM mathang_duocdat WHERE dondathangmadon % 777 <> 0)
+               GROUP BY madon, mamh, n, gia HAVING SUM(d) <> 0"""
+        ),
         "nan_to_null_products": source_sql(
             "SELECT mamh, CASE WHEN mamh % 7 <> 0 THEN CAST(gia AS DOUBLE) END AS trongluong FROM mathang"
         ),
