@@ -46,12 +46,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` are compared in two forms: as they are, and as they came."""
-    came = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("came"))
-    both = docs.select("doc_id", "text").join(came, "doc_id", "left")
-    forms = F.when(F.col("came").isNull() | F.col("came").eqNullSafe(F.col("text")), F.array("text")).otherwise(F.array("came", "text"))
+    """``docs`` are compared in two forms: as they are, and as they came. Which documents
+    have another form is seen by hashes; only texts that differ are moved and stored."""
+    came = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mark = F.struct(F.xxhash64("text"), F.length("text"))
+    now, then = docs.select("doc_id", mark.alias("now")), came.filter("text IS NOT NULL").select("doc_id", mark.alias("then"))
+    changed = now.join(then, "doc_id").filter(~F.col("now").eqNullSafe(F.col("then"))).select("doc_id")
     # stored, as near-dedup reads the texts several times
-    return minhash.keep_one(docs, stage(both.select("doc_id", F.explode(forms).alias("text")), "forms"))
+    other = stage(came.filter("text IS NOT NULL").join(changed, "doc_id", "left_semi"), "forms")
+    return minhash.keep_one(docs, docs.select("doc_id", "text").unionByName(other))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
