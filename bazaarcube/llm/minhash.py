@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from bazaarcube.llm.components import components
 from bazaarcube.llm.tables import Shared, fresh_names
 from bazaarcube.llm.textops import mix, shingles, slices
-from bazaarcube.session import stage
+from bazaarcube.session import new_folder, remove_folder, stage, stage_at
 
 PERMUTATIONS, BAND = 160, 5
 VALUES = 2 * PERMUTATIONS
@@ -52,6 +52,8 @@ AGREE = int(VALUES * _P - 6 * (VALUES * _P * (1 - _P)) ** 0.5)
 BROADCAST_IDS = 1_000_000
 #: Bits of the table of shingle counts that orders shingles.
 COUNT_BITS = 20
+#: Counts in one row on their way to the sum over all tasks.
+COUNT_CHUNK = 1 << 10
 #: Shingles handled at once when pairs are confirmed.
 STEP = 1 << 20
 
@@ -155,14 +157,33 @@ def _slot(x: np.ndarray) -> np.ndarray:
     return (x & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
 
 
+def packed(counts: np.ndarray) -> pa.RecordBatch:
+    """Counts in chunks, each as its bytes by place: the high ones are mostly zero and
+    take no room once compressed. Chunks without counts are left out."""
+    chunks = counts.reshape(-1, COUNT_CHUNK)
+    used = np.flatnonzero(chunks.any(1))
+    planes = [chunks[i].view(np.uint8).reshape(-1, 8).T.tobytes() for i in used]
+    return pa.RecordBatch.from_arrays([pa.array(used), pa.array(planes, pa.binary())], names=["chunk", "counts"])
+
+
+def add_packed(counts: np.ndarray, batch: pa.RecordBatch | pa.Table) -> None:
+    chunks = counts.reshape(-1, COUNT_CHUNK)
+    for chunk, planes in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
+        chunks[chunk] += np.frombuffer(planes.as_buffer(), np.uint8).reshape(8, -1).T.copy().view(np.int64).ravel()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << COUNT_BITS, np.int64)
     for batch in slices(batches):
         counts += np.bincount(_slot(shingles(batch.column("text"))[0]), minlength=1 << COUNT_BITS)
-    used = np.flatnonzero(counts)
-    for lo in range(0, len(used), 100_000):
-        part = used[lo : lo + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["slot", "c"])
+    yield packed(counts)
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for batch in batches:
+        add_packed(counts, batch)
+    yield packed(counts)
 
 
 def _prefixes(shared: Shared):
@@ -195,21 +216,24 @@ class _Search:
 
     def __init__(self, docs: DataFrame) -> None:
         self.spark, self.kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
-        self.signed = stage(
-            docs.mapInArrow(_sign, f"doc_id {self.kind}, n long, h1 long, h2 long, keys array<long>, sig binary"), "signed"
-        )
-        filled = self.signed.filter("n > 0")
+        wide = new_folder(self.spark, "signed")
+        signed = stage_at(docs.mapInArrow(_sign, f"doc_id {self.kind}, n long, h1 long, h2 long, keys array<long>, sig binary"), wide)
         same = ["h1", "h2", "n"]
         self.reps = stage(
-            filled.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("keys", "sig"), "doc_id").alias("x"))
+            signed.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("keys", "sig"), "doc_id").alias("x"))
             .select("doc_id", *same, "x.keys", "x.sig"),
             "classes",
         )
+        # from here on signatures are those of the classes
+        self.signed = stage(signed.select("doc_id", *same), "sets")
+        remove_folder(self.spark, wide)
+        filled = self.signed.filter("n > 0")
         heads = self.reps.select(*same, F.col("doc_id").alias("b"))
         self.copies = filled.select(F.col("doc_id").alias("a"), *same).join(heads, same).select("a", "b").filter("a <> b")
         bands = self.reps.select("doc_id", "n", F.explode("keys").alias("key"))
         shared = self.reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-        self.members = stage(bands.join(shared, "key"), "buckets")
+        self.buckets = new_folder(self.spark, "buckets")
+        self.members = stage_at(bands.join(shared, "key"), self.buckets)
         ids = stage(self.members.select("doc_id").distinct(), "candidates")
         few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         self.texts = stage(docs.join(few, "doc_id", "left_semi"), "candidate-texts")
@@ -249,11 +273,12 @@ class _Search:
 
     def prefix_pairs(self, members: DataFrame) -> DataFrame:
         """Pairs of different components that the prefix filter cannot rule out."""
-        docs = members.select("doc_id", "component").distinct()
-        counted = self.texts.select("text").mapInArrow(_count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c"))
-        table, counts = counted.toArrow(), np.zeros(1 << COUNT_BITS, np.int64)
-        counts[table.column("slot").to_numpy()] = table.column("c").to_numpy()
-        rows = self.texts.join(docs, "doc_id").select("doc_id", "component", "text")
+        docs = stage(members.select("doc_id", "component").distinct(), "open-documents")
+        few = F.broadcast(docs) if docs.count() <= BROADCAST_IDS else docs
+        kind, counts = "chunk long, counts binary", np.zeros(1 << COUNT_BITS, np.int64)
+        counted = self.texts.select("text").mapInArrow(_count, kind)
+        add_packed(counts, counted.repartition("chunk").mapInArrow(_totals, kind).toArrow())
+        rows = self.texts.join(few, "doc_id").select("doc_id", "component", "text")
         schema = f"x long, rank long, n long, doc_id {self.kind}, component {self.kind}"
         prefix = stage(rows.mapInArrow(_prefixes(Shared(self.spark, counts)), schema), "prefixes")
         # of each shingle's documents those outside its most common component meet all
@@ -271,7 +296,9 @@ class _Search:
         """(id, component) of every document that is linked."""
         met = self.members.join(self.leaders(), "key").filter("doc_id <> leader").filter(_alike_in_size("n", "leader_n"))
         self.compare(met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
-        self.compare(self.prefix_pairs(self.open_members()))
+        left = self.open_members()
+        remove_folder(self.spark, self.buckets)
+        self.compare(self.prefix_pairs(left))
         return components(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(self.copies), "a", "b")
 
 

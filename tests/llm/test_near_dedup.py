@@ -147,3 +147,21 @@ def test_clusters_of_vectors(spark, monkeypatch, leaf):
     rows = [(i, [float(v) for v in x[i]]) for i in range(len(x))]
     rows += [(1000 + i, rows[0][1]) for i in range(60)]  # one common vector
     check_vectors(spark, rows)
+
+
+def test_packed_counts_add_up():
+    """Chunks without counts, counts beyond 32 bits, several tasks."""
+    rng = np.random.default_rng(1)
+    parts = [np.where(rng.random(1 << minhash.COUNT_BITS) < 0.001, rng.integers(0, 1 << 40, 1 << minhash.COUNT_BITS), 0) for _ in range(3)]
+    parts.append(np.zeros(1 << minhash.COUNT_BITS, np.int64))
+    parts[0][: 4 * minhash.COUNT_CHUNK] = 0
+    (total,) = minhash._totals(minhash.packed(p) for p in parts)
+    got = np.zeros(1 << minhash.COUNT_BITS, np.int64)
+    minhash.add_packed(got, total)
+    assert (got == sum(parts)).all()
+
+
+def test_many_open_documents_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", 0)
+    rows = list(enumerate([*variants(60, 2, edits=14), *variants(40, 3, words=30, edits=3)]))
+    check_docs(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
