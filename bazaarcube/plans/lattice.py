@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -362,11 +362,16 @@ def implied(star: Star, subject: str, group: Sequence[str]) -> set[str]:
     return found
 
 
+def with_quarter(cube: DataFrame, wanted: Iterable[str]) -> DataFrame:
+    """The cube with the quarter of its months, where that is wanted and not stored."""
+    if "quy" in wanted and "quy" not in cube.columns:
+        return cube.withColumn("quy", F.ceil(F.col("thang") / 3).cast("int"))
+    return cube
+
+
 def rolled_up(parent: DataFrame, spec: CubeSpec) -> DataFrame:
     """The cube from the sums of a wider one."""
-    if "quy" in spec.group and "quy" not in parent.columns:
-        parent = parent.withColumn("quy", F.ceil(F.col("thang") / 3).cast("int"))
-    return parent.groupBy(*spec.group).agg(*[m.merged_sum() for m in spec.measures]).select(*spec.columns)
+    return with_quarter(parent, spec.group).groupBy(*spec.group).agg(*[m.merged_sum() for m in spec.measures]).select(*spec.columns)
 
 
 def build_cubes(
@@ -446,25 +451,40 @@ def same_rows(subject: str, spec: CubeSpec, group: Sequence[str]) -> bool:
     return spec.axes == asked.axes and placed[0] == placed[1]
 
 
+def only_where(rows: DataFrame, where: Mapping[str, object]) -> DataFrame:
+    for column, value in where.items():
+        rows = rows.filter(F.col(column).isin(list(value) if isinstance(value, (list, tuple, set)) else [value]))
+    return rows
+
+
 def answer_from_cube(
-    spark: SparkSession, path: str, subject: str, group: Sequence[str], rows: dict[str, int], extra: Sequence[Measure] = ()
+    spark: SparkSession,
+    path: str,
+    subject: str,
+    group: Sequence[str],
+    rows: dict[str, int],
+    extra: Sequence[Measure] = (),
+    where: Mapping[str, object] | None = None,
 ) -> tuple[str, DataFrame]:
-    """Answer a grouping from the smallest stored cube that has its columns, the same
-    facts and the measures ``extra``. Without such a cube a LookupError tells the caller
-    to ask the fact.
+    """Answer a grouping from the smallest stored cube that has its columns (a month
+    gives its quarter), the same facts and the measures ``extra``. Without such a cube a
+    LookupError tells the caller to ask the fact.
 
-    ``rows`` gives the row count of each stored cube. All measures are additive,
-    so the cube's sums are summed again.
+    ``where`` keeps one value, or a list of values, of grouping columns; the cube must have
+    these too, and they are asked of its files. ``rows`` gives the row count of each
+    stored cube. All measures are additive, so the cube's sums are summed again.
     """
+    where = where or {}
+    asked = list(dict.fromkeys((*group, *where)))
     covering = [
         s for s in CUBES.values()
-        if s.subject == subject and s.name in rows and set(group) <= set(s.group)
-        and set(extra) <= set(s.measures) and same_rows(subject, s, group)
+        if s.subject == subject and s.name in rows and set(asked) <= quarter_of(s.group)
+        and set(extra) <= set(s.measures) and same_rows(subject, s, asked)
     ]
     if not covering:
-        raise LookupError(f"no stored cube answers {list(group)}")
+        raise LookupError(f"no stored cube answers {asked}")
     spec = min(covering, key=lambda s: (rows[s.name], s.name))
-    cube = spark.read.parquet(f"{path}/{spec.name}")
+    cube = only_where(with_quarter(spark.read.parquet(f"{path}/{spec.name}"), asked), where)
     measures = (*SUBJECTS[subject].measures, *extra)
     merged = cube.groupBy(*group).agg(*[m.merged_sum() for m in measures])
     return spec.name, merged.select(*group, *[m.report() for m in measures])

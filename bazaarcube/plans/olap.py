@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarcube.functions.columns import line_revenue
 from bazaarcube.operators.joins import join_dim
-from bazaarcube.plans.cubes import SUBJECTS, CubeSpec, build_cube
+from bazaarcube.plans.cubes import SUBJECTS, CubeSpec, build_cube, group_cell, with_calendar
+from bazaarcube.plans.lattice import answer_from_cube, only_where
 from bazaarcube.plans.star import store_view
 from bazaarcube.sinks.warehouse import Star
 from bazaarcube.sources.operational import Tables
@@ -82,6 +85,25 @@ def dice_cube(star: Star, product: object, city: str, month: int) -> DataFrame:
     )
 
 
+def answer(
+    star: Star, path: str, subject: str, group: Sequence[str], where: Mapping[str, object], rows: dict[str, int]
+) -> tuple[str | None, DataFrame]:
+    """A slice, dice, roll-up or drill-down: the grouping ``group`` with the values
+    ``where``, from the smallest stored cube under ``path`` that can tell (its name comes
+    with the answer), otherwise from the fact. ``rows`` counts the stored cubes."""
+    try:
+        return answer_from_cube(star.spark, path, subject, group, rows, where=where)
+    except LookupError:
+        asked = tuple(dict.fromkeys((*group, *where)))
+        exact = CubeSpec("asked", subject, asked, len(asked))
+        fact = star[SUBJECTS[subject].fact]
+        fact = with_calendar(star, fact, exact.time) if exact.time else fact
+        cells = only_where(group_cell(star, fact, exact, merged=False), where)
+        measures = SUBJECTS[subject].measures
+        summed = cells.groupBy(*group).agg(*[m.merged_sum() for m in measures])
+        return None, summed.select(*group, *[m.report() for m in measures])
+
+
 def latest_stock(star: Star) -> DataFrame:
     """Each product's newest stock figure per store, over all its records.
 

@@ -27,7 +27,7 @@ class RunResult:
 
 
 def write_quarantine(star: Star, path: str) -> None:
-    """Store the fact rows that some dimension does not know, beside the facts."""
+    """Store the fact rows that some dimension does not know, beside the facts of ``path``."""
     for fact, keys in FACT_KEYS.items():
         quarantine(star[fact], list(keys)).write.mode("overwrite").parquet(f"{path}/quarantine/{fact}")
 
@@ -41,10 +41,10 @@ def run_etl(
 ) -> RunResult:
     """Refresh the warehouse (and, given ``cube_path``, all cubes) from the source.
 
-    A refresh builds a new version of the star beside the old one. Readers follow a
-    pointer that moves only when all tables are stored, so a failed refresh leaves the
-    old star as it was, and running twice changes nothing. A failure is logged and
-    reported with exit code 1 rather than raised.
+    A refresh builds a new version of the star, with its quarantine, beside the old one.
+    Readers follow a pointer that moves when all of that and all cubes are stored, so a
+    failed refresh leaves the old star as it was, and running twice changes nothing. A
+    failure is logged and reported with exit code 1 rather than raised.
     """
     start = now()
     log = f"{warehouse}/pipeline_runs"
@@ -56,12 +56,12 @@ def run_etl(
         require_unique(raw, UNIQUE_BEFORE_LOAD)
         version = f"{start:%Y%m%dT%H%M%S%f}"
         star = build_star(spark, raw, f"{warehouse}/{VERSIONS}/{version}")
-        publish_version(spark, warehouse, version)
         loaded = dict(star.rows)
-        write_quarantine(star, warehouse)
+        write_quarantine(star, f"{warehouse}/{VERSIONS}/{version}")
         if cube_path is not None:
             for subject in ("order", "inventory"):
                 build_cubes(star, cube_path, subject)
+        publish_version(spark, warehouse, version)
     except Exception as failure:
         text = f"{type(failure).__name__}: {failure}"
         run_id = append_run(

@@ -163,6 +163,32 @@ def order_sourcing(star: Star) -> DataFrame:
     return lines.join(offered, "sk_matHang").select("maDon", "maMH", "moTa", "maCH", "tenThanhPho")
 
 
+#: Rows of factorised sourcing: an order line, or a store of a product's supplier set.
+LINE, SUPPLY = "dong", "cung"
+
+
+def sourcing_sets(star: Star) -> DataFrame:
+    """Order sourcing without its product: every order line once, naming its product's
+    supplier set, and every set once, a row for each of its stores. The size is lines plus
+    supply pairs, where the flat report has lines times stores."""
+    goods = star["Dim_MatHang"].select("sk_matHang", "maMH", "moTa")
+    lines = _join(star, star["Fact_DonDatHang"].select("sk_matHang", "maDon"), goods.drop("moTa"), "Dim_MatHang")
+    where = _join(star, suppliers(star), _store_labels(star, "maCH", "tenThanhPho"), "Dim_CuaHang")
+    sets = _join(star, where, goods, "Dim_MatHang")
+    return lines.select(F.lit(LINE).alias("phan"), "maMH", "maDon").unionByName(
+        sets.select(F.lit(SUPPLY).alias("phan"), "maMH", "moTa", "maCH", "tenThanhPho"), allowMissingColumns=True
+    )
+
+
+def unfolded(sets: DataFrame, order: object | None = None) -> DataFrame:
+    """The flat report from factorised sourcing: of one order, or of all."""
+    lines = sets.filter(F.col("phan") == LINE).select("maMH", "maDon")
+    if order is not None:
+        lines = lines.filter(F.col("maDon") == F.lit(order))
+    stores = sets.filter(F.col("phan") == SUPPLY).select("maMH", "moTa", "maCH", "tenThanhPho")
+    return lines.join(stores, "maMH").select("maDon", "maMH", "moTa", "maCH", "tenThanhPho")
+
+
 def customer_place(star: Star, customer: object) -> DataFrame:
     return (
         customer_view(star)

@@ -257,6 +257,21 @@ def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer_from_cube(spark, path, "order", ["loaiKhachHang"], rows)[1]
 
 
+def _from_cubes(group: list[str], where: dict[str, object], subject: str = "order") -> Query:
+    """A filtered question answered from the smallest stored cube that can tell."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star, path = star_for_testdata(spark, sf_dir), new_folder(spark, "cubes")
+        names = build_cubes(star, path, subject, dims=(1, 2))
+        rows = {name: spark.read.parquet(f"{path}/{name}").count() for name in names}
+        cube, found = olap.answer(star, path, subject, group, where, rows)
+        if cube is None:
+            raise LookupError("meant to be answered from a cube")
+        return found
+
+    return run
+
+
 #: The columns of the stored set cube.
 SETS = SetCube(("nam", "quy", "thang", "loaiKhachHang", "mien", "tenThanhPho"))
 
@@ -360,6 +375,8 @@ def queries() -> dict[str, Query]:
         lambda s: reports.office_stock_above(s, PRODUCT, THRESHOLD)
     )
     found["report_09_order_sourcing"] = _on_star(reports.order_sourcing)
+    found["report_09_order_sourcing_sets"] = _on_star(reports.sourcing_sets)
+    found["report_09_order_sourcing_one"] = _on_star(lambda s: reports.unfolded(reports.sourcing_sets(s), ORDER))
     found["report_10_customer_place"] = _on_star(lambda s: reports.customer_place(s, CUSTOMER))
     found["report_11_stock_in_city"] = _on_star(lambda s: reports.stock_in_city(s, PRODUCT, CITY))
     found["report_12_order_detail"] = _on_star(lambda s: reports.order_detail(s, ORDER))
@@ -372,6 +389,9 @@ def queries() -> dict[str, Query]:
     found["drilldown_month_in_state"] = _on_star(lambda s: olap.drill_down(s, "ASIA"))
     found["slice_customer_type"] = _on_star(lambda s: olap.slice_cube(s, "Du lich"))
     found["dice_type_city_month"] = _on_star(lambda s: olap.dice_cube(s, PRODUCT, CITY, 3))
+    found["slice_city_stored"] = _from_cubes(["nam", "thang", "tenThanhPho"], {"tenThanhPho": CITY})
+    found["drilldown_month_in_state_stored"] = _from_cubes(["mien", "tenThanhPho", "nam", "thang"], {"mien": "ASIA"})
+    found["rollup_quarter_of_regions_stored"] = _from_cubes(["nam", "quy"], {"mien": ["ASIA", "EUROPE"]}, "inventory")
     found["stock_latest_snapshot"] = _on_star(olap.latest_stock)
 
     keys = ("nam", "quy", "thang", "maKH", "maMH")

@@ -245,6 +245,19 @@ def _reports() -> dict[str, str]:
                JOIN noi_ban n ON n."sk_matHang" = f."sk_matHang" """,
             _STORES,
         ),
+        "report_09_order_sourcing_sets": star_sql(
+            """SELECT 'dong' AS phan, m."maMH", f."maDon", NULL AS "moTa", NULL AS "maCH", NULL AS "tenThanhPho"
+               FROM fact_dondathang f JOIN dim_mathang m ON m."sk_matHang" = f."sk_matHang"
+               UNION ALL SELECT 'cung', m."maMH", NULL, m."moTa", n."maCH", n."tenThanhPho"
+               FROM noi_ban n JOIN dim_mathang m ON m."sk_matHang" = n."sk_matHang" """,
+            _STORES,
+        ),
+        "report_09_order_sourcing_one": star_sql(
+            """SELECT f."maDon", m."maMH", m."moTa", n."maCH", n."tenThanhPho" FROM fact_dondathang f
+               JOIN dim_mathang m ON m."sk_matHang" = f."sk_matHang"
+               JOIN noi_ban n ON n."sk_matHang" = f."sk_matHang" WHERE f."maDon" = 5""",
+            _STORES,
+        ),
         "report_10_customer_place": star_sql(
             """SELECT k."maKH", k."tenKH", l."tenThanhPho", l.mien FROM dim_khachhang k
                LEFT JOIN dim_diadiem l ON l."sk_diaDiem" = k."sk_diaDiem" WHERE k."maKH" = 7"""
@@ -388,6 +401,14 @@ def oracle_sql() -> dict[str, str]:
     sql["inv_cube_3d_store_product_time_stored"] = cube_sql("inventory", ["maCH", "maMH", "ngay"])
     sql["cube_resolved_day"] = cube_sql("order", ["ngay"], count=True)
     sql["cube_resolved"] = cube_sql("order", ["loaiKhachHang"])
+    sql["slice_city_stored"] = sql["slice_city"]
+    sql["drilldown_month_in_state_stored"] = sql["drilldown_month_in_state"]
+    sql["rollup_quarter_of_regions_stored"] = star_sql(
+        """SELECT t.nam, t.quy, CAST(SUM(f."soLuongTonKho") AS BIGINT) AS "tongTonKho"
+           FROM fact_tonkho f JOIN dim_thoigian t ON t."sk_thoiGian" = f."sk_thoiGian"
+           JOIN dim_cuahang c ON c."sk_cuaHang" = f."sk_cuaHang" JOIN dim_diadiem l ON l."sk_diaDiem" = c."sk_diaDiem"
+           WHERE l.mien IN ('ASIA', 'EUROPE') GROUP BY t.nam, t.quy"""
+    )
     sql["report_03_customer_types_stored"] = sql["report_03_customer_types"]
     sql["distinct_customers_by_quarter_region"] = star_sql(
         f"""SELECT t.nam, t.quy, l.mien, COUNT(DISTINCT f."sk_khachHang") AS "soKhachHang", {REVENUE}, {QUANTITY}

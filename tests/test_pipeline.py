@@ -5,10 +5,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from bazaarcube.plans import pipeline
 from bazaarcube.plans.pipeline import run_etl
 from bazaarcube.session import new_folder, shared_dir
 from bazaarcube.sinks.runlog import read_runs
-from bazaarcube.sinks.warehouse import open_star
+from bazaarcube.sinks.warehouse import current_version, open_star
 from bazaarcube.sources.operational import JdbcSplit, SourceConfig, load_sources
 from tests.conftest import source_frames, values
 
@@ -25,8 +26,9 @@ def test_run_twice_equals_run_once(spark, edge_raw):
     assert len(runs) == 2 and {r["status"] for r in runs} == {"SUCCESS"}
     assert runs[0]["records_extracted"] == sum(first.extracted.values())
     assert runs[0]["records_loaded"] == sum(first.loaded.values())
-    assert spark.read.parquet(f"{path}/quarantine/Fact_DonDatHang").count() == 3
-    assert spark.read.parquet(f"{path}/quarantine/Fact_TonKho").count() == 2
+    version = current_version(spark, path)
+    assert spark.read.parquet(f"{version}/quarantine/Fact_DonDatHang").count() == 3
+    assert spark.read.parquet(f"{version}/quarantine/Fact_TonKho").count() == 2
 
 
 def test_a_failed_refresh_leaves_the_old_star(spark, edge_raw):
@@ -40,6 +42,20 @@ def test_a_failed_refresh_leaves_the_old_star(spark, edge_raw):
     assert {name: values(open_star(spark, path)[name]) for name in before} == before
 
 
+@pytest.mark.parametrize("step", ["write_quarantine", "build_cubes"])
+def test_nothing_is_published_before_all_is_stored(spark, edge_raw, monkeypatch, step):
+    def fails(*args):
+        raise OSError("no room")
+
+    path = new_folder(spark, "dw")
+    assert run_etl(spark, edge_raw, path).exit_code == 0
+    before = current_version(spark, path)
+    monkeypatch.setattr(pipeline, step, fails)
+    result = run_etl(spark, edge_raw, path, new_folder(spark, "cubes"))
+    assert result.exit_code == 1 and "no room" in result.error
+    assert current_version(spark, path) == before
+
+
 def test_failure_is_logged(spark):
     raw = source_frames(spark, mathang=[("M", "x", None, None, None, None, None)] * 2)
     path = new_folder(spark, "dw")
