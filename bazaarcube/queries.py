@@ -221,11 +221,11 @@ def _corrected_stock(spark: SparkSession, sf_dir: str, cube: str = "inv_cube_2d_
     third = (F.col("mathangmamh") + F.col("cuahangmach")) % 3 == 0
     low = records.filter(third).withColumn("soluongtrongkho", F.floor(F.col("soluongtrongkho") / 2).cast("int"))
     odd = F.col("soluongtrongkho") % 2 == 1
+    path, state, progress = new_folder(spark, "partials"), new_folder(spark, "closes"), new_folder(spark, "progress")
     for part in (low.unionByName(records.filter(~third & odd)), records.filter(third | ~odd)):
-        part.coalesce(1).write.mode("append").parquet(landing)  # one file is one batch here
-    facts = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    path = new_folder(spark, "partials")
-    start_stock_stream(star, facts, specs, path, new_folder(spark, "closes"), new_folder(spark, "progress"), available_now=True).awaitTermination()
+        part.write.mode("append").parquet(landing)  # what a run of the stream finds is one batch here
+        facts = spark.readStream.schema(records.schema).parquet(landing)
+        start_stock_stream(star, facts, specs, path, state, progress, available_now=True).awaitTermination()
     return read_cube(star, path, CUBES[cube], specs)
 
 
