@@ -144,7 +144,10 @@ def attach_paths(tree: Tree, tops: DataFrame) -> DataFrame:
             )
             here = lower.unionByName(here)
         if level:
-            above = here.withColumn("bucket", _run(level, tree.arity)).select("grp", "bucket", "lo", "hi", "kids", "path", *more)
+            # Stored, so that the driver holds the plan of one level at a time, not of all.
+            above = stage(
+                here.withColumn("bucket", _run(level, tree.arity)).select("grp", "bucket", "lo", "hi", "kids", "path", *more), "merkle-paths"
+            )
     return here
 
 

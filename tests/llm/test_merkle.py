@@ -94,3 +94,14 @@ def test_only_changed_rows_fail(spark, awkward):
 
 def test_no_documents(spark, tmp_path):
     assert run(spark, [], tmp_path) == []
+
+
+def test_plan_does_not_grow_with_levels(spark):
+    """The paths of each level are stored, so the last plan joins one level only."""
+    plans = []
+    for rows in (4, 90):
+        docs = spark.createDataFrame([(i, "s", "en", 1, str(i)) for i in range(rows)], "doc_id long, source string, lang string, n_chars int, text string")
+        found = merkle.proofs(docs)
+        assert found.count() == rows
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+    assert plans[1] == plans[0]
