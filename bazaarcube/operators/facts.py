@@ -12,21 +12,34 @@ from bazaarcube.schemas import MONEY, WAREHOUSE
 from bazaarcube.sources.operational import Tables
 
 
+#: What names an order line in the fact.
+LINE = ("maDon", "sk_matHang")
+
+
+def keyed_days(raw: Tables) -> DataFrame:
+    """The orders with their customer's id and the key of their day."""
+    orders = pick(raw["dondathang"], {"madon": "maDon", "ngaydathang": "ngay", "khachhangmakh": "maKH"})
+    return orders.select("maDon", "maKH", date_key(F.col("ngay")).alias("sk_thoiGian"))
+
+
 def fact_dondathang(
-    raw: Tables, customers: DataFrame, customer_rows: int, products: DataFrame, product_rows: int
+    raw: Tables,
+    customers: DataFrame,
+    customer_rows: int,
+    products: DataFrame,
+    product_rows: int,
+    settled: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines with surrogate keys and exact revenue.
 
     The customer key is looked up on the orders, before they meet their lines:
     the lines, by far the larger table, are then shuffled once (by order).
     Lines of unknown orders or products drop out; an order without a known
-    customer keeps its lines, with a NULL customer key.
+    customer keeps its lines, with a NULL customer key. Lines named in ``settled``
+    are left out before they meet their orders.
     """
-    orders = pick(
-        raw["dondathang"], {"madon": "maDon", "ngaydathang": "ngay", "khachhangmakh": "maKH"}
-    ).select("maDon", "maKH", date_key(F.col("ngay")).alias("sk_thoiGian"))
     keyed_orders = join_dim(
-        orders, customers.select("sk_khachHang", "maKH"), "maKH", "left", customer_rows
+        keyed_days(raw), customers.select("sk_khachHang", "maKH"), "maKH", "left", customer_rows
     ).drop("maKH")
     lines = pick(
         raw["mathang_duocdat"],
@@ -35,6 +48,8 @@ def fact_dondathang(
     # The product dimension has exactly the known products, so one inner join
     # both drops unknown products and finds the surrogate key.
     keyed_lines = join_dim(lines, products.select("sk_matHang", "maMH"), "maMH", "inner", product_rows)
+    if settled is not None:
+        keyed_lines = keyed_lines.join(settled, list(LINE), "left_anti")
     return (
         keyed_lines.join(keyed_orders, "maDon", "inner")
         .withColumn("thanhTien", line_revenue(F.col("soLuongDat"), F.col("giaDat")))

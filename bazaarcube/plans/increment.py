@@ -2,16 +2,16 @@
 
 Members keep the keys they have, so facts, stored cubes and files that wait for a
 stream go on pointing to the same members. Order lines that are not stored yet are
-appended: one anti join on (order, product), limited to the years that arrive. Lines
-stored before their customer was known get the key once it is, and the daily closes of
-stock are replaced by later ones; both rewrite only the years they touch. A load
-is a new version: its manifest names the new folders and those of earlier versions that
-still count, and readers see it when the pointer moves.
+appended: anti joins on (order, product), limited to the years of the arriving orders,
+leave out what is stored, most of it before the lines meet their orders. Lines stored
+before their customer was known get the key once it is, and the daily closes of stock
+are replaced by later ones; both rewrite only the years they touch. A load is a new
+version: its manifest names the new folders and those of earlier versions that still
+count, and readers see it when the pointer moves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from bazaarcube.functions.columns import key_year
 from bazaarcube.operators.dims import dim_cuahang, dim_diadiem, dim_khachhang, dim_mathang, dim_thoigian
-from bazaarcube.operators.facts import fact_dondathang, fact_tonkho
+from bazaarcube.operators.facts import LINE, fact_dondathang, fact_tonkho, keyed_days
 from bazaarcube.operators.quality import require_unique
 from bazaarcube.plans.star import build_star
 from bazaarcube.schemas import UNIQUE_BEFORE_LOAD, WAREHOUSE
@@ -56,14 +56,21 @@ def same_years(rows: DataFrame, years: list[int | None]) -> DataFrame:
     return rows.filter(counts | F.col(YEAR).isNull() if None in years else counts)
 
 
-def new_order_lines(arriving: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The arriving lines that are not stored, and the stored lines without a customer
-    that arrive with one: the first replace the second. ``stored``: the rows of the
-    arriving years."""
-    line = ["maDon", "sk_matHang"]
-    late = stored.filter("sk_khachHang IS NULL").join(arriving.filter("sk_khachHang IS NOT NULL").select(*line).distinct(), line, "left_semi")
-    settled = stored.join(late.select(*line).distinct(), line, "left_anti")
-    return arriving.join(settled.select(*line), line, "left_anti"), late
+def settled_lines(stored: DataFrame) -> DataFrame:
+    """The lines that are stored with their customer only. Nothing that arrives changes
+    them, so they are left out of a load before its lines meet their orders."""
+    known, unknown = (stored.filter(f"sk_khachHang IS {what}").select(*LINE) for what in ("NOT NULL", "NULL"))
+    return known.join(unknown, list(LINE), "left_anti")
+
+
+def new_order_lines(arriving: DataFrame, unknown: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the arriving lines that are not settled those that are not stored, and the
+    stored lines without a customer that arrive with one: the first replace the
+    second. ``unknown``: the rows of the arriving years that are stored without a customer."""
+    customers = arriving.filter("sk_khachHang IS NOT NULL").select(*LINE)
+    late = stage(unknown.select(*WAREHOUSE[ORDERS].columns).join(customers, list(LINE), "left_semi"), "late-members")
+    waiting = unknown.select(*LINE).join(late.select(*LINE), list(LINE), "left_anti")
+    return arriving.join(waiting, list(LINE), "left_anti"), late
 
 
 def merged_closes(arriving: DataFrame, stored: DataFrame) -> DataFrame:
@@ -96,14 +103,11 @@ def increment_star(spark: SparkSession, raw: Tables, warehouse: str) -> Star:
         stored = open_table(spark, folder, name, df.schema)
         return stored, stored_rows(stored)
 
-    def fact(name: str, arriving: DataFrame, merge: Callable[[DataFrame, DataFrame], tuple[DataFrame, list[int | None]]]) -> None:
-        """``merge`` gives the rows to write, and the years that they replace."""
-        rows = stage(arriving, "arriving")
-        years = years_of(rows)
-        if not years:
-            return
-        stored = same_years(fact_rows(spark, warehouse, parts[name]), years)
-        written, replaced = merge(rows, stored)
+    def stored_in(name: str, years: list[int | None]) -> DataFrame:
+        return same_years(fact_rows(spark, warehouse, parts[name]), years)
+
+    def add(name: str, written: DataFrame, replaced: list[int | None]) -> None:
+        """Store rows, and the years that they replace."""
         write_table(written, name, folder)
         if replaced:
             everything = years_of(fact_rows(spark, warehouse, parts[name]))
@@ -111,18 +115,24 @@ def increment_star(spark: SparkSession, raw: Tables, warehouse: str) -> Star:
             parts[name] = [p for p in rest if p.years]
         parts[name] = [*parts[name], Part(f"{VERSIONS}/{version}/{name}")]
 
-    def orders(arriving: DataFrame, stored: DataFrame) -> tuple[DataFrame, list[int | None]]:
-        new, late = new_order_lines(arriving, stored)
-        late = stage(late.select(*WAREHOUSE[ORDERS].columns), "late-members")
+    def orders(customers: tuple[DataFrame, int], products: tuple[DataFrame, int]) -> None:
+        years = years_of(keyed_days(raw))
+        if not years:
+            return
+        stored = stored_in(ORDERS, years)
+        arriving = stage(fact_dondathang(raw, *customers, *products, settled_lines(stored)), "arriving")
+        new, late = new_order_lines(arriving, stored.filter("sk_khachHang IS NULL"))
         replaced = years_of(late)
-        if not replaced:
-            return new, []
-        line = ["maDon", "sk_matHang"]
-        kept = same_years(stored, replaced).select(*WAREHOUSE[ORDERS].columns).join(late.select(*line).distinct(), line, "left_anti")
-        return new.unionByName(kept), replaced
+        if replaced:
+            kept = same_years(stored, replaced).select(*WAREHOUSE[ORDERS].columns)
+            new = new.unionByName(kept.join(late.select(*LINE), list(LINE), "left_anti"))
+        add(ORDERS, new, replaced)
 
-    def stock(arriving: DataFrame, stored: DataFrame) -> tuple[DataFrame, list[int | None]]:
-        return merged_closes(arriving, stored), years_of(arriving)
+    def stock(products: tuple[DataFrame, int], stores: tuple[DataFrame, int]) -> None:
+        arriving = stage(fact_tonkho(raw, *products, *stores), "arriving")
+        years = years_of(arriving)
+        if years:
+            add(STOCK, merged_closes(arriving, stored_in(STOCK, years)), years)
 
     # tables that do not depend on each other are sent to Spark together
     with ThreadPoolExecutor(3) as pool:
@@ -132,8 +142,8 @@ def increment_star(spark: SparkSession, raw: Tables, warehouse: str) -> Star:
         buyers = pool.submit(lambda: dimension("Dim_KhachHang", dim_khachhang(raw, *places, old["Dim_KhachHang"])))
         shops = pool.submit(lambda: dimension("Dim_CuaHang", dim_cuahang(raw, *places, old["Dim_CuaHang"])))
         added = [
-            pool.submit(lambda: fact(ORDERS, fact_dondathang(raw, *buyers.result(), *items.result()), orders)),
-            pool.submit(lambda: fact(STOCK, fact_tonkho(raw, *items.result(), *shops.result()), stock)),
+            pool.submit(lambda: orders(buyers.result(), items.result())),
+            pool.submit(lambda: stock(items.result(), shops.result())),
         ]
         for done in (calendar, *added):
             done.result()

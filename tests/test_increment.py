@@ -125,3 +125,32 @@ def test_parts_keep_the_years_that_count():
     whole = Part("versions/a/Fact_TonKho")
     assert whole.only([None, 2024]).years == (None, 2024)
     assert whole.only([2024, 2025]).only([2025, 2026]).years == (2025,)
+
+
+def test_settled_lines_are_left_out_before_they_meet_their_orders(spark, monkeypatch):
+    path = new_folder(spark, "dw")
+    increment_star(spark, load(spark, ["P2", "P4"], ["C2", "C4"], [*FIRST, FIRST[0]], STOCK), path)
+    real, staged = increment.stage, []
+
+    def seen(df, name):
+        staged.append((name, real(df, name)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(increment, "stage", seen)
+    star = increment_star(spark, load(spark, ["P1", "P2", "P3", "P4"], ["C1", "C2", "C4", "C9"], [*THEN, FIRST[0], THEN[3]], STOCK), path)
+    rows = {name: sorted(r.maDon for r in df.collect()) for name, df in staged if "maDon" in df.columns}
+    # O1 (twice) and O3 are stored with their customers; O2 waits for its customer
+    assert rows == {"arriving": ["O2", "O4", "O4", "O5"], "late-members": ["O2"]}
+    found = sorted((r.maDon, r.sk_khachHang is None) for r in star["Fact_DonDatHang"].collect())
+    assert found == [(o, False) for o in ("O1", "O1", "O2", "O3", "O4", "O4", "O5")]
+
+
+def test_a_line_stored_with_and_without_its_customer_is_replaced(spark):
+    path = new_folder(spark, "dw")
+    twice = [("O1", D(2024, 1, 5), "C2", "P2", 1), ("O1", D(2024, 1, 5), "C9", "P2", 1)]  # one order under two customers
+    sold = load(spark, ["P2"], ["C2"], twice)
+    increment_star(spark, sold, path)
+    before = values(open_star(spark, path)["Fact_DonDatHang"])
+    assert values(increment_star(spark, sold, path)["Fact_DonDatHang"]) == before
+    star = increment_star(spark, load(spark, ["P2"], ["C2", "C9"], twice), path)
+    assert sorted(r.sk_khachHang for r in star["Fact_DonDatHang"].collect()) == [1, 1, 2, 2]
