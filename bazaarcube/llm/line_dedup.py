@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarcube.llm.tables import ascii_lower, fresh_names, shuffle_parts
-from bazaarcube.session import stage
+from bazaarcube.session import new_folder, remove_folder, stage, stage_at
 
 BLANKS = " \t\n\x0b\x0c\r"
 #: Shorter keys (in code points) never drop a line.
@@ -40,8 +40,10 @@ def line_key(line: Column) -> Column:
 
 def keep_bitmaps(docs: DataFrame, min_key: int = MIN_KEY) -> DataFrame:
     """doc_id, text_hash, bitmap (word number -> bits of kept lines) and n_dropped of
-    every document that loses lines."""
-    parts = shuffle_parts(docs.sparkSession)
+    every document that loses lines. The lines are stored twice on the way; what is stored
+    goes as soon as the next step is."""
+    spark = docs.sparkSession
+    parts, cut, sorted_lines = shuffle_parts(spark), new_folder(spark, "lines"), new_folder(spark, "line-stream")
     lines = (
         docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
@@ -49,14 +51,15 @@ def keep_bitmaps(docs: DataFrame, min_key: int = MIN_KEY) -> DataFrame:
         .filter(F.char_length("key") >= min_key)
         .select("doc_id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     )
-    lines = stage(lines.withColumn("sub", F.pmod(F.xxhash64("doc_id"), F.lit(parts))), "lines")
+    lines = stage_at(lines.withColumn("sub", F.pmod(F.xxhash64("doc_id"), F.lit(parts))), cut)
     stream = Window.partitionBy("h1", "h2", "sub").orderBy("doc_id", "pos")
     seen = (
         lines.repartitionByRange(parts, "h1", "h2", "sub")
         .sortWithinPartitions("h1", "h2", "sub", "doc_id", "pos")
         .withColumn("first", F.first("doc_id").over(stream))
     )
-    seen = stage(seen, "line-stream")
+    seen = stage_at(seen, sorted_lines)
+    remove_folder(spark, cut)
     followers = seen.filter(F.col("doc_id") > F.col("first"))
     heads = seen.filter(F.col("doc_id") == F.col("first"))
     # a hash with a single first document has nothing to compare
@@ -72,9 +75,12 @@ def keep_bitmaps(docs: DataFrame, min_key: int = MIN_KEY) -> DataFrame:
         .groupBy("doc_id", "text_hash", "word").agg(F.bit_or("bit").alias("bits"))
     )
     entry = F.struct("word", F.bitwise_not("bits").alias("kept"))
-    return words.groupBy("doc_id", "text_hash").agg(
+    maps = words.groupBy("doc_id", "text_hash").agg(
         F.map_from_entries(F.collect_list(entry)).alias("bitmap"), F.sum(F.bit_count("bits")).cast("long").alias("n_dropped")
     )
+    maps = stage(maps, "bitmaps")
+    remove_folder(spark, sorted_lines)
+    return maps
 
 
 def with_kept_text(docs: DataFrame, min_key: int = MIN_KEY) -> tuple[DataFrame, str, str]:

@@ -212,46 +212,53 @@ def _prefixes(shared: Shared):
 
 
 class _Search:
-    """The stages of one run over ``docs`` (doc_id not null, text)."""
+    """The stages of one run over ``docs`` (doc_id, text). ``scratch``: a folder that ``docs``
+    is read from and nothing else; it is removed once the candidates' texts are stored."""
 
-    def __init__(self, docs: DataFrame) -> None:
+    def __init__(self, docs: DataFrame, scratch: str | None = None) -> None:
         self.spark, self.kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
         wide = new_folder(self.spark, "signed")
         signed = stage_at(docs.mapInArrow(_sign, f"doc_id {self.kind}, n long, h1 long, h2 long, keys array<long>, sig binary"), wide)
-        same = ["h1", "h2", "n"]
-        self.reps = stage(
-            signed.filter("n > 0").groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("keys", "sig"), "doc_id").alias("x"))
+        same, compared = ["h1", "h2", "n"], "n > 0 AND doc_id IS NOT NULL"
+        classes = new_folder(self.spark, "classes")
+        reps = stage_at(
+            signed.filter(compared).groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("keys", "sig"), "doc_id").alias("x"))
             .select("doc_id", *same, "x.keys", "x.sig"),
-            "classes",
+            classes,
         )
         # from here on signatures are those of the classes
         self.signed = stage(signed.select("doc_id", *same), "sets")
         remove_folder(self.spark, wide)
-        filled = self.signed.filter("n > 0")
-        heads = self.reps.select(*same, F.col("doc_id").alias("b"))
+        filled = self.signed.filter(compared)
+        heads = filled.groupBy(*same).agg(F.min("doc_id").alias("b"))
         self.copies = filled.select(F.col("doc_id").alias("a"), *same).join(heads, same).select("a", "b").filter("a <> b")
-        bands = self.reps.select("doc_id", "n", F.explode("keys").alias("key"))
-        shared = self.reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
+        bands = reps.select("doc_id", "n", F.explode("keys").alias("key"))
+        shared = reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
         self.buckets = new_folder(self.spark, "buckets")
         self.members = stage_at(bands.join(shared, "key"), self.buckets)
         ids = stage(self.members.select("doc_id").distinct(), "candidates")
         few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        # and only those that share a bucket are looked at again
+        self.sigs = stage(reps.join(few, "doc_id", "left_semi").select("doc_id", "sig"), "signatures")
+        remove_folder(self.spark, classes)
         self.texts = stage(docs.join(few, "doc_id", "left_semi"), "candidate-texts")
+        if scratch:
+            remove_folder(self.spark, scratch)
         self.tested: DataFrame | None = None
         self.found: DataFrame | None = None
 
-    def leaders(self) -> DataFrame:
+    def leaders(self, path: str) -> DataFrame:
         """The most central document of each bucket."""
         score = self.members.groupBy("doc_id").agg(F.sum("m").alias("score"))
         first = F.max_by(F.struct(F.col("doc_id").alias("leader"), F.col("n").alias("leader_n")), F.struct("score", -F.col("doc_id")))
-        return stage(self.members.join(score, "doc_id").groupBy("key").agg(first.alias("x")).select("key", "x.*"), "leaders")
+        return stage_at(self.members.join(score, "doc_id").groupBy("key").agg(first.alias("x")).select("key", "x.*"), path)
 
     def compare(self, pairs: DataFrame) -> None:
         """Confirms candidate pairs (a, b), adds their links, and joins the components."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        sig = self.reps.select("doc_id", "sig")
+        sig = self.sigs
         met = pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
         met = met.join(sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "sig_a", "sig_b")
         ids = f"a {self.kind}, b {self.kind}"
@@ -294,35 +301,36 @@ class _Search:
 
     def run(self) -> DataFrame:
         """(id, component) of every document that is linked."""
-        met = self.members.join(self.leaders(), "key").filter("doc_id <> leader").filter(_alike_in_size("n", "leader_n"))
+        leaders = new_folder(self.spark, "leaders")
+        met = self.members.join(self.leaders(leaders), "key").filter("doc_id <> leader").filter(_alike_in_size("n", "leader_n"))
         self.compare(met.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
         left = self.open_members()
-        remove_folder(self.spark, self.buckets)
+        for used in (leaders, self.buckets):
+            remove_folder(self.spark, used)
         self.compare(self.prefix_pairs(left))
         return components(self.found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(self.copies), "a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, scratch: str | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
-    rows = docs.select("doc_id", "text")
-    search = _Search(rows.filter(F.col("doc_id").isNotNull()))
+    search = _Search(docs.select("doc_id", "text"), scratch)
     found = search.run()
-    joined = search.signed.select("doc_id", "n").join(found, F.col("doc_id") == F.col("id"), "left")
+    sets = search.signed.select("doc_id", "n")
+    joined = sets.filter(F.col("doc_id").isNotNull()).join(found, F.col("doc_id") == F.col("id"), "left")
     component = F.coalesce("component", "doc_id")
     with_id = joined.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (component == F.col("doc_id")).alias("kept")
     )
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    without = rows.filter(F.col("doc_id").isNull()).mapInArrow(_sign, f"doc_id {kind}, n long, h1 long, h2 long, keys array<long>, sig binary")
-    return with_id.union(without.select("doc_id", "n", F.col("doc_id"), F.lit(True)))
+    return with_id.union(sets.filter(F.col("doc_id").isNull()).select("doc_id", "n", F.col("doc_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame, compared: DataFrame | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, compared: DataFrame | None = None, scratch: str | None = None) -> DataFrame:
     """The documents with the smallest id of each group of near-duplicates, with their
     own columns; documents without an id stay. ``compared``: the texts to compare (doc_id,
     text) in place of those of ``docs``, where a document has had other forms too; it is
-    linked to what any of its forms is linked to."""
-    found = near_duplicates(docs if compared is None else compared)
+    linked to what any of its forms is linked to. ``scratch``: a folder that only
+    ``compared`` reads; it is removed once it is not needed any more."""
+    found = near_duplicates(docs if compared is None else compared, scratch)
     (gone,) = fresh_names(docs, ["gone_id"])
     dropped = stage(found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct(), "dropped")
     if dropped.count() <= BROADCAST_IDS:

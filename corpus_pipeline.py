@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from bazaarcube.llm import line_dedup, minhash, mixing, packing
 from bazaarcube.llm import toxicity as toxic
 from bazaarcube.llm.tables import table
-from bazaarcube.session import stage
+from bazaarcube.session import new_folder, stage, stage_at
 
 #: Shares of the tokens by quality, and tokens wanted for each token of the smallest mix
 #: that holds every document at these shares.
@@ -51,10 +51,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     came = table(spark, sf_dir, "documents").select("doc_id", "text")
     mark = F.struct(F.xxhash64("text"), F.length("text"))
     now, then = docs.select("doc_id", mark.alias("now")), came.filter("text IS NOT NULL").select("doc_id", mark.alias("then"))
-    changed = now.join(then, "doc_id").filter(~F.col("now").eqNullSafe(F.col("then"))).select("doc_id")
-    # stored, as near-dedup reads the texts several times
-    other = stage(came.filter("text IS NOT NULL").join(changed, "doc_id", "left_semi"), "forms")
-    return minhash.keep_one(docs, docs.select("doc_id", "text").unionByName(other))
+    changed = stage(now.join(then, "doc_id").filter(~F.col("now").eqNullSafe(F.col("then"))).select("doc_id").distinct(), "changed")
+    if changed.count() <= minhash.BROADCAST_IDS:
+        changed = F.broadcast(changed)
+    # stored, as near-dedup reads the texts several times, until it has the texts it needs
+    forms = new_folder(spark, "forms")
+    other = stage_at(came.filter("text IS NOT NULL").join(changed, "doc_id", "left_semi"), forms)
+    return minhash.keep_one(docs, docs.select("doc_id", "text").unionByName(other), forms)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
