@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarcube.session import broadcast_rows
+from bazaarcube.session import broadcast_rows, stage
+
+#: Keys with packed codes that take the memory of one broadcast row: a code has 4 bytes.
+PACKED_KEYS = 16
+#: Different rows of labels that codes may stand for.
+LABEL_SETS = 1 << 16
+#: Keys in one packed row, as bits.
+BLOCK_BITS = 8
 
 
 def fits_broadcast(df: DataFrame, rows: int) -> bool:
@@ -19,3 +26,35 @@ def join_dim(left: DataFrame, dim: DataFrame, on: str, how: str, rows: int) -> D
     adaptive execution splits the partition of a hot key on the left side.
     """
     return left.join(F.broadcast(dim) if fits_broadcast(dim, rows) else dim, on, how)
+
+
+def pack_labels(lookup: DataFrame, key: str, rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """A dimension beyond the broadcast limit whose labels have few different rows, as
+    two tables that can be broadcast: arrays of codes for blocks of keys, and the labels of
+    each code. None where there are too many keys or labels, or a key has several rows."""
+    spark = lookup.sparkSession
+    labels = [c for c in lookup.columns if c != key]
+    known = lookup.filter(F.col(key).isNotNull())
+    if rows > PACKED_KEYS * broadcast_rows(spark) or known.agg(F.approx_count_distinct(F.struct(*labels))).first()[0] > LABEL_SETS:
+        return None
+    # as many rows as there are different labels, so one task may number them
+    numbered = known.select(*labels).distinct().withColumn("_code", F.row_number().over(Window.orderBy(*labels)))
+    codes = stage(numbered, "label-codes")
+    same = [F.col(f"_of.{c}").eqNullSafe(F.col(f"_to.{c}")) for c in labels]
+    coded = known.alias("_of").join(F.broadcast(codes.alias("_to")), same).select(F.col(f"_of.{key}").alias(key), "_code")
+    place = F.struct(F.col(key).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).alias("at"), "_code")
+    blocks = stage(coded.groupBy(F.shiftright(key, BLOCK_BITS).alias("_block")).agg(F.collect_list(place).alias("codes")), "packed-keys")
+    if not blocks.filter(F.size(F.array_distinct("codes.at")) < F.size("codes")).isEmpty():
+        return None
+    at = F.map_from_entries("codes")
+    every = F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1))
+    packed = blocks.withColumn("_at", at).select("_block", F.transform(every, lambda i: F.try_element_at("_at", i)).alias("_codes"))
+    return stage(packed, "packed-labels"), codes
+
+
+def join_packed(left: DataFrame, packed: tuple[DataFrame, DataFrame], key: str) -> DataFrame:
+    """``left`` with the labels of its keys, without a shuffle; keys without labels drop out."""
+    blocks, codes = packed
+    found = left.join(F.broadcast(blocks), F.shiftright(key, BLOCK_BITS) == F.col("_block"))
+    code = F.get("_codes", F.col(key).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))).alias("_code")
+    return found.select(*left.columns, code).join(F.broadcast(codes), "_code").drop("_code")

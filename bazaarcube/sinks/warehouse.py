@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bazaarcube.functions.columns import key_month, key_year, nan_to_null
+from bazaarcube.operators.joins import pack_labels
 from bazaarcube.operators.quality import key_violations
 from bazaarcube.schemas import LOAD_ORDER, WAREHOUSE
 from bazaarcube.session import folder_names, read_pointer, remove_folder, write_pointer
@@ -47,6 +49,8 @@ class Star:
     tables: dict[str, DataFrame]
     rows: dict[str, int]
     _unique: dict[tuple[str, str], bool] = field(default_factory=dict, compare=False, repr=False)
+    _packed: dict[tuple, tuple[DataFrame, DataFrame] | None] = field(default_factory=dict, compare=False, repr=False)
+    _packing: Lock = field(default_factory=Lock, compare=False, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -57,6 +61,15 @@ class Star:
             self._unique[table, column] = key_violations(self[table], (column,)).isEmpty()
         return self._unique[table, column]
 
+    def packed(self, lookup: DataFrame, table: str, key: str) -> tuple[DataFrame, DataFrame] | None:
+        """``lookup`` (a dimension's key and some of its labels) packed for a broadcast, if
+        it can be; made once per star."""
+        name = (table, *lookup.columns)
+        with self._packing:
+            if name not in self._packed:
+                self._packed[name] = pack_labels(lookup, key, self.rows[table])
+            return self._packed[name]
+
     @property
     def spark(self) -> SparkSession:
         return next(iter(self.tables.values())).sparkSession
