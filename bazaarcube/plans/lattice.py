@@ -189,7 +189,7 @@ class KeyCells:
 
     def exact_cube(self, spec: CubeSpec) -> DataFrame:
         df, merged = self.cell(spec.axes)
-        return group_cell(self.star, df, spec, merged)
+        return group_cell(self.star, df, spec, merged, once=self.folder is not None)  # stored cells were grouped
 
     def cube(self, spec: CubeSpec) -> DataFrame:
         return report_types(self.exact_cube(spec), spec)
@@ -372,6 +372,10 @@ class RollUp:
     steps: tuple[tuple[CubeSpec, CubeSpec | None], ...]
 
 
+def ids_of(spec: CubeSpec) -> set[str]:
+    return {labels[0] for _, labels in SUBJECTS[spec.subject].labels.values()} & set(spec.group)
+
+
 def quarter_of(group: Iterable[str]) -> set[str]:
     """The columns that a grouping gives: a month tells its quarter."""
     return {*group, *(("quy",) if "thang" in group else ())}
@@ -429,17 +433,19 @@ def build_cubes(
     or with line counts) under ``path`` with exact sums. A rerun replaces the old cubes
     when all new ones are complete. ``open_cube`` reads one with its reported types.
 
-    Only the widest grouping of each family reads its key cell and looks up labels; it is
-    stored, and all other cubes are summed from the smallest stored one that has their
-    columns. Families are independent, so a few are sent to Spark at a time.
+    Cubes are summed from the smallest stored one that has their columns. Only those
+    without such a cube read their key cell and look up labels, or, where several of a
+    family have the same ids, the family's widest grouping, which is stored for them: it has
+    nearly as many rows as the cell, so cubes with fewer ids group the cell by shorter
+    values. Families are independent, so a few are sent to Spark at a time.
     """
     specs = [*specs_for(subject, dims), *more]
     cells = KeyCells.staged(star, subject, specs)
     draft = f"{path}/_draft-{uuid.uuid4().hex}"
 
     def store_base(plan: RollUp) -> DataFrame | None:
-        """The stored base of a family; none where a single cube is all of it."""
-        if len(plan.steps) == 1:
+        """The stored base of a family; none where it would serve a single cube."""
+        if sum(parent is None and ids_of(spec) == ids_of(plan.base) for spec, parent in plan.steps) < 2:
             return None
         return stage_at(cells.exact_cube(plan.base), f"{cells.folder}/base-{uuid.uuid4().hex}")
 
@@ -447,7 +453,7 @@ def build_cubes(
         whole = after.result()
         if parent is not None:
             cube = rolled_up(star.spark.read.parquet(f"{draft}/{parent.name}"), spec)
-        elif whole is None:
+        elif whole is None or ids_of(spec) != ids_of(plan.base):
             cube = cells.exact_cube(spec)
         elif set(plan.base.group) <= implied(star, subject, spec.group):
             cube = whole.select(*spec.columns)
