@@ -17,6 +17,10 @@ and in no sum.
 
 A set cube is a folder of parts: the fact as it was, and later batches. A part appears
 under its name when it is complete, and a batch that comes again is left alone.
+
+A bitmap of few customers is a few bytes on its way and 4 KB in a task, so tasks are not
+sized by the bytes they read: rows are dealt by the groups they belong to, over as many
+tasks as their number asks for, and files hold so many sets at most.
 """
 
 from __future__ import annotations
@@ -29,13 +33,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bazaarcube.operators.joins import join_dim
+from bazaarcube.operators.joins import fits_broadcast, join_dim, join_packed
 from bazaarcube.plans.cubes import PLACE_COLUMNS, PLACED, SUBJECTS, TIME_COLUMNS, label_table, labels_of, with_calendar
 from bazaarcube.session import exists, folder_names, move_folder, remove_folder
 from bazaarcube.sinks.warehouse import Star
 
 WHAT = SUBJECTS["order"]
 CUSTOMER, PRODUCT = WHAT.keys
+#: Exact sets that one task merges and one file holds (32 MB as bitmaps), and rows of the
+#: fact whose customers one task puts into sets.
+TASK_SETS, TASK_ROWS = 1 << 13, 1 << 19
 #: Block of customer keys of an exact set, and the set itself (bitmap or sketch).
 BLOCK, SET = "_khoi", "_tap"
 
@@ -77,6 +84,11 @@ class SetCube:
         return F.sum(F.bitmap_count(SET)) if self.precision is None else F.hll_sketch_estimate(F.hll_union_agg(SET))
 
 
+def _dealt(cells: DataFrame, rows: int, each: int, *by: str) -> DataFrame:
+    """``cells`` dealt by ``by`` over tasks of about ``each`` of their ``rows``."""
+    return cells.repartition(max(1, -(-rows // each)), *by)
+
+
 def customer_sets(star: Star, cube: SetCube, fact: DataFrame | None = None) -> DataFrame:
     """The cells of ``cube`` over the fact (or the given rows of it).
 
@@ -85,6 +97,7 @@ def customer_sets(star: Star, cube: SetCube, fact: DataFrame | None = None) -> D
     """
     rows = star[WHAT.fact] if fact is None else fact
     rows = rows.filter(F.col(CUSTOMER).isNotNull())
+    n = star.rows[WHAT.fact] if fact is None else rows.count()
     if cube.time:
         rows = with_calendar(star, rows, cube.time, "left")
     keys = [k for k in WHAT.keys if k == CUSTOMER or labels_of("order", k, cube.group)]
@@ -94,14 +107,21 @@ def customer_sets(star: Star, cube: SetCube, fact: DataFrame | None = None) -> D
         if labels:
             table = WHAT.labels[key][0]
             lookup = label_table(star, "order", key, labels, keep_unplaced=key == CUSTOMER)
-            cells = join_dim(cells, lookup, key, "inner", star.rows[table])
+            few = not fits_broadcast(lookup, star.rows[table]) and WHAT.labels[key][1][0] not in labels
+            if few and (packed := star.packed(lookup, table, key)):
+                cells = join_packed(cells, packed, key)
+            else:
+                cells = join_dim(cells, lookup, key, "inner", star.rows[table])
     if cube.precision is None:
-        cells = cells.withColumn(BLOCK, F.bitmap_bucket_number(CUSTOMER))
+        # dealt as keys: the sets of a task are as wide in its memory, however they pack
+        cells = _dealt(cells.withColumn(BLOCK, F.bitmap_bucket_number(CUSTOMER)), n, TASK_ROWS, *cube.cell_columns)
     return cells.groupBy(*cube.cell_columns).agg(cube.made().alias(SET), *[m.merged_sum() for m in WHAT.measures])
 
 
 def merge_sets(cells: DataFrame, cube: SetCube) -> DataFrame:
     """One row for each cell (and block) out of the rows of several parts."""
+    if cube.precision is None:
+        cells = _dealt(cells, cells.count(), TASK_SETS, *cube.cell_columns)
     return cells.groupBy(*cube.cell_columns).agg(cube.merged().alias(SET), *[m.merged_sum() for m in WHAT.measures])
 
 
@@ -118,6 +138,7 @@ def distinct_customers(cells: DataFrame, cube: SetCube, group: Sequence[str]) ->
     if any(c in PLACE_COLUMNS for c in group):
         cells = cells.filter(PLACED)
     if cube.precision is None:
+        cells = _dealt(cells, cells.count(), TASK_SETS, *group, BLOCK)
         cells = cells.groupBy(*group, BLOCK).agg(cube.merged().alias(SET), *[m.merged_sum() for m in WHAT.measures])
     found = cells.groupBy(*group).agg(cube.counted().alias("soKhachHang"), *[m.merged_sum() for m in WHAT.measures])
     if not group:  # no rows: the count of an empty set
@@ -139,7 +160,7 @@ def _land(spark: SparkSession, cells: DataFrame, path: str, part: str) -> None:
     if exists(spark, f"{path}/{part}"):
         return
     draft = f"{path}/_draft-{uuid.uuid4().hex}"
-    cells.write.parquet(draft)
+    cells.write.option("maxRecordsPerFile", TASK_SETS).parquet(draft)
     if not move_folder(spark, draft, f"{path}/{part}"):
         remove_folder(spark, draft)
 

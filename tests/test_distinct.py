@@ -140,3 +140,20 @@ def test_no_rows_and_unknown_columns(spark, edge_star):
         SetCube(("maKH",))
     with pytest.raises(LookupError):
         distinct.distinct_customers(cells, SetCube(("nam",)), ("mien",))
+
+
+def test_sets_are_dealt_by_their_number(spark, edge_star, monkeypatch):
+    """A sparse bitmap is a few bytes in a file and 4 KB in a task, so bytes do not size tasks."""
+    monkeypatch.setattr(distinct, "TASK_SETS", 2)
+    monkeypatch.setattr(distinct, "TASK_ROWS", 3)
+    cube, path = SetCube(("nam", "thang", "loaiKhachHang", "mien", "tenThanhPho")), new_folder(spark, "sets")
+    cells = distinct.customer_sets(edge_star, cube)
+    assert cells.rdd.getNumPartitions() == -(-edge_star.rows["Fact_DonDatHang"] // 3) > 1
+    distinct.store_sets(edge_star, cube, path)
+    distinct.add_batch(edge_star, cube, edge_star["Fact_DonDatHang"].limit(0), path, 0)
+    stored = distinct.read_sets(spark, path)
+    per_file = stored.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) > 1 and max(r["count"] for r in per_file) <= 2
+    assert distinct.merge_sets(stored, cube).rdd.getNumPartitions() == -(-stored.count() // 2)
+    for group in ((), ("nam",), ("loaiKhachHang", "mien")):
+        assert rounded(distinct.distinct_customers(stored, cube, group)) == brute(edge_star, group)
