@@ -16,7 +16,9 @@ its path to the root along, so no group's rows are ever joined by the group.
 Ranks come from a range shuffle on (group, id, leaf), positions in the partitions, and
 one offset for each partition and group; a group that holds most rows is spread over
 many partitions. All joins and groupings are on (group, bucket) with at most ``arity``
-children each. Texts are read once; after that only digests move.
+children each. Texts are read once; after that only digests move. What is stored goes
+into as many files as its rows need, not one for each shuffle partition: every file
+costs its executor a few processes on a local file system.
 
 Defined cases: a null field is ``-`` and an empty text ``0:``; a null group is a group of
 its own, before all others; rows without an id come first in their group; rows with
@@ -27,6 +29,7 @@ an empty table has no rows and no root. Extra columns are ignored whatever their
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,6 +41,7 @@ from bazaarcube.session import stage
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ARITY = 3
+FILE_ROWS = 20_000
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, position below
 
 
@@ -52,17 +56,22 @@ def leaf_of(values: list[Column]) -> Column:
     return digest_of(F.concat(*parts))
 
 
-def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` (with ``grp``) and their interval in their group: ``lo`` = ``hi`` = the
-    rank by ``order`` from 0, and ``n``, the number of the group's rows."""
+def _packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in tasks of about FILE_ROWS."""
+    return df.coalesce(max(1, math.ceil(rows / FILE_ROWS)))
+
+
+def ranked(rows: DataFrame, order: list[str], count: int) -> DataFrame:
+    """``rows`` (``count``, with ``grp``) and their interval in their group: ``lo`` =
+    ``hi`` = the rank by ``order`` from 0, and ``n``, the number of the group's rows."""
     parts = shuffle_parts(rows.sparkSession)
     slot = F.monotonically_increasing_id()
-    placed = stage(
+    placed = (
         rows.repartitionByRange(parts, "grp", *order).sortWithinPartitions("grp", *order)
         .withColumn("part", F.shiftright(slot, _POSITION_BITS))
-        .withColumn("place", slot.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))),
-        "ranked",
+        .withColumn("place", slot.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
     )
+    placed = stage(_packed(placed, count), "ranked")
     blocks = placed.groupBy("part", "grp").agg(F.count("*").alias("size"), F.min("place").alias("first"))
     earlier = Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
@@ -81,11 +90,17 @@ def _run(level: int, arity: int) -> Column:
 @dataclass
 class Tree:
     """Stored nodes (grp, level, lo, hi, n, digest, kids) of the levels from 1 up, and
-    the leaves; ``roots`` is the topmost node of each group."""
+    the leaves; ``rows`` and ``groups``: how many; ``roots``: each group's topmost node."""
 
     leaves: DataFrame
     levels: list[DataFrame]
     arity: int
+    rows: int
+    groups: int
+
+    def most(self, level: int) -> int:
+        """No level has more nodes than this."""
+        return self.rows // self.arity**level + self.groups
 
     @property
     def roots(self) -> DataFrame:
@@ -96,10 +111,10 @@ class Tree:
 
 def grow(leaves: DataFrame, arity: int = ARITY) -> Tree:
     """The tree over ``leaves`` (grp, lo, hi, n, digest)."""
-    most = leaves.agg(F.max("n")).first()[0] or 0
-    levels: list[DataFrame] = []
-    below, width = leaves, 1
-    while width < most:
+    most, rows, groups = leaves.agg(F.max("n"), F.count("*"), F.count_if(F.col("lo") == 0)).first()
+    tree = Tree(leaves, [], arity, rows, groups)
+    levels, below, width = tree.levels, leaves, 1
+    while width < (most or 0):
         kids = F.sort_array(F.collect_list(F.struct("lo", "hi", "digest")))
         width *= arity
         runs = (
@@ -111,9 +126,9 @@ def grow(leaves: DataFrame, arity: int = ARITY) -> Tree:
             "grp", F.lit(len(levels) + 1).alias("level"), F.col("kids")[0]["lo"].alias("lo"),
             F.element_at("kids", -1)["hi"].alias("hi"), "n", digest_of(F.array_join("kids.digest", "")).alias("digest"), "kids",
         )
-        below = stage(nodes, "merkle-level")
+        below = stage(_packed(nodes, tree.most(len(levels) + 1)), "merkle-level")
         levels.append(below)
-    return Tree(leaves, levels, arity)
+    return tree
 
 
 _NO_PATH = "CAST(array() AS array<struct<l:string,r:string>>)"
@@ -124,7 +139,7 @@ def attach_paths(tree: Tree, tops: DataFrame) -> DataFrame:
     of their group's root, the digests left and right of the way. ``tops``: grp, path
     of the root, and columns that all leaves of the group are to get."""
     more = [c for c in tops.columns if c not in ("grp", "path")]
-    roots = stage(tree.roots.select("grp", "level").join(tops, "grp"), "merkle-subroots")
+    roots = stage(_packed(tree.roots.select("grp", "level").join(tops, "grp"), tree.groups), "merkle-subroots")
     above: DataFrame | None = None
     for level in range(len(tree.levels), -1, -1):
         nodes = tree.levels[level - 1].drop("level") if level else tree.leaves
@@ -143,6 +158,7 @@ def attach_paths(tree: Tree, tops: DataFrame) -> DataFrame:
                 *(f"c.{c}" for c in nodes.columns), F.concat(F.array(step), "p.path").alias("path"), *(f"p.{c}" for c in more)
             )
             here = lower.unionByName(here)
+        here = _packed(here, tree.most(level))
         if level:
             # Stored, so that the driver holds the plan of one level at a time, not of all.
             above = stage(
@@ -177,9 +193,9 @@ def proofs(
         leaf_of([F.col(f) for f in fields]).alias("digest"),
         leaf_of([given.get(f, F.col(f)) for f in fields]).alias("received"),
     )
-    tree = grow(ranked(rows, ["id", "digest"]), arity)
+    tree = grow(ranked(rows, ["id", "digest"], docs.count()), arity)
     subroots = tree.roots.select(F.lit("").alias("grp"), F.col("grp").alias("id"), "digest")
-    top = grow(ranked(subroots, ["id"]), arity)
+    top = grow(ranked(subroots, ["id"], tree.groups), arity)
     root = top.roots.select("digest").first()
     end = top.leaves.sparkSession.range(1).select(F.lit("").alias("grp"), F.expr(_NO_PATH).alias("path"))
     tops = attach_paths(top, end).select(F.col("id").alias("grp"), "path", F.col("digest").alias("subroot"))

@@ -105,3 +105,29 @@ def test_plan_does_not_grow_with_levels(spark):
         assert found.count() == rows
         plans.append(found._jdf.queryExecution().optimizedPlan().toString().count("Join "))
     assert plans[1] == plans[0]
+
+
+def test_stored_files_follow_rows_not_shuffle_partitions(spark, tmp_path, monkeypatch):
+    """Each file of a few rows costs its executor the processes that set its rights."""
+    files, store = {}, merkle.stage
+
+    def counted(df, name):
+        kept = store(df, name)
+        files.setdefault(name, []).append(len(kept.inputFiles()))
+        return kept
+
+    monkeypatch.setattr(merkle, "stage", counted)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = [(i, "hot" if i % 4 else f"s{i % 7}", "en", i, f"text\n{i}") for i in range(120)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for file_rows, most in ((20_000, 1), (30, 5)):  # 120 rows, 7 groups
+            monkeypatch.setattr(merkle, "FILE_ROWS", file_rows, raising=False)
+            files.clear()
+            assert run(spark, rows, tmp_path / str(file_rows)) == brute(rows)
+            assert max(n for counts in files.values() for n in counts) <= most, files
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
