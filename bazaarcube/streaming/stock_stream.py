@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bazaarcube.functions.columns import date_key, key_year, pick
-from bazaarcube.operators.joins import join_dim
+from bazaarcube.operators.joins import join_key
 from bazaarcube.plans.cubes import CubeSpec
 from bazaarcube.schemas import WAREHOUSE
 from bazaarcube.session import exists, folder_names, move_folder, remove_folder
@@ -33,20 +33,24 @@ from bazaarcube.streaming.cube_stream import committed_batch, write_batch
 _KEY = ("maMH", "maCH", "sk_thoiGian")
 
 
+def _entries(records: DataFrame) -> DataFrame:
+    """Product, store, day and entry (``moi``: time and quantity) of records in the shape of the source."""
+    named = pick(records, {"mathangmamh": "maMH", "cuahangmach": "maCH", "soluongtrongkho": "soLuong", "thoigiannhap": "luc"})
+    return named.select("maMH", "maCH", date_key(F.to_date("luc")).alias("sk_thoiGian"), F.struct("luc", "soLuong").alias("moi"))
+
+
 def last_records(records: DataFrame) -> DataFrame:
     """The last record (``moi``: entry time and quantity) per product, store and day of
     ``records`` in the shape of the source; of equal times the largest quantity."""
-    named = pick(records, {"mathangmamh": "maMH", "cuahangmach": "maCH", "soluongtrongkho": "soLuong", "thoigiannhap": "luc"})
-    newest = F.max(F.struct("luc", "soLuong")).alias("moi")
-    return named.groupBy("maMH", "maCH", date_key(F.to_date("luc")).alias("sk_thoiGian")).agg(newest)
+    return _entries(records).groupBy(*_KEY).agg(F.max("moi").alias("moi"))
 
 
 def batch_numbers(spark: SparkSession, state: str) -> list[int]:
     return sorted(int(n.removeprefix("lo=")) for n in folder_names(spark, state) if n.startswith("lo="))
 
 
-def earlier_closes(spark: SparkSession, state: str, batch_id: int, like: DataFrame, years: list[int | None]) -> DataFrame:
-    """The closes of ``years`` as the batches before ``batch_id`` left them."""
+def stored_closes(spark: SparkSession, state: str, batch_id: int, like: DataFrame, years: list[int | None]) -> DataFrame:
+    """The closes of ``years`` that the batches before ``batch_id`` stored; the largest counts."""
     schema = like.withColumn("truoc", F.col("moi")).withColumn(YEAR, F.lit(0)).schema
     days = [y for y in years if y is not None]
     parts = [spark.createDataFrame([], schema)]
@@ -54,29 +58,33 @@ def earlier_closes(spark: SparkSession, state: str, batch_id: int, like: DataFra
         if n < batch_id:
             rows = spark.read.schema(schema).parquet(f"{state}/lo={n}")
             parts.append(rows.filter(F.col(YEAR).isin(days) | F.col(YEAR).isNull() if None in years else F.col(YEAR).isin(days)))
-    return reduce(DataFrame.unionByName, parts).groupBy(*_KEY).agg(F.max("moi").alias("truoc"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def earlier_closes(spark: SparkSession, state: str, batch_id: int, like: DataFrame, years: list[int | None]) -> DataFrame:
+    """The closes of ``years`` as the batches before ``batch_id`` left them."""
+    return stored_closes(spark, state, batch_id, like, years).groupBy(*_KEY).agg(F.max("moi").alias("truoc"))
 
 
 def store_corrections(spark: SparkSession, records: DataFrame, state: str, batch_id: int) -> DataFrame:
     """The closes that the batch makes or changes, with what they replace (``truoc``),
     stored under the batch's number unless they are there already."""
     final = f"{state}/lo={batch_id}"
-    closes = last_records(records)
+    entries = _entries(records)
     if not exists(spark, final):
-        closes = closes.persist()
-        try:
-            years = [r[0] for r in closes.select(key_year(F.col("sk_thoiGian"))).distinct().collect()]
-            before = earlier_closes(spark, state, batch_id, closes, years)
-            same = reduce(lambda a, b: a & b, [closes[k].eqNullSafe(before[k]) for k in _KEY])
-            met = closes.join(before, same, "left").select(*(closes[k] for k in _KEY), "moi", "truoc")
-            changed = met.filter(F.col("truoc").isNull() | (F.col("moi") > F.col("truoc")))
-            draft = f"{state}/_draft-{uuid.uuid4().hex}"
-            changed.withColumn(YEAR, key_year(F.col("sk_thoiGian"))).write.partitionBy(YEAR).parquet(draft)
-        finally:
-            closes.unpersist()
+        years = [r[0] for r in entries.select(key_year(F.col("sk_thoiGian"))).distinct().collect()]
+        before = stored_closes(spark, state, batch_id, entries, years)
+        # new entries and stored closes meet in one grouping, so each is shuffled once
+        both = entries.withColumn("truoc", F.lit(None).cast(entries.schema["moi"].dataType)).unionByName(
+            before.select(*_KEY, F.lit(None).cast(entries.schema["moi"].dataType).alias("moi"), F.col("moi").alias("truoc"))
+        )
+        met = both.groupBy(*_KEY).agg(F.max("moi").alias("moi"), F.max("truoc").alias("truoc"))
+        changed = met.filter(F.col("moi").isNotNull() & (F.col("truoc").isNull() | (F.col("moi") > F.col("truoc"))))
+        draft = f"{state}/_draft-{uuid.uuid4().hex}"
+        changed.withColumn(YEAR, key_year(F.col("sk_thoiGian"))).write.partitionBy(YEAR).parquet(draft)
         if not move_folder(spark, draft, final):
             remove_folder(spark, draft)
-    schema = closes.withColumn("truoc", F.col("moi")).withColumn(YEAR, F.lit(0)).schema
+    schema = entries.withColumn("truoc", F.col("moi")).withColumn(YEAR, F.lit(0)).schema
     return spark.read.schema(schema).parquet(final)
 
 
@@ -84,8 +92,8 @@ def differences(star: Star, changed: DataFrame) -> DataFrame:
     """Stock fact rows that turn the sums made so far into those of the new closes."""
     more = F.col("moi.soLuong") - F.coalesce("truoc.soLuong", F.lit(0))
     rows = changed.select(*_KEY, more.alias("soLuongTonKho"))
-    rows = join_dim(rows, star["Dim_MatHang"].select("sk_matHang", "maMH"), "maMH", "left", star.rows["Dim_MatHang"])
-    rows = join_dim(rows, star["Dim_CuaHang"].select("sk_cuaHang", "maCH"), "maCH", "left", star.rows["Dim_CuaHang"])
+    rows = join_key(rows, star["Dim_MatHang"].select("sk_matHang", "maMH"), "maMH", "left", star.rows["Dim_MatHang"])
+    rows = join_key(rows, star["Dim_CuaHang"].select("sk_cuaHang", "maCH"), "maCH", "left", star.rows["Dim_CuaHang"])
     return rows.select(*WAREHOUSE["Fact_TonKho"].columns)
 
 
